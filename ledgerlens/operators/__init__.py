@@ -1,0 +1 @@
+"""Reports, de-duplication, quality/reconciliation and migration operators."""

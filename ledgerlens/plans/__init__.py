@@ -1,0 +1 @@
+"""End-to-end jobs, the registered query plans and their DuckDB oracle."""

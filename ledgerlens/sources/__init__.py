@@ -1,0 +1 @@
+"""Readers and sinks: driver test tables, JDBC, catalog tables."""

@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The reporting domain is batch only: a full reload of each report per run
+(S15), with no stream source, watermark, window or state anywhere in the
+reference.  No streaming operator is invented here.  The report functions
+are plain DataFrame transformations, so the aggregation-only ones
+(``branch_summary_flat``, ``profile``) also plan on a streaming DataFrame in
+``complete`` output mode if a caller needs that; the joins to dimension
+tables follow Spark's stream-static join rules.
+"""
