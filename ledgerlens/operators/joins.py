@@ -28,3 +28,78 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is proven small, else ``df`` as is."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+# ---- hot keys ---------------------------------------------------------------
+#
+# AQE's skew join already splits an oversized shuffle partition at run time
+# (``spark.sql.adaptive.skewJoin.enabled``).  ``split_hot_join`` is the
+# explicit form for a row-level join whose fact side may have one key with a
+# large share of all rows: hot keys are found on a sample, their rows are
+# joined against a broadcast of the (size-checked) matching dimension rows,
+# and only the remaining rows take the shuffle join.  Every row goes down
+# exactly one path, so the result equals the plain join.
+
+
+def hot_keys(
+    df: DataFrame,
+    keys: list[str],
+    *,
+    min_share: float = 0.01,
+    sample_fraction: float = 0.001,
+    seed: int = 17,
+) -> list[tuple]:
+    """Candidate key values holding at least ``min_share`` of the rows.
+
+    Spark's one-pass frequent-items sketch (``stat.freqItems``) runs over a
+    Bernoulli sample of the key columns.  It returns at most ``1 / min_share``
+    candidates (never missing a truly frequent key of the sample, possibly
+    adding a few that are not), so what reaches the driver has a proven
+    bound.  The candidates only route rows; no row is dropped.
+    """
+    source = df.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else df
+    packed = source.select(F.struct(*keys).alias("_k"))
+    items = packed.stat.freqItems(["_k"], support=min_share).first()[0]
+    return [tuple(item) for item in items]
+
+
+def split_hot_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    *,
+    hot: list[tuple] | None = None,
+    min_share: float = 0.01,
+    sample_fraction: float = 0.001,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner equi-join ``fact ⋈ dim`` on ``keys`` with hot fact keys split off.
+
+    ``hot`` may be given (known hot keys); else it is found by ``hot_keys``.
+    If there are none, or the dimension rows of the hot keys exceed
+    ``max_broadcast_rows``, this is the plain join (AQE still splits skew).
+    """
+    if hot is None:
+        hot = hot_keys(fact, keys, min_share=min_share, sample_fraction=sample_fraction)
+    if not hot:
+        return fact.join(dim, keys)
+    is_hot = _key_in(keys, hot)
+    hot_dim = dim.where(is_hot)
+    if not row_count_at_most(hot_dim, max_broadcast_rows):
+        return fact.join(dim, keys)
+    hot_part = fact.where(is_hot).join(F.broadcast(hot_dim), keys)
+    cold_part = fact.where(~is_hot).join(dim.where(~is_hot), keys)
+    return hot_part.unionByName(cold_part)
+
+
+def _key_in(keys: list[str], values: list[tuple]):
+    """TRUE when the row's key is one of ``values`` (NULL keys are never hot)."""
+    if len(keys) == 1:
+        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
+    cond = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for k, x in zip(keys, v):
+            one = one & (F.col(k) == F.lit(x))
+        cond = cond | F.coalesce(one, F.lit(False))
+    return cond

@@ -253,6 +253,7 @@ def reconcile(
     summary_count: str = "TOTAL_TRANSACTIONS",
     summary_amount: str = "TOTAL_AMOUNT",
     detail_amount: str = "AMOUNT",
+    detail_count: str | None = None,
     tolerance: float = 0.01,
     only_mismatches: bool = False,
 ) -> DataFrame:
@@ -260,11 +261,15 @@ def reconcile(
 
     Counts must be equal and amounts within ``tolerance``.  Keys present on
     one side only do not match.  The detail side is aggregated before the
-    full outer join, so the join moves one row per key.
+    full outer join, so the join moves one row per key.  ``detail_count``
+    names a column of partial row counts when ``detail`` is already
+    pre-aggregated (e.g. per account); its values are summed instead of
+    counting rows.
     """
     keys = list(keys)
+    n = F.count(F.lit(1)) if detail_count is None else F.sum(detail_count)
     d = detail.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("detail_count"),
+        n.cast("bigint").alias("detail_count"),
         F.sum(detail_amount).cast("double").alias("detail_amount"),
     )
     s = summary.select(

@@ -4,7 +4,8 @@ Plan shapes, chosen for a fact table far larger than its dimensions:
 
 * ``aml_customer_transactions`` joins CUSTOMER to ACCOUNT first and the
   result to TRANSACTION last, so the largest table is shuffled once.  It is
-  a row-level report, so a hot account is left to AQE's skew-join split.
+  a row-level report: a hot account is split by AQE's skew join, or routed
+  through a size-checked broadcast by ``split_hot_accounts``.
 * ``branch_summary`` aggregates transactions per account *before* the join
   (eager aggregation).  Map-side partial aggregation collapses a hot account
   to one row per task, and the join then moves one row per account instead
@@ -22,7 +23,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import date_text, money_to_double, when_active, zero_if_null
 from ledgerlens.operators.dedupe import latest_per_key
-from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from ledgerlens.operators.joins import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast_if_bounded,
+    split_hot_join,
+)
 from ledgerlens.schemas import AML_COLUMNS
 
 SUMMARY_COLUMNS = ["BRANCH_ID", "BRANCH_NAME", "TOTAL_TRANSACTIONS", "TOTAL_AMOUNT"]
@@ -32,15 +37,31 @@ ACTIVE_RULES = ("filter", "case", "none")
 
 
 def aml_customer_transactions(
-    customer: DataFrame, account: DataFrame, transaction: DataFrame
+    customer: DataFrame,
+    account: DataFrame,
+    transaction: DataFrame,
+    *,
+    split_hot_accounts: bool = False,
+    hot_accounts: list[tuple] | None = None,
 ) -> DataFrame:
-    """CUSTOMER ⋈ ACCOUNT ⋈ TRANSACTION (inner, USING keys), 7 columns."""
+    """CUSTOMER ⋈ ACCOUNT ⋈ TRANSACTION (inner, USING keys), 7 columns.
+
+    Skew: by default AQE splits an oversized partition of the last join.
+    ``split_hot_accounts`` (or a known ``hot_accounts`` list) routes the
+    transactions of hot accounts through a broadcast join instead
+    (``joins.split_hot_join``); the rows are the same either way.
+    """
     c = customer.select("CUSTOMER_ID", "NAME")
     a = account.select("ACCOUNT_ID", "CUSTOMER_ID")
     t = transaction.select(
         "ACCOUNT_ID", "TRANSACTION_ID", "AMOUNT", "TRANSACTION_TYPE", "TRANSACTION_DATE"
     )
-    return c.join(a, "CUSTOMER_ID").join(t, "ACCOUNT_ID").select(*AML_COLUMNS)
+    customer_accounts = c.join(a, "CUSTOMER_ID")
+    if split_hot_accounts or hot_accounts is not None:
+        joined = split_hot_join(t, customer_accounts, ["ACCOUNT_ID"], hot=hot_accounts)
+    else:
+        joined = customer_accounts.join(t, "ACCOUNT_ID")
+    return joined.select(*AML_COLUMNS)
 
 
 def _finish_summary(df: DataFrame, count_col: str, amount_col: str) -> DataFrame:

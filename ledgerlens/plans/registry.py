@@ -68,6 +68,11 @@ def q_aml(spark, sf_dir):
     return _aml(_e(spark, sf_dir))
 
 
+def q_aml_split_hot(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.aml_customer_transactions(e.customer, e.account, e.transaction, split_hot_accounts=True)
+
+
 def q_branch_summary(spark, sf_dir):
     return _summary(_e(spark, sf_dir))
 
@@ -292,10 +297,13 @@ def q_key_equality(spark, sf_dir):
 
 def q_reconcile(spark, sf_dir):
     e = _e(spark, sf_dir)
-    detail = e.transaction.select("ACCOUNT_ID", "AMOUNT").join(
-        e.account.select("ACCOUNT_ID", "BRANCH_ID"), "ACCOUNT_ID"
+    # Detail re-aggregated from the transactions: partial totals per account
+    # (combined map-side) joined to the account's branch.
+    per_account = e.transaction.groupBy("ACCOUNT_ID").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("AMOUNT")
     )
-    return Q.reconcile(_summary(e), detail, ["BRANCH_ID"])
+    detail = per_account.join(e.account.select("ACCOUNT_ID", "BRANCH_ID"), "ACCOUNT_ID")
+    return Q.reconcile(_summary(e), detail, ["BRANCH_ID"], detail_count="_n")
 
 
 def q_amount_totals(spark, sf_dir):
@@ -388,6 +396,7 @@ def q_rerun(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "aml_customer_transactions": q_aml,
+    "aml_customer_transactions_split_hot": q_aml_split_hot,
     "branch_summary": q_branch_summary,
     "branch_summary_join_first": q_branch_summary_join_first,
     "branch_summary_enriched": q_enriched,

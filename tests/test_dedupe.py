@@ -79,3 +79,24 @@ def test_hot_key_is_aggregated_not_windowed(spark):
     assert len(hot) == 1
     assert hot[0].D == dt.date(2020, 1, 1) + dt.timedelta(days=999)
     assert out.count() == 1 + (n - n // 3)
+
+
+def test_split_hot_join_equals_plain_join(spark):
+    from ledgerlens.operators.joins import hot_keys, split_hot_join
+
+    # Account 7 holds a third of the transactions; one account row repeats.
+    fact = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("ACCOUNT_ID"),
+        F.col("id").alias("TRANSACTION_ID"),
+    )
+    dim = spark.range(500).select(F.col("id").alias("ACCOUNT_ID"), (F.col("id") * 10).alias("CUSTOMER_ID"))
+    dim = dim.unionByName(dim.where("ACCOUNT_ID = 7"))
+    assert (7,) in hot_keys(fact, ["ACCOUNT_ID"], min_share=0.05, sample_fraction=0.2)
+    plain = fact.join(dim, ["ACCOUNT_ID"])
+    split = split_hot_join(fact, dim, ["ACCOUNT_ID"], min_share=0.05, sample_fraction=0.2)
+    assert split.count() == plain.count() > 30_000
+    from ledgerlens.operators.quality import diff_summary
+
+    assert diff_summary(plain, split.select(*plain.columns)).first().differing_rows == 0
+    # The hot rows go through a broadcast join.
+    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
