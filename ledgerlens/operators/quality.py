@@ -452,6 +452,35 @@ def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("record_count")), observation
 
 
+def observed_profile(df: DataFrame, table_name: str) -> tuple[DataFrame, Observation]:
+    """Q1/Q17 during another action: row count and per-column NULL counts
+    are collected while ``df`` is written, with no extra pass.
+
+    Read the result with ``verdict_from_observation`` after the action.
+    """
+    observation = Observation(f"profile {table_name}")
+    metrics = [F.count(F.lit(1)).alias("row_count")] + [
+        F.count_if(df[c].isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)
+    ]
+    return df.observe(observation, *metrics), observation
+
+
+def verdict_from_observation(table_name: str, columns: Sequence[str], observation: Observation) -> dict:
+    """The ``verdict`` row of an observed profile, as a dict."""
+    metrics = observation.get
+    rows = int(metrics["row_count"])
+    nulls = [int(metrics[f"null_{i}"]) for i in range(len(columns))]
+    return {
+        "table_name": table_name,
+        "row_count": rows,
+        "null_cells": sum(nulls),
+        "columns_with_nulls": sum(1 for n in nulls if n > 0),
+        "passed_lenient": rows > 0,
+        "passed_strict": rows > 0 and sum(nulls) == 0,
+        "null_counts": dict(zip(columns, nulls)),
+    }
+
+
 def before_after_counts(
     before: DataFrame,
     after: DataFrame,

@@ -61,6 +61,33 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def staging_name(name: str) -> str:
+    return f"{name}__staging"
+
+
+def write_staging(df: DataFrame, name: str, *, fmt: str = "parquet") -> str:
+    """S16, step 1: write ``df`` to the staging table of ``name``; returns it.
+
+    The target is untouched.  The staging table is a written table, so it
+    also cuts the lineage: checks and the swap never re-run the job.
+    """
+    spark = df.sparkSession
+    staging = staging_name(name)
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    write_table(df, staging, fmt=fmt)
+    return staging
+
+
+def publish_staging(spark: SparkSession, name: str) -> None:
+    """S16, step 2: replace ``name`` with its staging table (drop + rename)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+
+
+def discard_staging(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {staging_name(name)}")
+
+
 def staged_overwrite(
     df: DataFrame,
     name: str,
@@ -71,18 +98,14 @@ def staged_overwrite(
     """Replace ``name`` with ``df`` only after the new data is written
     and passes ``check`` (run on the staged table, not on a recomputation).
 
-    The staging table is a written table, so it also cuts the lineage: the
-    check and the swap never re-run the job that produced ``df``.
+    A failed job or a failed check leaves the old table untouched.
     """
     spark = df.sparkSession
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    write_table(df, staging, fmt=fmt)
+    staging = write_staging(df, name, fmt=fmt)
     if check is not None and not check(spark.table(staging)):
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        discard_staging(spark, name)
         raise ValueError(f"staged data for {name} failed its check; {name} left unchanged")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    publish_staging(spark, name)
 
 
 def create_table(

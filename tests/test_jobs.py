@@ -114,3 +114,37 @@ def test_read_details_table_name():
     spark = _FakeSpark()
     jdbc.read_branch_operational_details(spark, "jdbc:x", {}, column="BRANCH_ID", num_partitions=2, lower_bound=0, upper_bound=10)
     assert spark.read.calls[-1]["table"] == "BRANCH_OPERATIONAL_DETAILS"
+
+
+def test_empty_report_publishes_nothing(spark, scratch_db):
+    # Sources pass, but no account matches a customer: the AML report is
+    # empty, so neither report replaces the existing tables.
+    customer, account, transaction, branch, details = v2_sample(spark)
+    from pyspark.sql import functions as F2
+
+    T.write_table(account.limit(1), f"{scratch_db}.aml_e")
+    lonely = customer.withColumn("CUSTOMER_ID", F2.col("CUSTOMER_ID") + 1000)
+    with pytest.raises(QualityGateError):
+        run_reporting_job(
+            spark,
+            Sources(lonely, account, transaction, branch),
+            aml_table=f"{scratch_db}.aml_e",
+            summary_table=f"{scratch_db}.summary_e",
+        )
+    assert T.read_table(spark, f"{scratch_db}.aml_e").count() == 1
+    assert not T.table_exists(spark, f"{scratch_db}.summary_e")
+    assert not T.table_exists(spark, f"{scratch_db}.aml_e__staging")
+
+
+def test_report_profile_observed_during_write(spark, scratch_db):
+    customer, account, transaction, branch, details = v2_sample(spark)
+    result = run_reporting_job(
+        spark,
+        Sources(customer, account, transaction, branch, details.withColumnRenamed("STATUS", "IS_ACTIVE")),
+        aml_table=f"{scratch_db}.aml_o",
+        summary_table=f"{scratch_db}.summary_o",
+        enrich_options={"active_value": "ACTIVE"},
+    )
+    summary_verdict = [v for v in result.report_verdicts if v["table_name"].endswith("summary_o")][0]
+    assert summary_verdict["row_count"] == 2
+    assert summary_verdict["null_counts"]["REGION"] == 0
