@@ -4,12 +4,14 @@ Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 driver tables at that scale.  ``ledgerlens.plans.oracle.ORACLE_SQL`` holds
 the DuckDB equivalent under the same key with the same column names.
 
-Sink keys write to managed tables in ``SCRATCH_DB`` (under the session's
-warehouse directory), read them back, and return the table.
+Sink keys write to managed tables in a scratch database of the running
+application (under the session's warehouse directory), read them back, and
+return the table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +59,16 @@ def _entity_frames(e: td.Entities) -> dict[str, DataFrame]:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB}")
-    return f"{SCRATCH_DB}.{name}"
+    """A managed table name in this application's own scratch database.
+
+    One database per Spark application: a later application with a fresh
+    catalog never meets table folders left by an earlier one (Spark refuses
+    to create a managed table over an existing location).
+    """
+    app = re.sub(r"[^0-9A-Za-z]", "_", spark.sparkContext.applicationId)
+    db = f"{SCRATCH_DB}_{app}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    return f"{db}.{name}"
 
 
 # ---- reports ----------------------------------------------------------------
