@@ -103,3 +103,45 @@ def _key_in(keys: list[str], values: list[tuple]):
             one = one & (F.col(k) == F.lit(x))
         cond = cond | F.coalesce(one, F.lit(False))
     return cond
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    *,
+    hot: list[tuple] | None = None,
+    salts: int = 32,
+    min_share: float = 0.01,
+    sample_fraction: float = 0.001,
+    max_replicated_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner equi-join ``fact ⋈ dim`` on ``keys`` with hot keys salted.
+
+    Fact rows of a hot key get a salt in ``[0, salts)`` from a hash of the
+    whole row (deterministic, so a retried task routes rows the same way);
+    the dimension rows of hot keys are replicated once per salt, all other
+    rows carry salt 0.  The join on ``keys + salt`` spreads each hot key over
+    ``salts`` partitions with one pass over the fact table.  The replicated
+    rows are bounded: at most ``1 / min_share`` hot keys, and their dimension
+    rows are counted first (``max_replicated_rows``); past the bound this is
+    the plain join, where AQE's skew join still applies.
+    """
+    if hot is None:
+        hot = hot_keys(fact, keys, min_share=min_share, sample_fraction=sample_fraction)
+    if not hot:
+        return fact.join(dim, keys)
+    is_hot = _key_in(keys, hot)
+    if not row_count_at_most(dim.where(is_hot), max_replicated_rows):
+        return fact.join(dim, keys)
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    salted_fact = fact.withColumn(
+        "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    )
+    salted_dim = dim.withColumn(
+        "_salt",
+        F.explode(
+            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        ),
+    )
+    return salted_fact.join(salted_dim, keys + ["_salt"]).drop("_salt")

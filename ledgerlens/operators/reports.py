@@ -26,6 +26,7 @@ from ledgerlens.operators.dedupe import latest_per_key
 from ledgerlens.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
     broadcast_if_bounded,
+    salted_join,
     split_hot_join,
 )
 from ledgerlens.schemas import AML_COLUMNS
@@ -42,14 +43,18 @@ def aml_customer_transactions(
     transaction: DataFrame,
     *,
     split_hot_accounts: bool = False,
+    salt_hot_accounts: bool = False,
     hot_accounts: list[tuple] | None = None,
 ) -> DataFrame:
     """CUSTOMER ⋈ ACCOUNT ⋈ TRANSACTION (inner, USING keys), 7 columns.
 
-    Skew: by default AQE splits an oversized partition of the last join.
-    ``split_hot_accounts`` (or a known ``hot_accounts`` list) routes the
-    transactions of hot accounts through a broadcast join instead
-    (``joins.split_hot_join``); the rows are the same either way.
+    Skew on ACCOUNT_ID: by default AQE splits an oversized partition of the
+    last join at run time.  Explicitly, ``salt_hot_accounts`` spreads each
+    hot account over several partitions (``joins.salted_join``, one pass
+    over the transactions) and ``split_hot_accounts`` routes hot accounts
+    through a broadcast join (``joins.split_hot_join``).  ``hot_accounts``
+    gives the hot keys instead of sampling for them.  The rows are the same
+    in every mode.
     """
     c = customer.select("CUSTOMER_ID", "NAME")
     a = account.select("ACCOUNT_ID", "CUSTOMER_ID")
@@ -57,7 +62,9 @@ def aml_customer_transactions(
         "ACCOUNT_ID", "TRANSACTION_ID", "AMOUNT", "TRANSACTION_TYPE", "TRANSACTION_DATE"
     )
     customer_accounts = c.join(a, "CUSTOMER_ID")
-    if split_hot_accounts or hot_accounts is not None:
+    if salt_hot_accounts:
+        joined = salted_join(t, customer_accounts, ["ACCOUNT_ID"], hot=hot_accounts)
+    elif split_hot_accounts or hot_accounts is not None:
         joined = split_hot_join(t, customer_accounts, ["ACCOUNT_ID"], hot=hot_accounts)
     else:
         joined = customer_accounts.join(t, "ACCOUNT_ID")

@@ -220,6 +220,7 @@ def _oracle() -> dict[str, str]:
     sql = {
         "aml_customer_transactions": "SELECT * FROM r_aml",
         "aml_customer_transactions_split_hot": "SELECT * FROM r_aml",
+        "aml_customer_transactions_salted": "SELECT * FROM r_aml",
         "branch_summary": "SELECT * FROM r_summary",
         "branch_summary_join_first": "SELECT * FROM r_summary",
         "branch_summary_enriched": "SELECT * FROM r_enriched",

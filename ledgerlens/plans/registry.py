@@ -83,6 +83,11 @@ def q_aml_split_hot(spark, sf_dir):
     return R.aml_customer_transactions(e.customer, e.account, e.transaction, split_hot_accounts=True)
 
 
+def q_aml_salted(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True)
+
+
 def q_branch_summary(spark, sf_dir):
     return _summary(_e(spark, sf_dir))
 
@@ -407,6 +412,7 @@ def q_rerun(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "aml_customer_transactions": q_aml,
     "aml_customer_transactions_split_hot": q_aml_split_hot,
+    "aml_customer_transactions_salted": q_aml_salted,
     "branch_summary": q_branch_summary,
     "branch_summary_join_first": q_branch_summary_join_first,
     "branch_summary_enriched": q_enriched,

@@ -100,3 +100,33 @@ def test_split_hot_join_equals_plain_join(spark):
     assert diff_summary(plain, split.select(*plain.columns)).first().differing_rows == 0
     # The hot rows go through a broadcast join.
     assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
+    from ledgerlens.operators.joins import salted_join
+    from ledgerlens.operators.quality import diff_summary
+
+    fact = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("ACCOUNT_ID"),
+        F.col("id").alias("TRANSACTION_ID"),
+    )
+    dim = spark.range(500).select(F.col("id").alias("ACCOUNT_ID"), (F.col("id") * 10).alias("CUSTOMER_ID"))
+    dim = dim.unionByName(dim.where("ACCOUNT_ID = 7"))
+    plain = fact.join(dim, ["ACCOUNT_ID"])
+    salted = salted_join(fact, dim, ["ACCOUNT_ID"], hot=[(7,)], salts=8)
+    assert diff_summary(plain, salted.select(*plain.columns)).first().differing_rows == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # The hot key's rows land in several shuffle partitions.
+        parts = (
+            salted_join(fact, dim, ["ACCOUNT_ID"], hot=[(7,)], salts=8)
+            .where("ACCOUNT_ID = 7")
+            .select(F.spark_partition_id().alias("p"))
+            .distinct()
+            .count()
+        )
+        assert parts > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
