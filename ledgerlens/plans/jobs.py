@@ -2,6 +2,8 @@
 
 Differences from the reference job, each on purpose:
 
+* sources are checked for the columns the reports need before any job
+  runs, so a renamed or dropped column stops the job with a clear message;
 * the quality check of all sources is **one** Spark job (a NULL profile per
   table, unioned), not 1 + n ``count()`` actions per table (§3);
 * its verdict gates the writes when ``gate=True`` (D11);
@@ -27,6 +29,14 @@ from ledgerlens.sources import tables as T
 AML_TABLE = "AML_CUSTOMER_TRANSACTIONS"
 SUMMARY_TABLE = "BRANCH_SUMMARY_REPORT"
 SOURCE_TABLES = ("CUSTOMER", "ACCOUNT", "TRANSACTION", "BRANCH", "BRANCH_OPERATIONAL_DETAILS")
+# Columns each source must carry for the two reports (checked before any job).
+NEEDED_COLUMNS = {
+    "CUSTOMER": ["CUSTOMER_ID", "NAME"],
+    "ACCOUNT": ["ACCOUNT_ID", "CUSTOMER_ID", "BRANCH_ID"],
+    "TRANSACTION": ["TRANSACTION_ID", "ACCOUNT_ID", "AMOUNT", "TRANSACTION_TYPE", "TRANSACTION_DATE"],
+    "BRANCH": ["BRANCH_ID", "BRANCH_NAME"],
+    "BRANCH_OPERATIONAL_DETAILS": ["BRANCH_ID", "REGION", "LAST_AUDIT_DATE"],
+}
 
 
 class QualityGateError(RuntimeError):
@@ -110,6 +120,13 @@ def run_reporting_job(
     With ``sources.details`` the summary is the enriched v2 report
     (``enrich_options`` go to ``enrich_summary``); without, the v1 report.
     """
+    options = dict(enrich_options or {})
+    for name, df in sources.named().items():
+        needed = list(NEEDED_COLUMNS[name])
+        if name == "BRANCH_OPERATIONAL_DETAILS" and options.get("active_rule", "filter") != "none":
+            needed.append(options.get("active_col", "IS_ACTIVE"))
+        Q.require_columns(df, name, needed)
+
     result = JobResult()
     verdict_rows = [r.asDict() for r in source_verdicts(sources).collect()]
     result.verdicts = verdict_rows
@@ -121,7 +138,7 @@ def run_reporting_job(
     aml = R.aml_customer_transactions(sources.customer, sources.account, sources.transaction)
     summary = R.branch_summary(sources.transaction, sources.account, sources.branch)
     if sources.details is not None:
-        summary = R.enrich_summary(summary, sources.details, **dict(enrich_options or {}))
+        summary = R.enrich_summary(summary, sources.details, **options)
 
     staged: list[str] = []
     try:

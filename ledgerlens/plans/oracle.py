@@ -237,6 +237,13 @@ def _oracle() -> dict[str, str]:
               CAST(coalesce(s.TOTAL_TRANSACTIONS, 0) AS BIGINT) AS TOTAL_TRANSACTIONS,
               CAST(coalesce(s.TOTAL_AMOUNT, 0.0) AS DOUBLE) AS TOTAL_AMOUNT
             FROM e_branch b LEFT JOIN r_summary s ON b.BRANCH_ID = s.BRANCH_ID""",
+        "branch_summary_all_branches_enriched": """
+            SELECT b.BRANCH_ID, b.BRANCH_NAME,
+              CAST(coalesce(s.TOTAL_TRANSACTIONS, 0) AS BIGINT) AS TOTAL_TRANSACTIONS,
+              CAST(coalesce(s.TOTAL_AMOUNT, 0.0) AS DOUBLE) AS TOTAL_AMOUNT,
+              d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
+            FROM e_branch b LEFT JOIN r_summary s ON b.BRANCH_ID = s.BRANCH_ID
+            LEFT JOIN r_details_active_latest d ON b.BRANCH_ID = d.BRANCH_ID""",
         "branch_summary_flat": """
             SELECT t.BRANCH_ID AS BRANCH_ID, b.BRANCH_NAME AS BRANCH_NAME,
               CAST(t.n AS BIGINT) AS TOTAL_TRANSACTIONS, CAST(t.amount AS DOUBLE) AS TOTAL_AMOUNT

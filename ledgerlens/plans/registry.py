@@ -117,6 +117,11 @@ def q_all_branches(spark, sf_dir):
     return R.all_branches(_summary(e), e.branch)
 
 
+def q_all_branches_enriched(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.enrich_summary(R.all_branches(_summary(e), e.branch), e.details)
+
+
 def q_flat(spark, sf_dir):
     e = _e(spark, sf_dir)
     return R.branch_summary_flat(e.transaction_flat, e.branch_flat)
@@ -418,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "branch_summary_left_no_rule": q_left_no_rule,
     "branch_summary_case_active": q_case_active,
     "branch_summary_all_branches": q_all_branches,
+    "branch_summary_all_branches_enriched": q_all_branches_enriched,
     "branch_summary_flat": q_flat,
     "summary_empty_details": q_summary_empty_details,
     "latest_details": q_latest_details,

@@ -148,3 +148,18 @@ def test_report_profile_observed_during_write(spark, scratch_db):
     summary_verdict = [v for v in result.report_verdicts if v["table_name"].endswith("summary_o")][0]
     assert summary_verdict["row_count"] == 2
     assert summary_verdict["null_counts"]["REGION"] == 0
+
+
+def test_source_schema_drift_stops_the_job(spark, scratch_db):
+    from ledgerlens.operators.quality import SchemaMismatch
+
+    customer, account, transaction, branch, details = v2_sample(spark)
+    renamed = details.withColumnRenamed("REGION", "AREA").withColumnRenamed("STATUS", "IS_ACTIVE")
+    with pytest.raises(SchemaMismatch, match="REGION"):
+        run_reporting_job(
+            spark,
+            Sources(customer, account, transaction, branch, renamed),
+            aml_table=f"{scratch_db}.aml_s",
+            summary_table=f"{scratch_db}.summary_s",
+        )
+    assert not T.table_exists(spark, f"{scratch_db}.aml_s")
