@@ -44,6 +44,13 @@ ENTITY_COLUMNS = {
         ["BRANCH_ID", "BRANCH_NAME", "TOTAL_TRANSACTIONS", "TOTAL_AMOUNT", "REGION", "LAST_AUDIT_DATE"],
     ),
 }
+# Profiles registered on top of the seven above (not part of quality_verdict).
+EXTRA_PROFILES = {
+    "BRANCH_OPERATIONAL_DETAILS_BY_SUPPLIER": (
+        "e_details_flat",
+        ["BRANCH_ID", "REGION", "MANAGER_NAME", "LAST_AUDIT_DATE", "IS_ACTIVE", "BRANCH_REF"],
+    ),
+}
 
 
 def _q(text: str) -> str:
@@ -85,6 +92,46 @@ def _details_cte() -> str:
 )"""
 
 
+def _hit(rule) -> str:
+    modulus, remainder = rule
+    return f"s.s_suppkey % {modulus} = {remainder}"
+
+
+def _details_flat_cte() -> str:
+    k = "s.s_suppkey"
+    _, dup_region, dup_manager, dup_audit, dup_active, _ = td.DUPLICATE_ROW
+    _, orph_region, orph_manager, orph_audit, orph_active, _ = td.ORPHAN_ROW
+    rows = (
+        "FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey "
+        "JOIN region r ON n.n_regionkey = r.r_regionkey"
+    )
+    off = td.FLAT_ORPHAN_OFFSET
+    return f"""e_details_flat AS (
+  SELECT {k} AS BRANCH_ID,
+    CASE WHEN {_hit(td.FLAT_NULL_REGION)} THEN NULL ELSE r.r_name END AS REGION,
+    CASE WHEN {_hit(td.FLAT_NO_COMMA)} THEN 'NoComma'
+         WHEN {_hit(td.FLAT_LONG_MANAGER)} THEN 'Long, ' || repeat('x', 100)
+         ELSE 'Manager, ' || s.s_name END AS MANAGER_NAME,
+    CASE WHEN {_hit(td.FLAT_NULL_AUDIT)} THEN NULL
+         WHEN {_hit(td.FLAT_FUTURE_AUDIT)} THEN DATE {_q(td.FUTURE_AUDIT_DATE)}
+         ELSE CAST(DATE {_q(td.AUDIT_BASE_DATE)} + CAST({k} % {td.FLAT_AUDIT_SPAN_DAYS} AS INTEGER) AS DATE)
+    END AS LAST_AUDIT_DATE,
+    CASE WHEN {_hit(td.FLAT_BAD_FLAG)} THEN 'X'
+         WHEN {k} % {td.INACTIVE_MODULUS} = 0 THEN 'N' ELSE 'Y' END AS IS_ACTIVE,
+    CASE WHEN {_hit(td.FLAT_BAD_REF)} THEN 'invalid_id' ELSE CAST({k} AS VARCHAR) END AS BRANCH_REF
+  {rows}
+  WHERE NOT ({_hit(td.FLAT_SKIP)})
+  UNION ALL
+  SELECT {k}, {_q(dup_region)}, {_q(dup_manager)}, DATE {_q(dup_audit)}, {_q(dup_active)},
+    CAST({k} AS VARCHAR)
+  {rows} WHERE {_hit(td.FLAT_DUPLICATE)}
+  UNION ALL
+  SELECT {k} + {off}, {_q(orph_region)}, {_q(orph_manager)}, DATE {_q(orph_audit)}, {_q(orph_active)},
+    CAST({k} + {off} AS VARCHAR)
+  {rows} WHERE {_hit(td.FLAT_ORPHAN)}
+)"""
+
+
 def _latest_cte(name: str, source: str) -> str:
     return f"""{name} AS (
   SELECT BRANCH_ID, REGION, MANAGER_NAME, LAST_AUDIT_DATE, IS_ACTIVE, BRANCH_REF FROM (
@@ -123,7 +170,11 @@ def _ctes() -> str:
   SELECT CAST(n_nationkey AS BIGINT) AS BRANCH_ID, n_name AS BRANCH_NAME, n_name AS STATE FROM nation
   UNION ALL SELECT CAST({idle_id} AS BIGINT), {_q(idle_name)}, {_q(idle_name)}
 )""",
-            "e_branch_flat AS (SELECT s_suppkey AS BRANCH_ID, s_name AS BRANCH_NAME FROM supplier)",
+            """e_branch_flat AS (
+  SELECT s.s_suppkey AS BRANCH_ID, s.s_name AS BRANCH_NAME, n.n_name AS STATE
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+)""",
+            _details_flat_cte(),
             _details_cte(),
             """r_summary AS (
   SELECT b.BRANCH_ID AS BRANCH_ID, b.BRANCH_NAME AS BRANCH_NAME,
@@ -134,6 +185,17 @@ def _ctes() -> str:
 )""",
             _latest_cte("r_details_latest", "e_details"),
             _latest_cte("r_details_active_latest", "(SELECT * FROM e_details WHERE IS_ACTIVE = 'Y')"),
+            _latest_cte("r_details_flat_latest", "e_details_flat"),
+            _latest_cte(
+                "r_details_flat_active_latest", "(SELECT * FROM e_details_flat WHERE IS_ACTIVE = 'Y')"
+            ),
+            """r_summary_flat AS (
+  SELECT t.BRANCH_ID AS BRANCH_ID, b.BRANCH_NAME AS BRANCH_NAME,
+    CAST(t.n AS BIGINT) AS TOTAL_TRANSACTIONS, CAST(t.amount AS DOUBLE) AS TOTAL_AMOUNT
+  FROM (SELECT BRANCH_ID, count(TRANSACTION_ID) AS n, sum(AMOUNT) AS amount
+        FROM e_transaction_flat GROUP BY BRANCH_ID) t
+  JOIN e_branch_flat b ON t.BRANCH_ID = b.BRANCH_ID
+)""",
             """r_enriched AS (
   SELECT s.BRANCH_ID, s.BRANCH_NAME, s.TOTAL_TRANSACTIONS, s.TOTAL_AMOUNT, d.REGION,
     strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
@@ -161,7 +223,7 @@ def with_ctes(body: str) -> str:
 
 
 def profile_sql(table_name: str) -> str:
-    source, cols = ENTITY_COLUMNS[table_name]
+    source, cols = {**ENTITY_COLUMNS, **EXTRA_PROFILES}[table_name]
     parts = [
         f"SELECT {_q(table_name)} AS table_name, {_q(c)} AS column_name, "
         f"CAST(count(*) AS BIGINT) AS row_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count "
@@ -250,6 +312,55 @@ def _oracle() -> dict[str, str]:
             FROM (SELECT BRANCH_ID, count(TRANSACTION_ID) AS n, sum(AMOUNT) AS amount
                   FROM e_transaction_flat GROUP BY BRANCH_ID) t
             JOIN e_branch_flat b ON t.BRANCH_ID = b.BRANCH_ID""",
+        "branch_summary_flat_enriched": """
+            SELECT s.*, d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
+            FROM r_summary_flat s LEFT JOIN r_details_flat_active_latest d ON s.BRANCH_ID = d.BRANCH_ID""",
+        "latest_details_by_supplier": "SELECT * FROM r_details_flat_latest",
+        "active_details_by_supplier": """
+            SELECT CAST(count(*) AS BIGINT) AS total_records,
+              CAST(count_if(IS_ACTIVE = 'Y') AS BIGINT) AS active_records FROM e_details_flat""",
+        "details_rules_by_supplier": f"""
+            SELECT BRANCH_ID, 'region_domain' AS rule, REGION AS value FROM e_details_flat
+            WHERE REGION NOT IN ({valid_regions})
+            UNION ALL SELECT BRANCH_ID, 'active_flag_domain', IS_ACTIVE FROM e_details_flat
+            WHERE IS_ACTIVE NOT IN ('Y', 'N')
+            UNION ALL SELECT BRANCH_ID, 'audit_date_in_future', CAST(LAST_AUDIT_DATE AS VARCHAR)
+            FROM e_details_flat WHERE LAST_AUDIT_DATE > DATE {_q(td.AS_OF)}
+            UNION ALL SELECT BRANCH_ID, 'manager_name_format', MANAGER_NAME FROM e_details_flat
+            WHERE NOT regexp_matches(MANAGER_NAME, {_q(MANAGER_NAME_PATTERN)})
+            UNION ALL SELECT BRANCH_ID, 'region_length', REGION FROM e_details_flat WHERE length(REGION) > 50
+            UNION ALL SELECT BRANCH_ID, 'manager_name_length', MANAGER_NAME FROM e_details_flat
+            WHERE length(MANAGER_NAME) > 100
+            UNION ALL SELECT BRANCH_ID, 'branch_ref_not_int', BRANCH_REF FROM e_details_flat
+            WHERE BRANCH_REF IS NOT NULL AND TRY_CAST(BRANCH_REF AS BIGINT) IS NULL""",
+        "orphan_details_by_supplier": """
+            SELECT * FROM e_details_flat d
+            WHERE NOT EXISTS (SELECT 1 FROM e_branch_flat b WHERE b.BRANCH_ID = d.BRANCH_ID)""",
+        "duplicate_keys_by_supplier": """
+            SELECT BRANCH_ID, CAST(count(*) AS BIGINT) AS row_count FROM e_details_flat
+            GROUP BY BRANCH_ID HAVING count(*) > 1""",
+        "details_coverage_by_supplier": """
+            SELECT total_branches, branches_with_operational_details,
+              total_branches - branches_with_operational_details AS missing_operational_details,
+              CAST(total_branches - branches_with_operational_details AS DOUBLE)
+                / NULLIF(total_branches, 0) AS missing_share,
+              coalesce(CAST(total_branches - branches_with_operational_details AS DOUBLE)
+                / NULLIF(total_branches, 0) > 0.05, false) AS breached
+            FROM (SELECT CAST(count(*) AS BIGINT) AS total_branches,
+                    CAST(count(d.BRANCH_ID) AS BIGINT) AS branches_with_operational_details
+                  FROM e_branch_flat b LEFT JOIN e_details_flat d ON b.BRANCH_ID = d.BRANCH_ID) x""",
+        "seed_missing_details_by_supplier": f"""
+            SELECT CAST(BRANCH_ID AS INTEGER) AS BRANCH_ID, {bucket_case} AS REGION,
+              'TBD' AS MANAGER_NAME, DATE {_q(td.AS_OF)} AS LAST_AUDIT_DATE, 'Y' AS IS_ACTIVE
+            FROM e_branch_flat b
+            WHERE NOT EXISTS (SELECT 1 FROM e_details_flat d WHERE d.BRANCH_ID = b.BRANCH_ID)""",
+        "ref_integrity_by_supplier": "\nUNION ALL\n".join(
+            [
+                _edge_sql("transaction_branch", "e_transaction_flat", "BRANCH_ID", "e_branch_flat", "BRANCH_ID"),
+                _edge_sql("details_branch", "e_details_flat", "BRANCH_ID", "e_branch_flat", "BRANCH_ID"),
+                _edge_sql("summary_details", "r_summary_flat", "BRANCH_ID", "e_details_flat", "BRANCH_ID"),
+            ]
+        ),
         "summary_empty_details": """
             SELECT s.*, CAST(NULL AS VARCHAR) AS REGION, CAST(NULL AS VARCHAR) AS LAST_AUDIT_DATE
             FROM r_summary s""",
@@ -393,6 +504,7 @@ def _oracle() -> dict[str, str]:
     }
     for table_name in ENTITY_COLUMNS:
         sql[f"null_profile_{_profile_key(table_name)}"] = profile_sql(table_name)
+    sql["null_profile_details_by_supplier"] = profile_sql("BRANCH_OPERATIONAL_DETAILS_BY_SUPPLIER")
     return {key: with_ctes(body.strip()) for key, body in sql.items()}
 
 

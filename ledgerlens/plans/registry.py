@@ -343,6 +343,83 @@ def q_stage_metrics(spark, sf_dir):
     return Q.record_counts(_entity_frames(_e(spark, sf_dir)))
 
 
+# ---- supplier grain: the same operators on details that grow with the data ----
+
+
+def _flat_summary(e: td.Entities) -> DataFrame:
+    return R.branch_summary_flat(e.transaction_flat, e.branch_flat)
+
+
+def _detail_rules() -> list[Q.Rule]:
+    col = F.col
+    return [
+        Q.Rule("region_domain", C.outside_domain(col("REGION"), td.VALID_REGIONS), col("REGION")),
+        Q.Rule("active_flag_domain", C.outside_domain(col("IS_ACTIVE"), ["Y", "N"]), col("IS_ACTIVE")),
+        Q.Rule("audit_date_in_future", C.after(col("LAST_AUDIT_DATE"), td.AS_OF), col("LAST_AUDIT_DATE")),
+        Q.Rule("manager_name_format", C.not_matching(col("MANAGER_NAME")), col("MANAGER_NAME")),
+        Q.Rule("region_length", C.longer_than(col("REGION"), 50), col("REGION")),
+        Q.Rule("manager_name_length", C.longer_than(col("MANAGER_NAME"), 100), col("MANAGER_NAME")),
+        Q.Rule("branch_ref_not_int", C.not_convertible(col("BRANCH_REF"), "bigint"), col("BRANCH_REF")),
+    ]
+
+
+def q_flat_enriched(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.enrich_summary(_flat_summary(e), e.details_flat)
+
+
+def q_latest_by_supplier(spark, sf_dir):
+    return latest_per_key(_e(spark, sf_dir).details_flat, ["BRANCH_ID"], ["LAST_AUDIT_DATE"])
+
+
+def q_active_by_supplier(spark, sf_dir):
+    d = _e(spark, sf_dir).details_flat
+    return d.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(F.col("IS_ACTIVE") == "Y").alias("active_records"),
+    )
+
+
+def q_rules_by_supplier(spark, sf_dir):
+    return Q.violations(_e(spark, sf_dir).details_flat, ["BRANCH_ID"], _detail_rules())
+
+
+def q_orphans_by_supplier(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return Q.missing_parents(e.details_flat, e.branch_flat, ["BRANCH_ID"])
+
+
+def q_duplicates_by_supplier(spark, sf_dir):
+    return Q.duplicate_keys(_e(spark, sf_dir).details_flat, ["BRANCH_ID"])
+
+
+def q_coverage_by_supplier(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return Q.coverage(e.branch_flat, e.details_flat)
+
+
+def q_seed_by_supplier(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return M.seed_details(
+        e.branch_flat, e.details_flat, as_of=td.AS_OF, buckets=td.STATE_BUCKETS, default=td.STATE_BUCKET_DEFAULT
+    )
+
+
+def q_integrity_by_supplier(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return Q.integrity_report(
+        [
+            Q.Edge("transaction_branch", e.transaction_flat, e.branch_flat, ["BRANCH_ID"]),
+            Q.Edge("details_branch", e.details_flat, e.branch_flat, ["BRANCH_ID"]),
+            Q.Edge("summary_details", _flat_summary(e), e.details_flat, ["BRANCH_ID"]),
+        ]
+    )
+
+
+def q_profile_by_supplier(spark, sf_dir):
+    return Q.profile(_e(spark, sf_dir).details_flat, "BRANCH_OPERATIONAL_DETAILS_BY_SUPPLIER")
+
+
 # ---- sinks ----------------------------------------------------------------------
 
 
@@ -453,6 +530,16 @@ QUERIES: dict[str, Query] = {
     "row_counts": q_row_counts,
     "distinct_branch_keys": q_distinct_keys,
     "stage_metrics": q_stage_metrics,
+    "branch_summary_flat_enriched": q_flat_enriched,
+    "latest_details_by_supplier": q_latest_by_supplier,
+    "active_details_by_supplier": q_active_by_supplier,
+    "details_rules_by_supplier": q_rules_by_supplier,
+    "orphan_details_by_supplier": q_orphans_by_supplier,
+    "duplicate_keys_by_supplier": q_duplicates_by_supplier,
+    "details_coverage_by_supplier": q_coverage_by_supplier,
+    "seed_missing_details_by_supplier": q_seed_by_supplier,
+    "ref_integrity_by_supplier": q_integrity_by_supplier,
+    "null_profile_details_by_supplier": q_profile_by_supplier,
     "sink_roundtrip_summary": q_sink_summary,
     "sink_roundtrip_aml": q_sink_aml,
     "sink_evolve_4_to_6": q_sink_evolve,

@@ -41,6 +41,20 @@ STATE_BUCKETS = {
 }
 STATE_BUCKET_DEFAULT = "Central"
 VALID_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# Supplier-grain details (grow with the scale factor): the same kinds of
+# defects, placed by modulus rules on s_suppkey as (modulus, remainder).
+FLAT_SKIP = (7, 0)
+FLAT_NULL_REGION = (97, 3)
+FLAT_NO_COMMA = (89, 8)
+FLAT_LONG_MANAGER = (83, 13)
+FLAT_NULL_AUDIT = (79, 4)
+FLAT_FUTURE_AUDIT = (73, 6)
+FLAT_BAD_FLAG = (71, 9)
+FLAT_BAD_REF = (67, 12)
+FLAT_DUPLICATE = (61, 1)
+FLAT_ORPHAN = (59, 2)
+FLAT_ORPHAN_OFFSET = 1_000_000_000
+FLAT_AUDIT_SPAN_DAYS = 365
 AS_OF = "2026-12-01"
 
 
@@ -138,11 +152,63 @@ def branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def branch_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat-grain branches: suppliers; STATE is the supplier's nation name."""
     s = _read(spark, sf_dir, "supplier")
-    return s.select(
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select(
         F.col("s_suppkey").alias("BRANCH_ID"),
         F.col("s_name").alias("BRANCH_NAME"),
+        F.col("n_name").alias("STATE"),
+    )
+
+
+def _hit(rule: tuple[int, int], key: str = "s_suppkey") -> str:
+    modulus, remainder = rule
+    return f"{key} % {modulus} = {remainder}"
+
+
+def branch_operational_details_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier-grain BRANCH_OPERATIONAL_DETAILS: one row per supplier (some
+    skipped), defects placed by the FLAT_* rules, plus later duplicate rows
+    and orphan rows derived from suppliers.  Grows with the scale factor."""
+    s = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = _read(spark, sf_dir, "region")
+    rows = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == r["r_regionkey"])
+    k = "s_suppkey"
+    base = rows.where(f"NOT ({_hit(FLAT_SKIP)})").selectExpr(
+        f"{k} AS BRANCH_ID",
+        f"CASE WHEN {_hit(FLAT_NULL_REGION)} THEN CAST(NULL AS STRING) ELSE r_name END AS REGION",
+        f"CASE WHEN {_hit(FLAT_NO_COMMA)} THEN 'NoComma' "
+        f"WHEN {_hit(FLAT_LONG_MANAGER)} THEN concat('Long, ', repeat('x', 100)) "
+        f"ELSE concat('Manager, ', s_name) END AS MANAGER_NAME",
+        f"CASE WHEN {_hit(FLAT_NULL_AUDIT)} THEN CAST(NULL AS DATE) "
+        f"WHEN {_hit(FLAT_FUTURE_AUDIT)} THEN DATE'{FUTURE_AUDIT_DATE}' "
+        f"ELSE date_add(DATE'{AUDIT_BASE_DATE}', CAST({k} % {FLAT_AUDIT_SPAN_DAYS} AS INT)) END "
+        f"AS LAST_AUDIT_DATE",
+        f"CASE WHEN {_hit(FLAT_BAD_FLAG)} THEN 'X' WHEN {k} % {INACTIVE_MODULUS} = 0 THEN 'N' "
+        f"ELSE 'Y' END AS IS_ACTIVE",
+        f"CASE WHEN {_hit(FLAT_BAD_REF)} THEN 'invalid_id' ELSE CAST({k} AS STRING) END AS BRANCH_REF",
+    )
+    _, dup_region, dup_manager, dup_audit, dup_active, _ = DUPLICATE_ROW
+    duplicates = rows.where(_hit(FLAT_DUPLICATE)).selectExpr(
+        f"{k} AS BRANCH_ID",
+        f"'{dup_region}' AS REGION",
+        f"'{dup_manager}' AS MANAGER_NAME",
+        f"DATE'{dup_audit}' AS LAST_AUDIT_DATE",
+        f"'{dup_active}' AS IS_ACTIVE",
+        f"CAST({k} AS STRING) AS BRANCH_REF",
+    )
+    _, orphan_region, orphan_manager, orphan_audit, orphan_active, _ = ORPHAN_ROW
+    orphans = rows.where(_hit(FLAT_ORPHAN)).selectExpr(
+        f"{k} + {FLAT_ORPHAN_OFFSET} AS BRANCH_ID",
+        f"'{orphan_region}' AS REGION",
+        f"'{orphan_manager}' AS MANAGER_NAME",
+        f"DATE'{orphan_audit}' AS LAST_AUDIT_DATE",
+        f"'{orphan_active}' AS IS_ACTIVE",
+        f"CAST({k} + {FLAT_ORPHAN_OFFSET} AS STRING) AS BRANCH_REF",
     )
+    return base.unionByName(duplicates).unionByName(orphans)
 
 
 def branch_operational_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +268,7 @@ class Entities:
     details = cached_property(lambda self: self._make(branch_operational_details))
     transaction_flat = cached_property(lambda self: self._make(transaction_flat))
     branch_flat = cached_property(lambda self: self._make(branch_flat))
+    details_flat = cached_property(lambda self: self._make(branch_operational_details_flat))
 
 
 def load_entities(spark: SparkSession, sf_dir: str) -> Entities:
