@@ -137,3 +137,33 @@ def test_bucketed_write_avoids_join_shuffle(spark, scratch_db):
         assert joined.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_target_table_from_ddl_then_load(spark, scratch_db, summary_v2):
+    # The target is created from its DDL (properties are kept as options),
+    # then loaded by position with a full reload.
+    name = f"{scratch_db}.branch_summary_report"
+    T.create_table(
+        spark,
+        name,
+        BRANCH_SUMMARY_V2,
+        properties={"parquet.compression": "zstd", "report.owner": "reporting"},
+    )
+    summary_v2.write.insertInto(name, overwrite=True)
+    summary_v2.write.insertInto(name, overwrite=True)
+    back = T.read_table(spark, name)
+    Q.check_schema(back, BRANCH_SUMMARY_V2, "equal")
+    assert rows(back) == rows(summary_v2)
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert props.get("report.owner") == "reporting"
+
+
+def test_add_constant_column_and_evolve(spark, scratch_db, summary_v2):
+    # TC006 / P12: a constant column added to the report, written with schema evolution.
+    name = f"{scratch_db}.with_created"
+    T.write_table(summary_v2, name)
+    stamped = summary_v2.withColumn("CREATED_TIMESTAMP", F.lit("2026-12-01T00:00:00"))
+    T.write_table(stamped, name, evolve=True)
+    back = T.read_table(spark, name)
+    assert back.columns == BRANCH_SUMMARY_V2.fieldNames() + ["CREATED_TIMESTAMP"]
+    Q.check_schema(back, BRANCH_SUMMARY_V2, "compatible")
