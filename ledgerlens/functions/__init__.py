@@ -1,6 +1,9 @@
 """Column expressions and rule predicates."""
 
 from ledgerlens.functions.columns import (
+    ACTIVE_FLAGS,
+    BEFORE_AFTER_LABELS,
+    DEFAULT_REGIONS,
     DEFAULT_STATE_BUCKETS,
     DEFAULT_STATE_BUCKET_ELSE,
     ISO_DATE,
@@ -21,6 +24,9 @@ from ledgerlens.functions.columns import (
 )
 
 __all__ = [
+    "ACTIVE_FLAGS",
+    "BEFORE_AFTER_LABELS",
+    "DEFAULT_REGIONS",
     "DEFAULT_STATE_BUCKETS",
     "DEFAULT_STATE_BUCKET_ELSE",
     "ISO_DATE",

@@ -13,8 +13,10 @@ from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampT
 
 ISO_DATE = "yyyy-MM-dd"
 
-# The manager-name format 'Last, First Middle' (Q10) and the
-# reference's default STATE -> REGION buckets.
+# Fixed values of the reporting rules: the manager-name format
+# 'Last, First Middle' (Q10), the default STATE -> REGION buckets and their
+# ELSE value (P9), the documented REGION domain and the IS_ACTIVE domain (Q7),
+# and the labels of the before/after comparison.
 MANAGER_NAME_PATTERN = r"^[^,]+, [^,]+$"
 DEFAULT_STATE_BUCKETS = {
     "West": ["CA", "WA", "OR"],
@@ -22,6 +24,9 @@ DEFAULT_STATE_BUCKETS = {
     "South": ["TX", "FL", "GA"],
 }
 DEFAULT_STATE_BUCKET_ELSE = "Central"
+DEFAULT_REGIONS = ["North", "South", "East", "West", "Central"]
+ACTIVE_FLAGS = ["Y", "N"]
+BEFORE_AFTER_LABELS = ("Before Enhancement", "After Enhancement")
 
 
 def date_text(df: DataFrame, name: str) -> Column:

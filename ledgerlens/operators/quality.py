@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions.columns import BEFORE_AFTER_LABELS
+
 
 # ---- NULL profile and verdict (Q1, Q2, A6, A7, F2) --------------------------
 
@@ -492,7 +494,7 @@ def verdict_from_observation(table_name: str, columns: Sequence[str], observatio
 def before_after_counts(
     before: DataFrame,
     after: DataFrame,
-    labels: tuple[str, str] = ("Before Enhancement", "After Enhancement"),
+    labels: tuple[str, str] = BEFORE_AFTER_LABELS,
 ) -> DataFrame:
     """``version, record_count, column_count`` for two report versions."""
     rows = None

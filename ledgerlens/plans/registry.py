@@ -214,7 +214,7 @@ def q_domain(spark, sf_dir):
         sf_dir,
         lambda: [
             Q.Rule("region_domain", C.outside_domain(F.col("REGION"), td.VALID_REGIONS), F.col("REGION")),
-            Q.Rule("active_flag_domain", C.outside_domain(F.col("IS_ACTIVE"), ["Y", "N"]), F.col("IS_ACTIVE")),
+            Q.Rule("active_flag_domain", C.outside_domain(F.col("IS_ACTIVE"), C.ACTIVE_FLAGS), F.col("IS_ACTIVE")),
         ],
     )
 
@@ -354,7 +354,7 @@ def _detail_rules() -> list[Q.Rule]:
     col = F.col
     return [
         Q.Rule("region_domain", C.outside_domain(col("REGION"), td.VALID_REGIONS), col("REGION")),
-        Q.Rule("active_flag_domain", C.outside_domain(col("IS_ACTIVE"), ["Y", "N"]), col("IS_ACTIVE")),
+        Q.Rule("active_flag_domain", C.outside_domain(col("IS_ACTIVE"), C.ACTIVE_FLAGS), col("IS_ACTIVE")),
         Q.Rule("audit_date_in_future", C.after(col("LAST_AUDIT_DATE"), td.AS_OF), col("LAST_AUDIT_DATE")),
         Q.Rule("manager_name_format", C.not_matching(col("MANAGER_NAME")), col("MANAGER_NAME")),
         Q.Rule("region_length", C.longer_than(col("REGION"), 50), col("REGION")),
