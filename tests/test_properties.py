@@ -137,3 +137,59 @@ def test_strict_implies_lenient_and_profile_counts(spark, rows):
     assert (not v.passed_strict) or v.passed_lenient
     assert v.row_count == len(rows)
     assert v.null_cells == sum(1 for _, val in rows if val is None)
+
+
+rule_rows = st.lists(
+    st.tuples(
+        st.integers(1, 6),
+        st.one_of(st.none(), st.sampled_from(["AFRICA", "ASIA", "Mars", "x" * 60])),
+        st.one_of(st.none(), st.sampled_from(["Y", "N", "X"])),
+        st.one_of(st.none(), st.sampled_from(["12", "abc", "7x"])),
+    ),
+    max_size=12,
+)
+
+
+@SETTINGS
+@given(rule_rows)
+def test_violations_match_row_by_row_rules(spark, data):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.functions import columns as C
+
+    df = spark.createDataFrame(data, "K int, REGION string, ACT string, REF string")
+    rules = [
+        Q.Rule("domain", C.outside_domain(F.col("REGION"), ["AFRICA", "ASIA"]), F.col("REGION")),
+        Q.Rule("length", C.longer_than(F.col("REGION"), 50), F.col("REGION")),
+        Q.Rule("flag", C.outside_domain(F.col("ACT"), C.ACTIVE_FLAGS), F.col("ACT")),
+        Q.Rule("ref", C.not_convertible(F.col("REF"), "int"), F.col("REF")),
+    ]
+    got = collections.Counter(tuple(r) for r in Q.violations(df, ["K"], rules).collect())
+    want = collections.Counter()
+    for k, region, act, ref in data:
+        if region is not None and region not in ("AFRICA", "ASIA"):
+            want[(k, "domain", region)] += 1
+        if region is not None and len(region) > 50:
+            want[(k, "length", region)] += 1
+        if act is not None and act not in ("Y", "N"):
+            want[(k, "flag", act)] += 1
+        if ref is not None and not ref.isdigit():
+            want[(k, "ref", ref)] += 1
+    assert got == want
+    counts = {r.rule: r.violations for r in Q.violation_counts(df, "T", rules).collect()}
+    for name in ("domain", "length", "flag", "ref"):
+        assert counts[name] == sum(n for (k, rule, v), n in want.items() if rule == name)
+
+
+@SETTINGS
+@given(st.lists(st.integers(1, 6), max_size=8), st.lists(st.integers(1, 8), max_size=10))
+def test_coverage_matches_brute_force(spark, branches, details):
+    b = spark.createDataFrame([(x,) for x in branches], "BRANCH_ID long")
+    d = spark.createDataFrame([(x,) for x in details], "BRANCH_ID int")
+    lit_ = Q.coverage(b, d).first()
+    total = sum(max(1, details.count(x)) for x in branches)
+    present = sum(details.count(x) for x in branches)
+    assert (lit_.total_branches, lit_.branches_with_operational_details) == (total, present)
+    dis = Q.coverage(b, d, distinct=True).first()
+    assert dis.total_branches == len(set(branches))
+    assert dis.branches_with_operational_details == len(set(branches) & set(details))
