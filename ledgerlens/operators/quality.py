@@ -420,14 +420,20 @@ def amount_totals(df: DataFrame, amount: str = "AMOUNT") -> DataFrame:
 # ---- counts and stage metrics (A6, Q14, Q17) ---------------------------------
 
 
-def record_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """``stage, record_count`` for each named frame (lazy, one job)."""
+def record_counts(frames: Mapping[str, DataFrame], *, with_timestamp: bool = False) -> DataFrame:
+    """``stage, record_count`` for each named frame (lazy, one job).
+
+    ``with_timestamp`` adds the query's ``current_timestamp()`` as
+    ``timestamp`` (left out of compared output: it differs per run).
+    """
     rows = None
     for stage, df in frames.items():
         one = df.agg(F.count(F.lit(1)).alias("record_count")).select(
             F.lit(stage).alias("stage"), "record_count"
         )
         rows = one if rows is None else rows.unionByName(one)
+    if with_timestamp:
+        rows = rows.withColumn("timestamp", F.current_timestamp())
     return rows
 
 

@@ -227,3 +227,8 @@ def test_amount_totals_and_completeness(spark):
     assert (r.row_count, r.total_amount) == (3, 1.0)
     rep = spark.createDataFrame([("N", "2024-01-01"), (None, None)], "REGION string, LAST_AUDIT_DATE string")
     assert tuple(Q.report_completeness(rep).first()) == (2, 1, 1, 1)
+
+
+def test_record_counts_with_timestamp(spark):
+    out = Q.record_counts({"A": spark.range(3)}, with_timestamp=True).first()
+    assert (out.stage, out.record_count) == ("A", 3) and out.timestamp is not None
