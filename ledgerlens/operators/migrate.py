@@ -27,8 +27,12 @@ SEED_ACTIVE = "Y"
 
 
 def branches_without_details(branch: DataFrame, details: DataFrame, key: str = "BRANCH_ID") -> DataFrame:
-    """Branches with no details row (correlated NOT EXISTS → left anti)."""
-    d = details.select(F.col(key).cast("bigint").alias("_dk"))
+    """Branches with no details row (correlated NOT EXISTS → left anti).
+
+    Detail keys are made distinct first, so a key repeated many times is one
+    row on the side of the anti join that AQE cannot split.
+    """
+    d = details.select(F.col(key).cast("bigint").alias("_dk")).distinct()
     return branch.join(d, F.col(key).cast("bigint") == d["_dk"], "left_anti")
 
 

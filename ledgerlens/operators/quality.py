@@ -141,9 +141,12 @@ def missing_parents(
     """Child rows whose key has no parent row (NOT EXISTS semantics).
 
     A NULL child key has no parent and is returned, as NOT EXISTS does.
+    Parent keys are made distinct first (combined map-side), so a parent key
+    repeated a billion times is one row in the anti join; a hot child key is
+    on the side AQE's skew join can split.
     """
     ck, pk = _key_pairs(keys, parent_keys)
-    p = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)])
+    p = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)]).distinct()
     cond = [child[c] == p[f"_p{i}"] for i, c in enumerate(ck)]
     return child.join(p, cond, "left_anti")
 
@@ -376,17 +379,23 @@ def coverage(
     The literal form counts join rows, so a duplicated detail row counts a
     branch twice; ``distinct=True`` counts distinct branch keys instead.
     ``breached`` is TRUE when the missing share exceeds ``max_missing``.
+
+    Details are reduced to one row per key with its row count before the
+    join (a hot key costs one row), and the literal counts are rebuilt from
+    those counts: a branch row matching n details rows stands for n join
+    rows, one without a match for one.
     """
     b = branch.select(F.col(key).cast("bigint").alias("_bk"))
-    d = details.select(F.col(key).cast("bigint").alias("_dk"))
+    d = details.groupBy(F.col(key).cast("bigint").alias("_dk")).agg(F.count(F.lit(1)).alias("_n"))
     j = b.join(d, b["_bk"] == d["_dk"], "left")
     if distinct:
         total, present = F.count_distinct("_bk"), F.count_distinct("_dk")
     else:
-        total, present = F.count(F.lit(1)), F.count("_dk")
+        total = F.sum(F.coalesce(F.col("_n"), F.lit(1)))
+        present = F.sum(F.coalesce(F.col("_n"), F.lit(0)))
     counts = j.agg(
-        total.cast("bigint").alias("total_branches"),
-        present.cast("bigint").alias("branches_with_operational_details"),
+        F.coalesce(total, F.lit(0)).cast("bigint").alias("total_branches"),
+        F.coalesce(present, F.lit(0)).cast("bigint").alias("branches_with_operational_details"),
     )
     missing = F.col("total_branches") - F.col("branches_with_operational_details")
     share = F.try_divide(missing.cast("double"), F.col("total_branches").cast("double"))
