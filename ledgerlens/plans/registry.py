@@ -66,7 +66,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
     catalog never meets table folders left by an earlier one (Spark refuses
     to create a managed table over an existing location).
     """
-    app = re.sub(r"[^0-9A-Za-z]", "_", spark.sparkContext.applicationId)
+    app = re.sub(r"[^0-9A-Za-z]", "_", spark.conf.get("spark.app.id"))
     db = f"{SCRATCH_DB}_{app}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     return f"{db}.{name}"

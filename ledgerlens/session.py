@@ -26,7 +26,8 @@ def get_spark_session(
     """Return the active session, or build one with ``DEFAULT_CONF``.
 
     An active session is returned untouched (it may be shared, e.g. by a
-    Spark Connect client), so its configuration stays the owner's.
+    Spark Connect client), so its configuration stays the owner's.  The
+    library never touches ``sparkContext`` except as an optional fallback.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -42,14 +43,19 @@ def get_spark_session(
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; callers set their own only where it is unset
-    (tests do this with a scratch folder).
+    Read from the session's configuration (works under Spark Connect too);
+    callers set their own only where it is unset (tests do this with a
+    scratch folder).  In a classic session the folder is also registered
+    with the SparkContext so ``DataFrame.checkpoint()`` can use it.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
