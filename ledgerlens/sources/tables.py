@@ -78,10 +78,30 @@ def write_staging(df: DataFrame, name: str, *, fmt: str = "parquet") -> str:
     return staging
 
 
+def previous_name(name: str) -> str:
+    return f"{name}__previous"
+
+
 def publish_staging(spark: SparkSession, name: str) -> None:
-    """S16, step 2: replace ``name`` with its staging table (drop + rename)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+    """S16, step 2: swap the staging table in for ``name``.
+
+    The old table is renamed aside first, then the staging table takes the
+    name, then the old copy is dropped: at every moment either the old or
+    the new report exists under one of the two names, and a failed rename
+    puts the old table back.
+    """
+    previous = previous_name(name)
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    had_old = table_exists(spark, name)
+    if had_old:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
+    try:
+        spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+    except Exception:
+        if had_old:
+            spark.sql(f"ALTER TABLE {previous} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
 def discard_staging(spark: SparkSession, name: str) -> None:

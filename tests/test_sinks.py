@@ -167,3 +167,13 @@ def test_add_constant_column_and_evolve(spark, scratch_db, summary_v2):
     back = T.read_table(spark, name)
     assert back.columns == BRANCH_SUMMARY_V2.fieldNames() + ["CREATED_TIMESTAMP"]
     Q.check_schema(back, BRANCH_SUMMARY_V2, "compatible")
+
+
+def test_publish_keeps_old_table_when_rename_fails(spark, scratch_db, summary_v1):
+    name = f"{scratch_db}.swap"
+    T.write_table(summary_v1, name)
+    # No staging table exists, so the rename fails: the old table comes back.
+    with pytest.raises(Exception):
+        T.publish_staging(spark, name)
+    assert rows(T.read_table(spark, name)) == rows(summary_v1)
+    assert not T.table_exists(spark, T.previous_name(name))
