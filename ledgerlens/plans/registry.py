@@ -35,11 +35,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 # every query, as a reporting job reads its sources once for all reports.
 # They are immutable plans, so reuse never changes a result; the file
 # listing is taken when a view is first used.
-_ENTITIES: dict[tuple[str, str], td.Entities] = {}
+_ENTITIES: dict[tuple[int, str, str], td.Entities] = {}
 
 
 def _e(spark: SparkSession, sf_dir: str) -> td.Entities:
-    key = (spark.conf.get("spark.app.id"), sf_dir)
+    key = (id(spark), spark.conf.get("spark.app.id"), sf_dir)
     if key not in _ENTITIES:
         _ENTITIES[key] = td.load_entities(spark, sf_dir)
     return _ENTITIES[key]
