@@ -114,11 +114,16 @@ def run_reporting_job(
     gate: bool = True,
     strict: bool = False,
     enrich_options: Mapping[str, object] | None = None,
+    aml_options: Mapping[str, object] | None = None,
+    summary_options: Mapping[str, object] | None = None,
 ) -> JobResult:
     """Build and write AML_CUSTOMER_TRANSACTIONS and BRANCH_SUMMARY_REPORT.
 
     With ``sources.details`` the summary is the enriched v2 report
     (``enrich_options`` go to ``enrich_summary``); without, the v1 report.
+    ``aml_options`` go to ``aml_customer_transactions`` (e.g.
+    ``{"salt_hot_accounts": True}`` for skewed accounts) and
+    ``summary_options`` to ``branch_summary`` (e.g. ``{"broadcast_branch": True}``).
     """
     options = dict(enrich_options or {})
     for name, df in sources.named().items():
@@ -135,8 +140,12 @@ def run_reporting_job(
     if gate and failed:
         raise QualityGateError(f"sources failed the quality check: {failed}")
 
-    aml = R.aml_customer_transactions(sources.customer, sources.account, sources.transaction)
-    summary = R.branch_summary(sources.transaction, sources.account, sources.branch)
+    aml = R.aml_customer_transactions(
+        sources.customer, sources.account, sources.transaction, **dict(aml_options or {})
+    )
+    summary = R.branch_summary(
+        sources.transaction, sources.account, sources.branch, **dict(summary_options or {})
+    )
     if sources.details is not None:
         summary = R.enrich_summary(summary, sources.details, **options)
 

@@ -163,3 +163,23 @@ def test_source_schema_drift_stops_the_job(spark, scratch_db):
             summary_table=f"{scratch_db}.summary_s",
         )
     assert not T.table_exists(spark, f"{scratch_db}.aml_s")
+
+
+def test_job_with_salted_aml_and_checked_broadcast(spark, scratch_db):
+    customer, account, transaction, branch, details = v2_sample(spark)
+    result = run_reporting_job(
+        spark,
+        Sources(customer, account, transaction, branch, details.withColumnRenamed("STATUS", "IS_ACTIVE")),
+        aml_table=f"{scratch_db}.aml_x",
+        summary_table=f"{scratch_db}.summary_x",
+        enrich_options={"active_value": "ACTIVE"},
+        aml_options={"salt_hot_accounts": True, "hot_accounts": [(1001,)]},
+        summary_options={"broadcast_branch": True},
+    )
+    assert result.record_counts[f"{scratch_db}.aml_x"] == 4
+    assert sorted(tuple(r) for r in T.read_table(spark, f"{scratch_db}.summary_x").collect())[0][:4] == (
+        201,
+        "Downtown Branch",
+        3,
+        1000.0,
+    )
