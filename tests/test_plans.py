@@ -88,3 +88,24 @@ def test_aml_shuffles_fact_table_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bucketed_sources_remove_the_fact_shuffle(spark, scratch_db):
+    from ledgerlens.sources import tables as T
+
+    e = load_entities(spark, SF)
+    T.write_table(e.transaction, f"{scratch_db}.txn", bucket_by=(8, ["ACCOUNT_ID"]))
+    T.write_table(e.account, f"{scratch_db}.acct", bucket_by=(8, ["ACCOUNT_ID"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = R.branch_summary(
+            T.read_table(spark, f"{scratch_db}.txn"), T.read_table(spark, f"{scratch_db}.acct"), e.branch
+        )
+        plan = _plan(df)
+        assert "hashpartitioning(ACCOUNT_ID" not in plan
+        expected = sorted(tuple(r) for r in entry.queries()["branch_summary"](spark, SF).collect())
+        assert sorted(tuple(r) for r in df.collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
