@@ -60,3 +60,33 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     return None
+
+
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    *,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Settings sized for a job reading ``input_bytes`` on ``total_cores``.
+
+    The initial shuffle partition count gives each reducer about
+    ``target_partition_bytes`` of the input (and at least two waves of tasks
+    per core), so the biggest shuffle (the transaction side of a join) fits
+    in executor memory without spilling; AQE then coalesces the small
+    shuffles (per-account partials, per-branch totals) down to the advisory
+    size.  Scan splits use the same size, and a partition counts as skewed
+    past four times the median and the target size.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    size = f"{target_partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+    }

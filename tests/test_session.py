@@ -14,3 +14,13 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert folder is not None and "checkpoints" in folder
     df = spark.range(10).checkpoint()
     assert df.count() == 10
+
+
+def test_scale_conf_for_100_tb():
+    from ledgerlens.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600  # 100 TiB / 256 MiB
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    small = scale_conf(10 * 1024**2, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
