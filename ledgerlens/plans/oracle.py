@@ -361,6 +361,9 @@ def _oracle() -> dict[str, str]:
                 _edge_sql("summary_details", "r_summary_flat", "BRANCH_ID", "e_details_flat", "BRANCH_ID"),
             ]
         ),
+        "region_bucket_by_supplier": f"SELECT BRANCH_ID, STATE, {bucket_case} AS REGION FROM e_branch_flat",
+        "cast_audit_date_by_supplier": """
+            SELECT BRANCH_ID, strftime(LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE FROM e_details_flat""",
         "summary_empty_details": """
             SELECT s.*, CAST(NULL AS VARCHAR) AS REGION, CAST(NULL AS VARCHAR) AS LAST_AUDIT_DATE
             FROM r_summary s""",

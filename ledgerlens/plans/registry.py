@@ -426,6 +426,16 @@ def q_integrity_by_supplier(spark, sf_dir):
     )
 
 
+def q_region_bucket_by_supplier(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return M.region_buckets(e.branch_flat, td.STATE_BUCKETS, td.STATE_BUCKET_DEFAULT)
+
+
+def q_cast_audit_date_by_supplier(spark, sf_dir):
+    d = _e(spark, sf_dir).details_flat
+    return d.select("BRANCH_ID", C.date_text(d, "LAST_AUDIT_DATE").alias("LAST_AUDIT_DATE"))
+
+
 def q_profile_by_supplier(spark, sf_dir):
     return Q.profile(_e(spark, sf_dir).details_flat, "BRANCH_OPERATIONAL_DETAILS_BY_SUPPLIER")
 
@@ -550,6 +560,8 @@ QUERIES: dict[str, Query] = {
     "seed_missing_details_by_supplier": q_seed_by_supplier,
     "ref_integrity_by_supplier": q_integrity_by_supplier,
     "null_profile_details_by_supplier": q_profile_by_supplier,
+    "region_bucket_by_supplier": q_region_bucket_by_supplier,
+    "cast_audit_date_by_supplier": q_cast_audit_date_by_supplier,
     "sink_roundtrip_summary": q_sink_summary,
     "sink_roundtrip_aml": q_sink_aml,
     "sink_evolve_4_to_6": q_sink_evolve,
