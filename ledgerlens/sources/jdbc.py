@@ -25,10 +25,13 @@ def bounds(
     column: str,
     properties: Mapping[str, str],
 ) -> tuple[object, object]:
-    """MIN and MAX of ``column``, computed by the database (one tiny query)."""
+    """MIN and MAX of ``column``, computed by the database (one tiny query).
+
+    Read by position: databases differ in the case of unquoted aliases.
+    """
     query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
     row = spark.read.jdbc(url=url, table=query, properties=dict(properties)).first()
-    return row["lo"], row["hi"]
+    return row[0], row[1]
 
 
 def read_jdbc(

@@ -86,7 +86,7 @@ class _FakeFrame:
         self.kwargs = kwargs
 
     def first(self):
-        return {"lo": 1, "hi": 1000}
+        return (1, 1000)
 
 
 class _FakeSpark:
