@@ -5,8 +5,9 @@ driver tables at that scale.  ``ledgerlens.plans.oracle.ORACLE_SQL`` holds
 the DuckDB equivalent under the same key with the same column names.
 
 Sink keys write to managed tables in a scratch database of the running
-application (under the session's warehouse directory), read them back, and
-return the table.
+application (in the shared ``spark.checkpoint.dir`` folder when the session
+names one, else under the warehouse directory), read them back, and return
+the table.
 """
 
 from __future__ import annotations
@@ -78,7 +79,13 @@ def _scratch(spark: SparkSession, name: str) -> str:
     """
     app = re.sub(r"[^0-9A-Za-z]", "_", spark.conf.get("spark.app.id"))
     db = f"{SCRATCH_DB}_{app}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        # The shared folder the cluster names for intermediate data.
+        location = f"{shared.rstrip('/')}/{db}.db".replace("'", "''")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     return f"{db}.{name}"
 
 
