@@ -189,3 +189,17 @@ def test_staged_overwrite_can_rewrite_a_table_from_itself(spark, scratch_db, sum
         T.write_table(doubled, name)
     T.staged_overwrite(doubled, name)
     assert sorted(r.TOTAL_AMOUNT for r in T.read_table(spark, name).collect()) == [10.0, 20.0]
+
+
+def test_partitioned_write_prunes_partitions(spark, scratch_db):
+    from ledgerlens.operators.reports import aml_customer_transactions
+    from ledgerlens.sources.testdata import load_entities
+
+    e = load_entities(spark, "/root/testdata/sf0.001")
+    aml = aml_customer_transactions(e.customer, e.account, e.transaction)
+    name = f"{scratch_db}.aml_by_type"
+    T.write_table(aml, name, partition_by=["TRANSACTION_TYPE"])
+    back = T.read_table(spark, name).where(F.col("TRANSACTION_TYPE") == "R")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(TRANSACTION_TYPE" in plan
+    assert back.count() == aml.where(F.col("TRANSACTION_TYPE") == "R").count() > 0
