@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import date_text, money_to_double, when_active, zero_if_null
+from ledgerlens.functions.columns import after, date_text, money_to_double, when_active, zero_if_null
 from ledgerlens.operators.dedupe import latest_per_key
 from ledgerlens.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -35,6 +35,7 @@ SUMMARY_COLUMNS = ["BRANCH_ID", "BRANCH_NAME", "TOTAL_TRANSACTIONS", "TOTAL_AMOU
 ENRICHED_COLUMNS = SUMMARY_COLUMNS + ["REGION", "LAST_AUDIT_DATE"]
 JOIN_MODES = ("left", "inner")
 ACTIVE_RULES = ("filter", "case", "none")
+FUTURE_AUDIT_MODES = ("accept", "reject", "flag")
 
 
 def aml_customer_transactions(
@@ -145,13 +146,18 @@ def prepare_details(
     active_value: str = "Y",
     duplicates: str = "latest",
     audit_col: str = "LAST_AUDIT_DATE",
+    future_audit: str = "accept",
+    as_of: str | None = None,
 ) -> DataFrame:
-    """F1 + W1: the details side of the enrichment, before the join.
+    """F1 + W1 (+ Q9): the details side of the enrichment, before the join.
 
     ``filter`` keeps active rows first and then picks one per branch among
-    them; ``case`` and ``none`` pick among all rows.
+    them; ``case`` and ``none`` pick among all rows.  ``future_audit``
+    ``reject`` drops rows audited after ``as_of`` before that choice.
     """
     d = details
+    if future_audit == "reject":
+        d = d.where(~F.coalesce(after(F.col(audit_col), as_of), F.lit(False)))
     if active_rule == "filter":
         d = d.where(F.col(active_col) == F.lit(active_value))
     keep = ["BRANCH_ID", "REGION", audit_col] + ([active_col] if active_rule == "case" else [])
@@ -168,8 +174,10 @@ def enrich_summary(
     active_col: str = "IS_ACTIVE",
     active_value: str = "Y",
     duplicates: str = "latest",
+    future_audit: str = "accept",
+    as_of: str | None = None,
 ) -> DataFrame:
-    """Add REGION and LAST_AUDIT_DATE.
+    """Add REGION and LAST_AUDIT_DATE.
 
     ``how``: ``left`` (default, D1) keeps every report row; ``inner`` drops
     branches without details.  ``active_rule`` (D2): ``filter`` uses only
@@ -177,7 +185,14 @@ def enrich_summary(
     blanks both columns when inactive; ``none`` ignores the flag.
     ``duplicates`` (D14): ``latest`` (default), ``first``, ``keep``, ``error``.
     LAST_AUDIT_DATE is returned as ``yyyy-MM-dd`` text (D4).
+    ``future_audit`` (TC_KAN9_13) handles audit dates after ``as_of``:
+    ``accept`` keeps them, ``reject`` ignores those details rows, ``flag``
+    keeps them and adds a boolean ``AUDIT_DATE_IN_FUTURE`` column.
     """
+    if future_audit not in FUTURE_AUDIT_MODES:
+        raise ValueError(f"future_audit must be one of {FUTURE_AUDIT_MODES}, got {future_audit!r}")
+    if future_audit != "accept" and as_of is None:
+        raise ValueError("future_audit other than 'accept' needs as_of")
     if how not in JOIN_MODES:
         raise ValueError(f"how must be one of {JOIN_MODES}, got {how!r}")
     if active_rule not in ACTIVE_RULES:
@@ -188,12 +203,18 @@ def enrich_summary(
         active_col=active_col,
         active_value=active_value,
         duplicates=duplicates,
+        future_audit=future_audit,
+        as_of=as_of,
     )
+    flag_col = []
+    if future_audit == "flag":
+        flag_col = [F.coalesce(after(F.col("LAST_AUDIT_DATE"), as_of), F.lit(False)).alias("AUDIT_DATE_IN_FUTURE")]
     d = d.select(
         F.col("BRANCH_ID").cast("bigint").alias("BRANCH_ID"),
         "REGION",
         date_text(d, "LAST_AUDIT_DATE").alias("LAST_AUDIT_DATE"),
         *([active_col] if active_rule == "case" else []),
+        *flag_col,
     )
     joined = summary.join(d, "BRANCH_ID", how)
     region, audit = F.col("REGION"), F.col("LAST_AUDIT_DATE")
@@ -201,7 +222,8 @@ def enrich_summary(
         region = when_active(region, active_col, active_value)
         audit = when_active(audit, active_col, active_value)
     base = [c for c in summary.columns if c in SUMMARY_COLUMNS]
-    return joined.select(*base, region.alias("REGION"), audit.alias("LAST_AUDIT_DATE"))
+    extra = ["AUDIT_DATE_IN_FUTURE"] if future_audit == "flag" else []
+    return joined.select(*base, region.alias("REGION"), audit.alias("LAST_AUDIT_DATE"), *extra)
 
 
 def all_branches(summary: DataFrame, branch: DataFrame) -> DataFrame:

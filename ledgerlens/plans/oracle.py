@@ -196,6 +196,11 @@ def _ctes() -> str:
         FROM e_transaction_flat GROUP BY BRANCH_ID) t
   JOIN e_branch_flat b ON t.BRANCH_ID = b.BRANCH_ID
 )""",
+            _latest_cte(
+                "r_details_active_past_latest",
+                f"(SELECT * FROM e_details WHERE IS_ACTIVE = 'Y' "
+                f"AND NOT coalesce(LAST_AUDIT_DATE > DATE {_q(td.AS_OF)}, false))",
+            ),
             """r_enriched AS (
   SELECT s.BRANCH_ID, s.BRANCH_NAME, s.TOTAL_TRANSACTIONS, s.TOTAL_AMOUNT, d.REGION,
     strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
@@ -286,6 +291,10 @@ def _oracle() -> dict[str, str]:
         "branch_summary": "SELECT * FROM r_summary",
         "branch_summary_join_first": "SELECT * FROM r_summary",
         "branch_summary_enriched": "SELECT * FROM r_enriched",
+        "branch_summary_enriched_reject_future": """
+            SELECT s.*, d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
+            FROM r_summary s LEFT JOIN r_details_active_past_latest d
+              ON s.BRANCH_ID = CAST(d.BRANCH_ID AS BIGINT)""",
         "branch_summary_left_no_rule": """
             SELECT s.*, d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE
             FROM r_summary s LEFT JOIN e_details d ON s.BRANCH_ID = d.BRANCH_ID""",

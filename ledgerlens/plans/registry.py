@@ -119,6 +119,11 @@ def q_enriched(spark, sf_dir):
     return _enriched(_e(spark, sf_dir))
 
 
+def q_enriched_reject_future(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.enrich_summary(_summary(e), e.details, future_audit="reject", as_of=td.AS_OF)
+
+
 def q_left_no_rule(spark, sf_dir):
     e = _e(spark, sf_dir)
     return R.enrich_summary(_summary(e), e.details, active_rule="none", duplicates="keep")
@@ -525,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "branch_summary_join_first": q_branch_summary_join_first,
     "branch_summary_enriched": q_enriched,
     "branch_summary_left_no_rule": q_left_no_rule,
+    "branch_summary_enriched_reject_future": q_enriched_reject_future,
     "branch_summary_case_active": q_case_active,
     "branch_summary_all_branches": q_all_branches,
     "branch_summary_all_branches_enriched": q_all_branches_enriched,

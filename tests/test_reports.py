@@ -216,3 +216,35 @@ def test_missing_column_raises_clearly(spark):
     with pytest.raises(Exception) as info:
         R.branch_summary(bad, bad, bad)
     assert "column" in str(info.value).lower() or "field" in str(info.value).lower()
+
+
+def test_future_audit_modes(spark, summary):
+    import datetime as dt
+
+    d = _details(
+        spark,
+        [
+            (1, "OLD", "M, A", dt.date(2024, 1, 1), "Y"),
+            (1, "FUTURE", "M, B", dt.date(2999, 1, 1), "Y"),
+            (2, "ONLY_FUTURE", "M, C", dt.date(2999, 1, 1), "Y"),
+        ],
+    )
+    accept = {r[0]: r[4] for r in R.enrich_summary(summary, d).collect()}
+    assert accept[1] == "FUTURE" and accept[2] == "ONLY_FUTURE"
+    reject = {r[0]: r[4] for r in R.enrich_summary(summary, d, future_audit="reject", as_of="2026-12-01").collect()}
+    assert reject[1] == "OLD" and reject[2] is None
+    flagged = R.enrich_summary(summary, d, future_audit="flag", as_of="2026-12-01")
+    assert flagged.columns[-1] == "AUDIT_DATE_IN_FUTURE"
+    assert {r[0]: r[-1] for r in flagged.collect()} == {1: True, 2: True, 3: None}
+    with pytest.raises(ValueError):
+        R.enrich_summary(summary, d, future_audit="reject")
+
+
+def test_reject_future_on_driver_data(spark):
+    import __spark_entry__ as entry
+
+    normal = {r.BRANCH_ID: r for r in entry.queries()["branch_summary_enriched"](spark, "/root/testdata/sf0.001").collect()}
+    reject = {r.BRANCH_ID: r for r in entry.queries()["branch_summary_enriched_reject_future"](spark, "/root/testdata/sf0.001").collect()}
+    assert normal[6].LAST_AUDIT_DATE == "2999-01-01"
+    assert reject[6].LAST_AUDIT_DATE is None and reject[6].REGION is None
+    assert {k: v for k, v in normal.items() if k != 6} == {k: v for k, v in reject.items() if k != 6}
