@@ -23,6 +23,15 @@ from ledgerlens.functions.columns import BEFORE_AFTER_LABELS
 # ---- NULL profile and verdict (Q1, Q2, A6, A7, F2) --------------------------
 
 
+def _label_map(labels: Sequence[str], prefix: str):
+    """Literal map from internal column aliases back to the original labels
+    (labels may hold dots or spaces, which column names cannot carry safely)."""
+    pairs = []
+    for i, label in enumerate(labels):
+        pairs += [F.lit(f"{prefix}{i}"), F.lit(label)]
+    return F.create_map(*pairs)
+
+
 def profile(df: DataFrame, table_name: str) -> DataFrame:
     """One row per column: ``table_name, column_name, row_count, null_count``.
 
@@ -31,16 +40,13 @@ def profile(df: DataFrame, table_name: str) -> DataFrame:
     """
     names = df.columns
     aggs = [F.count(F.lit(1)).alias("row_count")] + [
-        F.count_if(df[c].isNull()).alias(f"_n{i}") for i, c in enumerate(names)
+        F.count_if(df[f"`{c}`"].isNull()).alias(f"_n{i}") for i, c in enumerate(names)
     ]
     wide = df.agg(*aggs)
-    labelled = wide.select(
-        "row_count", *[F.col(f"_n{i}").alias(c) for i, c in enumerate(names)]
-    )
-    long = labelled.unpivot("row_count", names, "column_name", "null_count")
+    long = wide.unpivot("row_count", [f"_n{i}" for i in range(len(names))], "_column", "null_count")
     return long.select(
         F.lit(table_name).alias("table_name"),
-        "column_name",
+        _label_map(names, "_n")[F.col("_column")].alias("column_name"),
         F.col("row_count").cast("bigint").alias("row_count"),
         F.col("null_count").cast("bigint").alias("null_count"),
     )
@@ -233,11 +239,10 @@ def violations(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> Dat
 def violation_counts(df: DataFrame, table_name: str, rules: Sequence[Rule]) -> DataFrame:
     """Per rule: ``table_name, rule, violations``; one aggregate pass."""
     wide = df.agg(*[F.count_if(F.coalesce(r.flags, F.lit(False))).alias(f"_r{i}") for i, r in enumerate(rules)])
-    labelled = wide.select(*[F.col(f"_r{i}").alias(r.name) for i, r in enumerate(rules)])
-    long = labelled.unpivot([], [r.name for r in rules], "rule", "violations")
+    long = wide.unpivot([], [f"_r{i}" for i in range(len(rules))], "_rule", "violations")
     return long.select(
         F.lit(table_name).alias("table_name"),
-        "rule",
+        _label_map([r.name for r in rules], "_r")[F.col("_rule")].alias("rule"),
         F.col("violations").cast("bigint").alias("violations"),
     )
 

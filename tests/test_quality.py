@@ -232,3 +232,10 @@ def test_amount_totals_and_completeness(spark):
 def test_record_counts_with_timestamp(spark):
     out = Q.record_counts({"A": spark.range(3)}, with_timestamp=True).first()
     assert (out.stage, out.record_count) == ("A", 3) and out.timestamp is not None
+
+
+def test_profile_and_rule_counts_with_awkward_names(spark):
+    df = spark.createDataFrame([(1, None), (None, "x")], "`a.b` int, `c d` string")
+    assert rows(Q.profile(df, "T")) == [("T", "a.b", 2, 1), ("T", "c d", 2, 1)]
+    rule = Q.Rule("c d is set", F.col("`c d`").isNotNull(), F.col("`c d`"))
+    assert rows(Q.violation_counts(df, "T", [rule])) == [("T", "c d is set", 1)]
