@@ -55,6 +55,6 @@ def latest_per_key(
         fields = flags + [F.col(c) for c in order + rest]
         best = F.min(F.struct(*fields))
     picked = df.groupBy(*keys).agg(best.alias("_best"))
-    return picked.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order + rest]).select(
-        *df.columns
+    return picked.select(
+        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
     )

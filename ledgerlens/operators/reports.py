@@ -153,16 +153,17 @@ def prepare_details(
 
     ``filter`` keeps active rows first and then picks one per branch among
     them; ``case`` and ``none`` pick among all rows.  ``future_audit``
-    ``reject`` drops rows audited after ``as_of`` before that choice.
+    ``reject`` drops rows audited after ``as_of`` before that choice.  All
+    columns are kept; the caller projects what it joins.
     """
     d = details
     if future_audit == "reject":
         d = d.where(~F.coalesce(after(F.col(audit_col), as_of), F.lit(False)))
     if active_rule == "filter":
         d = d.where(F.col(active_col) == F.lit(active_value))
-    keep = ["BRANCH_ID", "REGION", audit_col] + ([active_col] if active_rule == "case" else [])
-    d = latest_per_key(d, ["BRANCH_ID"], [audit_col], mode=duplicates) if duplicates != "keep" else d
-    return d.select(*keep)
+    if duplicates != "keep":
+        d = latest_per_key(d, ["BRANCH_ID"], [audit_col], mode=duplicates)
+    return d
 
 
 def enrich_summary(
