@@ -77,3 +77,11 @@ def test_fixture_targets_sf001(spark):
     assert (cov.total_branches, cov.branches_with_operational_details, cov.missing_operational_details) == (27, 22, 5)
     assert sorted(r.BRANCH_ID for r in q["seed_missing_details"](spark, SF01).collect()) == [0, 7, 14, 21, 900]
     assert q["duplicate_transaction_ids"](spark, SF01).count() == 11785
+
+
+def test_entry_schema_is_stable(spark):
+    first, second = entry.entry(spark), entry.entry(spark)
+    assert first.schema == second.schema
+    assert [f.dataType.simpleString() for f in first.schema.fields] == [
+        "bigint", "string", "bigint", "double", "string", "string"
+    ]
