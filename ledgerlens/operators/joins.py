@@ -105,13 +105,40 @@ def _key_in(keys: list[str], values: list[tuple]):
     return cond
 
 
+# Salting targets: about this many fact rows of a hot key per salt, within
+# these bounds (any count gives the same rows; it only spreads the work).
+ROWS_PER_SALT = 20_000_000
+MIN_SALTS, MAX_SALTS = 2, 10_000
+
+
+def salt_count(
+    fact: DataFrame,
+    keys: list[str],
+    hot: list[tuple],
+    *,
+    sample_fraction: float = 0.001,
+    seed: int = 17,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> int:
+    """Salts for the largest hot key: its row count estimated on a sample
+    (one grouped pass; at most ``len(hot) + 1`` rows reach the driver),
+    divided by ``rows_per_salt``, within ``[MIN_SALTS, MAX_SALTS]``."""
+    source = fact.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else fact
+    is_hot = _key_in(keys, hot)
+    tagged = source.select(F.when(is_hot, F.struct(*keys)).alias("_k"))
+    counts = tagged.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_k").isNotNull())
+    largest = max((r["_n"] for r in counts.collect()), default=0)
+    estimate = largest / (sample_fraction if sample_fraction < 1 else 1)
+    return int(min(MAX_SALTS, max(MIN_SALTS, -(-estimate // rows_per_salt))))
+
+
 def salted_join(
     fact: DataFrame,
     dim: DataFrame,
     keys: list[str],
     *,
     hot: list[tuple] | None = None,
-    salts: int = 32,
+    salts: int | None = None,
     min_share: float = 0.01,
     sample_fraction: float = 0.001,
     max_replicated_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -124,15 +151,19 @@ def salted_join(
     rows carry salt 0.  The join on ``keys + salt`` spreads each hot key over
     ``salts`` partitions with one pass over the fact table.  The replicated
     rows are bounded: at most ``1 / min_share`` hot keys, and their dimension
-    rows are counted first (``max_replicated_rows``); past the bound this is
-    the plain join, where AQE's skew join still applies.
+    rows times the salt count are counted first (``max_replicated_rows``);
+    past the bound this is the plain join, where AQE's skew join still
+    applies.  ``salts=None`` sizes the salt count from the data
+    (``salt_count``: about ``ROWS_PER_SALT`` hot rows per salt).
     """
     if hot is None:
         hot = hot_keys(fact, keys, min_share=min_share, sample_fraction=sample_fraction)
     if not hot:
         return fact.join(dim, keys)
     is_hot = _key_in(keys, hot)
-    if not row_count_at_most(dim.where(is_hot), max_replicated_rows):
+    if salts is None:
+        salts = salt_count(fact, keys, hot, sample_fraction=sample_fraction)
+    if not row_count_at_most(dim.where(is_hot), max(1, max_replicated_rows // salts)):
         return fact.join(dim, keys)
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     salted_fact = fact.withColumn(

@@ -130,3 +130,15 @@ def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_salt_count_scales_with_the_hot_key(spark):
+    from ledgerlens.operators.joins import MIN_SALTS, salt_count
+
+    fact = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("ACCOUNT_ID")
+    )
+    # 10,001 rows on key 7 (every third id, plus id 7): 1,000 rows per salt -> 11.
+    n = salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0, rows_per_salt=1_000)
+    assert n == 11
+    assert salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0) == MIN_SALTS
