@@ -111,6 +111,24 @@ ROWS_PER_SALT = 20_000_000
 MIN_SALTS, MAX_SALTS = 2, 10_000
 
 
+def hot_key_rows(
+    fact: DataFrame,
+    keys: list[str],
+    *,
+    sample_fraction: float = 0.001,
+    seed: int = 17,
+    limit: int = 100,
+) -> list[tuple[tuple, float]]:
+    """The ``limit`` most frequent keys of a Bernoulli sample with their
+    estimated row counts in ``fact``: one grouped pass over the sample, and a
+    distributed top-``limit`` (at most ``limit`` rows reach the driver)."""
+    source = fact.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else fact
+    counts = source.groupBy(F.struct(*keys).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_k").isNotNull()).orderBy(F.col("_n").desc()).limit(limit).collect()
+    scale = sample_fraction if sample_fraction < 1 else 1
+    return [(tuple(r["_k"]), r["_n"] / scale) for r in top]
+
+
 def salt_count(
     fact: DataFrame,
     keys: list[str],
@@ -153,11 +171,19 @@ def salted_join(
     rows are bounded: at most ``1 / min_share`` hot keys, and their dimension
     rows times the salt count are counted first (``max_replicated_rows``);
     past the bound this is the plain join, where AQE's skew join still
-    applies.  ``salts=None`` sizes the salt count from the data
-    (``salt_count``: about ``ROWS_PER_SALT`` hot rows per salt).
+    applies.  Without ``hot``, one sampled pass (``hot_key_rows``) finds the
+    keys whose estimated rows exceed ``ROWS_PER_SALT`` and sizes the salt
+    count from the largest; with ``hot`` given and ``salts=None``,
+    ``salt_count`` sizes it.
     """
     if hot is None:
-        hot = hot_keys(fact, keys, min_share=min_share, sample_fraction=sample_fraction)
+        # One sampled pass finds the keys and their sizes: a key is hot when
+        # its estimated rows exceed one salt's worth.
+        ranked = hot_key_rows(fact, keys, sample_fraction=sample_fraction, limit=int(1 / min_share))
+        hot = [k for k, rows in ranked if rows > ROWS_PER_SALT]
+        if hot and salts is None:
+            largest = max(rows for _, rows in ranked)
+            salts = int(min(MAX_SALTS, max(MIN_SALTS, -(-largest // ROWS_PER_SALT))))
     if not hot:
         return fact.join(dim, keys)
     is_hot = _key_in(keys, hot)

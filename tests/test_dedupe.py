@@ -142,3 +142,14 @@ def test_salt_count_scales_with_the_hot_key(spark):
     n = salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0, rows_per_salt=1_000)
     assert n == 11
     assert salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0) == MIN_SALTS
+
+
+def test_hot_key_rows_ranks_and_estimates(spark):
+    from ledgerlens.operators.joins import hot_key_rows
+
+    fact = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("ACCOUNT_ID")
+    )
+    ranked = hot_key_rows(fact, ["ACCOUNT_ID"], sample_fraction=1.0, limit=3)
+    assert ranked[0] == ((7,), 10_001.0)
+    assert len(ranked) == 3

@@ -38,7 +38,10 @@ def test_summary_plans_agree_under_skew(skewed):
 def test_aml_skew_paths_equal_plain_join(skewed):
     e, txn, hot = skewed
     plain = R.aml_customer_transactions(e.customer, e.account, txn)
-    salted = R.aml_customer_transactions(e.customer, e.account, txn, salt_hot_accounts=True)
+    # At this size no account exceeds one salt's worth, so the hot account is
+    # supplied; the salt count is still sized from the data.
+    salted = R.aml_customer_transactions(e.customer, e.account, txn, salt_hot_accounts=True, hot_accounts=[(hot,)])
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     split = R.aml_customer_transactions(e.customer, e.account, txn, split_hot_accounts=True)
     assert Q.diff_summary(plain, salted).first().differing_rows == 0
     assert Q.diff_summary(plain, split).first().differing_rows == 0
