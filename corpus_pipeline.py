@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality_rules
+from ledgerlens.llm import quality_rules, simhash
 from ledgerlens.llm.common import durable, read
 
 
@@ -14,7 +14,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality rules", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: one document of each group stays."""
+    return simhash.keep_one(docs)
+
+
+STAGES = [("quality rules", quality), ("SimHash near-dedup", near_dedup)]
 
 # XXH64 fingerprints, connected components and tokenization are beyond SQL; the
 # stages are tested against brute-force versions.
