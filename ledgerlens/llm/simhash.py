@@ -89,7 +89,6 @@ def masks(radius: int = RADIUS) -> list[int]:
     return out
 
 
-@F.pandas_udf("array<struct<a:long,b:long>>")
 def _stars(buckets: pd.Series, radii: pd.Series) -> pd.Series:
     """Each bucket's links as a spanning star of each of its groups."""
     out = []
@@ -118,8 +117,9 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in tables))).alias("t", "key"))
     sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = durable(rows.join(sizes, ["t", "key"]))
+    stars = F.pandas_udf(_stars, "array<struct<a:long,b:long>>")
     few = met.where(F.col("n") <= BUCKET).groupBy("t", "key").agg(F.collect_list("fp").alias("bucket"))
-    few = few.select(F.explode(_stars("bucket", F.lit(radius))).alias("e")).select("e.a", "e.b")
+    few = few.select(F.explode(stars("bucket", F.lit(radius))).alias("e")).select("e.a", "e.b")
     changes = F.array(*(F.array(F.lit(0).cast("long"), *(F.lit(signed(b)) for b in bits)) for bits in open_bits))
     spread = met.where(F.col("n") > BUCKET).select("fp", F.explode(F.get(changes, F.col("t"))).alias("x"))
     spread = spread.select("fp", F.col("fp").bitwiseXOR(F.col("x")).alias("z")).distinct()
