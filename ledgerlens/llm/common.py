@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +30,30 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder: its lineage ends there,
-    so a lost executor costs one read, not a recomputation.  The cluster's
-    ``spark.checkpoint.dir`` is used; a folder of our own only where none is
-    set (local tests)."""
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where
+    none is set (local tests)."""
     if checkpoint_dir(spark) is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return checkpoint_dir(spark)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder: its lineage ends there, so a
+    lost executor costs one read, not a recomputation."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def durable_table(df: DataFrame) -> DataFrame:
+    """As ``durable``, written as a Parquet table, which is a fraction of a
+    checkpoint's size.  The table stays in the shared folder, as other files
+    of the job there do, until the folder is cleared."""
+    path = f"{_shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as
     it is (a shuffle join, which AQE splits on hot keys).  ``df`` should be

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import durable, text_of
+from ledgerlens.llm.common import durable, durable_table, text_of
 from ledgerlens.llm.pywords import word_blocks
 
 WINDOW = 50
@@ -194,7 +194,7 @@ def _bucket_rows(window: int):
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot: int = HOT) -> DataFrame:
     """Word spans (doc_id, th, start, end) to remove from ``docs`` (doc_id, text, th)."""
-    found = docs.mapInPandas(_minimiser_rows(window, mer), "mh long, doc_id long, th long, start int, n int")
+    found = durable_table(docs.mapInPandas(_minimiser_rows(window, mer), "mh long, doc_id long, th long, start int, n int"))
     shared = found.groupBy("mh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("strings"))
     shared = durable(shared.where("lo < hi").select("mh", "strings"))
     spans = found.join(shared, "mh").groupBy("doc_id", "th", (F.col("strings") > hot).alias("hot"))
