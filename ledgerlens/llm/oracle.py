@@ -1,3 +1,33 @@
 """DuckDB SQL for the subpackage's queries, where SQL can express them."""
 
-ORACLE_SQL: dict[str, str] = {}
+OP3 = r"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), ruled AS (
+  SELECT page_id, host, path,
+    CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+         WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+         WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule,
+    CASE WHEN regexp_matches(host || path, '^([^/]*[.-])?track[.-]') THEN 'tracker host'
+         WHEN regexp_matches(host || path, '^[^/]+/([^/]+/)*login([/.]|$)') THEN 'sign-in page'
+         WHEN regexp_matches(host || path, '^[^/]+/.*\.exe$') THEN 'program file'
+         WHEN regexp_matches(host || path, '^[^/]+/.*\.zip$') THEN 'archive file'
+         WHEN regexp_matches(host || path, '^[^/]+/([^/]+/)*cart([/.]|$)') THEN 'cart page'
+         WHEN regexp_matches(host || path, '^([^/]*[.-])?ads[.-]') THEN 'ad host' END AS named
+  FROM parts
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN named IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN named END AS pattern
+FROM ruled
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filters": OP3,
+}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality_rules, simhash, substring_dedup
+from ledgerlens.llm import quality_rules, simhash, substring_dedup, url_filter
 from ledgerlens.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.groups(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -30,5 +34,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_url_filters": op3_url_filters,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
