@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality_rules, simhash, substring_dedup, url_filter
+from ledgerlens.llm import quality_rules, secret_scan, simhash, substring_dedup, url_filter
 from ledgerlens.llm.common import read
 
 
@@ -26,6 +26,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(read(spark, sf_dir, "documents"))
+    digest = F.sha2(secret_scan.joined("base"), 256)
+    return out.select("row.doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.groups(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -35,5 +41,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
+    "op5_secret_scans": op5_secret_scans,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
