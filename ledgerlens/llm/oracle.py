@@ -28,6 +28,175 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+OP1 = r"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM t
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8
+), wins AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM starts
+), reps AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM wins WHERE n > 1) GROUP BY doc_id
+), counts AS (
+  SELECT w.doc_id, lang, text, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+         len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN reps USING (doc_id)
+), scored AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         coalesce(1000 * n_symbols // nullif(word_chars, 0), 0) AS symbols, coalesce(1000 * n_capitals // nullif(word_chars, 0), 0) AS capitals,
+         coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) AS repeats, coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) AS lines
+  FROM counts
+), labelled AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), trials AS (
+  SELECT lang, text, min(quality) > 0 AS good, max(symbols) AS symbols, max(capitals) AS capitals, max(repeats) AS repeats, max(lines) AS lines
+  FROM scored JOIN labelled USING (doc_id) WHERE NOT base_failed GROUP BY lang, text
+), long AS (
+  SELECT lang, good, 'symbols' AS rule, symbols AS score FROM trials UNION ALL SELECT lang, good, 'capitals', capitals FROM trials
+  UNION ALL SELECT lang, good, 'repeats', repeats FROM trials UNION ALL SELECT lang, good, 'lines', lines FROM trials
+), tested AS (
+  SELECT lang, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND score > cutoff) AS k,
+         count(*) FILTER (NOT good AND score > cutoff) AS bad, (SELECT count(*) FROM (SELECT DISTINCT lang FROM trials)) AS strata
+  FROM long, (SELECT unnest(range(10, 1001, 10)) AS cutoff) GROUP BY lang, rule, cutoff
+), passed AS (
+  SELECT lang, rule, cutoff, bad FROM tested
+  WHERE bad > 0 AND k < n * 0.005::DOUBLE
+    AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                 + i * ln(0.005::DOUBLE) + (n - i) * ln(0.995::DOUBLE)))) <= 0.05::DOUBLE / (4 * strata)
+), cuts AS (
+  SELECT lang, rule, (max({'bad': bad, 'cutoff': cutoff})).cutoff AS cutoff FROM passed GROUP BY lang, rule
+), rejected AS (
+  SELECT DISTINCT doc_id FROM scored s JOIN cuts c ON s.lang IS NOT DISTINCT FROM c.lang
+    AND CASE c.rule WHEN 'symbols' THEN symbols WHEN 'capitals' THEN capitals WHEN 'repeats' THEN repeats ELSE lines END > c.cutoff
+)
+SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND r.doc_id IS NULL AS kept
+FROM scored s LEFT JOIN rejected r USING (doc_id)
+"""
+
+OP5 = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS (
+  SELECT doc_id, 0 AS k, 'assign' AS kind, 12 AS least,
+         regexp_split_to_array(text, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+') AS gaps,
+         regexp_extract_all(text, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+') AS hits,
+         regexp_extract_all(text, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) AS measured
+  FROM t
+  UNION ALL SELECT doc_id, 1, 'access', 18, regexp_split_to_array(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+         regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM t
+  UNION ALL SELECT doc_id, 2, 'hex', 16, regexp_split_to_array(text, '[0-9a-f]{16,}'), regexp_extract_all(text, '[0-9a-f]{16,}'),
+         regexp_extract_all(text, '[0-9a-f]{16,}') FROM t
+  UNION ALL SELECT doc_id, 3, 'entropy_hex', 20, regexp_split_to_array(text, '[0-9A-Fa-f]{20,}'), regexp_extract_all(text, '[0-9A-Fa-f]{20,}'),
+         regexp_extract_all(text, '[0-9A-Fa-f]{20,}') FROM t
+  UNION ALL SELECT doc_id, 4, 'entropy_base64', 20, regexp_split_to_array(text, '[A-Za-z0-9+/_=-]{20,}'),
+         regexp_extract_all(text, '[A-Za-z0-9+/_=-]{20,}'), regexp_extract_all(text, '[A-Za-z0-9+/_=-]{20,}') FROM t
+), each AS (
+  SELECT doc_id, k, kind, least, unnest(range(1, len(hits) + 1)) AS i, gaps, hits, measured FROM m
+), found AS (
+  SELECT doc_id, k, kind, hits[i] AS hit, length(measured[i]) >= least AS ok,
+         coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM each
+), base AS (
+  SELECT doc_id, k, kind, a::BIGINT AS a, (a + length(hit))::BIGINT AS b FROM found WHERE k < 3 AND ok
+), cand AS (
+  SELECT row_number() OVER () AS c, doc_id, k, kind, hit, a FROM found WHERE k >= 3 AND ok AND NOT regexp_matches(hit,
+    '^[0-9]+$|^[a-z]+$|^[A-Z]?[a-z]+(?:[-/_][A-Za-z]?[a-z]+)*$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|placeholder|changeme|dummy)|ABCDEFGHIJ|abcdefghij|0123456789')
+), win AS (
+  SELECT c, doc_id, k, kind, a, unnest(range(0, length(hit) - 19)) AS i, hit FROM cand
+), chars AS (
+  SELECT c, doc_id, k, kind, a, i, unnest(string_split(substr(hit, (i + 1)::BIGINT, 20), '')) AS ch FROM win
+), counted AS (
+  SELECT c, doc_id, k, kind, a, i, ch, count(*) AS n FROM chars GROUP BY ALL
+), hot AS (
+  SELECT c, doc_id, k, kind, a, i FROM counted GROUP BY ALL
+  HAVING sum(round(n * log2(n) * 1e6)) <= floor(20 * (log2(20) - CASE k WHEN 3 THEN 3.05::DOUBLE ELSE 3.85::DOUBLE END) * 1e6)
+), marked AS (
+  SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY c ORDER BY i) + 20 THEN 0 ELSE 1 END AS fresh FROM hot
+), isles AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY c ORDER BY i) AS g FROM marked
+), spans AS (
+  SELECT * FROM base UNION ALL SELECT doc_id, k, kind, (a + min(i))::BIGINT, (a + max(i) + 20)::BIGINT FROM isles GROUP BY c, doc_id, k, kind, a, g
+), per AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN per USING (doc_id)
+"""
+
+OP7 = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents
+), s AS (
+  SELECT doc_id, h, (length(x) // 2 + 1)::BIGINT AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) AS text_crc32
+  FROM d, tab
+), keys AS (
+  SELECT h, coalesce(doc_id, -9223372036854775808) AS d, sum(size)::BIGINT AS size FROM s GROUP BY 1, 2
+), cum AS (
+  SELECT h, d, (sum(size) OVER (ORDER BY h, d) - size)::BIGINT AS before, (sum(size) OVER ())::BIGINT AS total FROM keys
+), edges AS (
+  SELECT k, arg_min(p, (abs(16 * p - total * k), p)) AS edge
+  FROM (SELECT before AS p, total FROM cum UNION ALL SELECT DISTINCT total, total FROM cum), (SELECT unnest(range(1, 16)) AS k) GROUP BY k
+), placed AS (
+  SELECT h, d, (SELECT count(*) FROM edges WHERE edge <= before)::INTEGER AS shard FROM cum
+)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY s.h, d) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM s JOIN placed p ON s.h = p.h AND coalesce(s.doc_id, -9223372036854775808) = p.d
+"""
+
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS o
+  FROM documents
+), s AS (
+  SELECT source, source_size, pos, [5, 2, 1][(pos - 1) % 3 + 1] AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS pos FROM d GROUP BY source)
+), r AS (
+  SELECT *, 2 * source_size AS cap, (2 * source_size)::DOUBLE / weight AS reach, 1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS total FROM s
+), l AS (
+  SELECT *, (total - coalesce(sum(cap) OVER before, 0)::DOUBLE) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM r WINDOW before AS (ORDER BY reach, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), chosen AS (
+  SELECT level FROM l WHERE level <= reach ORDER BY reach, pos LIMIT 1
+), t AS (
+  SELECT source, source_size, pos, total, least(weight * coalesce((SELECT level FROM chosen), 0), cap::DOUBLE) AS target FROM l
+), seats AS (
+  SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, pos) <= floor(total / 64) AS won
+  FROM (SELECT source, pos, target, total, unnest(range(0, (2 * source_size // 64 + 3)::BIGINT)) AS k FROM t WHERE target > 0)
+), q AS (
+  SELECT source, count(*) FILTER (won) AS blocks FROM seats GROUP BY source
+), plan AS (
+  SELECT t.source, source_size, target, least(coalesce(blocks, 0), 2 * source_size // 64) * 64 AS words
+  FROM t LEFT JOIN q ON t.source IS NOT DISTINCT FROM q.source
+), ring AS (
+  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS place FROM d
+)
+SELECT doc_id, size, source_size, target,
+       (size * coalesce(words // nullif(source_size, 0), 0)
+        + greatest(0, least(size, coalesce(words % nullif(source_size, 0), 0) - place)))::BIGINT AS taken
+FROM ring JOIN plan ON ring.source IS NOT DISTINCT FROM plan.source
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1,
     "op3_url_filters": OP3,
+    "op5_secret_scans": OP5,
+    "op7_sharding": OP7,
+    "op8_mixing": OP8,
 }

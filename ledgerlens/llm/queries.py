@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality_rules, secret_scan, simhash, substring_dedup, url_filter
+from ledgerlens.llm import mixing, quality_rules, secret_scan, sharding, simhash, substring_dedup, url_filter
 from ledgerlens.llm.common import read
 
 
@@ -32,6 +32,18 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return out.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    taken = F.col("size") * F.col("whole") + F.col("part")
+    return out.select("row.doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.groups(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -42,5 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
     "op5_secret_scans": op5_secret_scans,
+    "op7_sharding": op7_sharding,
+    "op8_mixing": op8_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
