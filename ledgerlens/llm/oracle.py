@@ -81,6 +81,18 @@ SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM scored s LEFT JOIN rejected r USING (doc_id)
 """
 
+OP4 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS f FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.f, c.f)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
 OP5 = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS (
@@ -196,6 +208,7 @@ FROM ring JOIN plan ON ring.source IS NOT DISTINCT FROM plan.source
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_url_filters": OP3,
+    "op4_exact_top_k": OP4,
     "op5_secret_scans": OP5,
     "op7_sharding": OP7,
     "op8_mixing": OP8,

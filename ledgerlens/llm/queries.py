@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, quality_rules, secret_scan, sharding, simhash, substring_dedup, url_filter
+from ledgerlens.llm import mixing, quality_rules, secret_scan, sharding, simhash, substring_dedup, topk, url_filter
 from ledgerlens.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(read(spark, sf_dir, "documents"))
     digest = F.sha2(secret_scan.joined("base"), 256)
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filters": op3_url_filters,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_secret_scans": op5_secret_scans,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
