@@ -4,9 +4,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality_rules, simhash
-from ledgerlens.llm.common import durable, read
+from ledgerlens.llm import mixing, quality_rules, secret_scan, sentencepiece_codec, simhash
+from ledgerlens.llm.common import durable_table, read
+from ledgerlens.llm.vocabulary import load_pieces
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +23,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
-STAGES = [("quality rules", quality), ("SimHash near-dedup", near_dedup)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: every span found is masked in the text."""
+    return secret_scan.mask(docs)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: each document as often as the mix
+    takes it; the one in which a source's last block ends, up to there."""
+    return mixing.mixed_corpus(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece encoding: the ids of every text; decoding gives it back."""
+    out = sentencepiece_codec.encode(docs, load_pieces(MODEL))
+    return out.select("row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("secret scans", secrets),
+    ("mixing sources to target weights", mixing_sources),
+    ("SentencePiece encoding and decoding", sentencepiece),
+]
 
 # XXH64 fingerprints, connected components and tokenization are beyond SQL; the
 # stages are tested against brute-force versions.
@@ -32,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = durable(docs)
+            docs = durable_table(docs)
     return docs

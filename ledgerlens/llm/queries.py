@@ -8,8 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, quality_rules, secret_scan, sharding, simhash, substring_dedup, topk, url_filter
+from ledgerlens.llm import (
+    mixing,
+    quality_rules,
+    secret_scan,
+    sentencepiece_codec,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_counts,
+    topk,
+    url_filter,
+)
 from ledgerlens.llm.common import read
+from ledgerlens.llm.vocabulary import load_pieces
+
+# A public SentencePiece model with byte pieces.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +51,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), secret_scan.joined("spans").alias("spans"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), MODEL)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(read(spark, sf_dir, "documents"), carry=["doc_id"])
     none = F.lit(None).cast("int").alias("grown_shard")
@@ -48,6 +67,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = load_pieces(MODEL)
+    out = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), pieces)
+    decoded = sentencepiece_codec.text_column(F.col("ids"), pieces)
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(decoded, 256).alias("decoded_sha256"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.groups(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -59,7 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_secret_scans": op5_secret_scans,
+    "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import durable
+from ledgerlens.llm.common import durable, ship
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.pywords import word_blocks
 
@@ -132,6 +132,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, fp, component_id."""
+    ship(docs.sparkSession)
     light = durable(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint_column(F.col("text"), shingle).alias("fp")))
     nodes = light.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = durable(nodes)

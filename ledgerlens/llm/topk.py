@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlens.llm.common import durable
+from ledgerlens.llm.common import durable, ship
 
 SCALE = 64
 PIVOTS = 16
@@ -165,6 +165,7 @@ def _score(index: Index, k: int):
 def top_k(df: DataFrame, queries, k: int = 20, vec: str = "embedding", id_col: str = "vec_id", scale: int = SCALE, chunk: int = CHUNK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row whose
     ``vec_id`` fulfils the condition ``queries`` (a column)."""
+    ship(df.sparkSession)
     merged = durable(integer_vectors(df, vec, id_col, scale))
     spark, result = df.sparkSession, "query_id long, rank int, vec_id long, score long"
     norm = F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v * v)
