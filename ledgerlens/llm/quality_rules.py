@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACE, durable, small, text_of, words
+from ledgerlens.llm.common import SPACE, durable, durable_table, small, text_of, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -184,9 +184,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns.  The cutoffs are small
-    and broadcast behind a size check, so the texts are never shuffled."""
-    full = features(docs)
+    """The rows of ``docs`` that are kept, all columns.  The counts are made
+    once and written with their rows; calibration reads the counts alone, and
+    the cutoffs are broadcast behind a size check, so no text is shuffled."""
+    full = durable_table(features(docs))
     light = full.select(F.col("row.doc_id").alias("doc_id"), F.col("row.lang").alias("stratum"), "q")
     cuts = cutoffs(holdout(light, labels), alpha, delta)
     return judge(full, cuts, F.col("row.lang")).where("kept").select("row.*")
