@@ -11,16 +11,21 @@ the first window's start to the last one's end, to the bucket of the
 minimiser.  In the bucket the windows are cut out again and sorted, and a run
 of equal windows gives the smallest doc_id that holds them.
 
-Only strings that can matter travel: a first pass over the texts counts the
-minimisers (a partial aggregate of minimiser, smallest and largest doc_id), and
-minimisers of a single document are dropped before any text is shuffled.  The
-documents are shuffled once by id; packing and the final removal both read
-that exchange.
-
-Buckets are bounded.  A minimiser with more than ``HOT`` strings (a passage
-in a large share of all documents) is never gathered: its windows are counted
-one by one by their 128-bit digest, as a partial aggregate, so equal windows
-meet as one row per task and different ones spread over all tasks.
+Only strings that can matter travel.  A first pass over the texts lists the
+super-k-mers by minimiser and the 128 bits of their string's digest, and those
+whose minimiser is in a single document are dropped.  Of the rest, equal
+strings are merged by a partial aggregate to the smallest doc_id that holds
+them.  A string in any other document goes as a whole, without a look into it.
+In that first document it can only meet other strings of its minimiser, and
+only if one of them has another first document: these strings alone are packed
+and shuffled, once each, however many copies the corpus has.  The documents
+are shuffled once by id; packing and the final removal both read that exchange.
+
+Buckets are bounded.  A minimiser with more than ``HOT`` different strings (a
+passage in a large share of all documents, each time among other words) is
+never gathered: its windows are counted one by one by their 128-bit digest, as
+a partial aggregate, so equal windows meet as one row per task and different
+ones spread over all tasks.
 
 Defined results: null, empty and wordless texts have no words and an empty
 kept text; texts shorter than a window lose nothing; rows with a null doc_id
@@ -31,6 +36,7 @@ doc_id; an empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import durable, durable_table, text_of
+from ledgerlens.llm.common import durable_table, ship, text_of
 from ledgerlens.llm.pywords import word_blocks
 
 WINDOW = 50
@@ -100,9 +106,13 @@ def _minimiser_rows(window: int, mer: int):
     def rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
         for batch in batches:
-            found = [(m, d, h, s, n) for d, h, t in zip(batch.doc_id, batch.th, batch.text) for m, s, n, _ in super_kmers(t, known, window, mer)]
+            found = [
+                (m, *struct.unpack("<qq", xxhash.xxh3_128_digest(b" ".join(w))), d, h, s << 8 | n)
+                for d, h, t in zip(batch.doc_id, batch.th, batch.text)
+                for m, s, n, w in super_kmers(t, known, window, mer)
+            ]
             for at in range(0, len(found), 1 << 16):
-                yield pd.DataFrame(found[at : at + (1 << 16)], columns=["mh", "doc_id", "th", "start", "n"])
+                yield pd.DataFrame(found[at : at + (1 << 16)], columns=["mh", "h1", "h2", "doc_id", "th", "at"])
 
     return rows
 
@@ -194,19 +204,32 @@ def _bucket_rows(window: int):
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot: int = HOT) -> DataFrame:
     """Word spans (doc_id, th, start, end) to remove from ``docs`` (doc_id, text, th)."""
-    found = durable_table(docs.mapInPandas(_minimiser_rows(window, mer), "mh long, doc_id long, th long, start int, n int"))
-    shared = found.groupBy("mh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("strings"))
-    shared = durable(shared.where("lo < hi").select("mh", "strings"))
-    spans = found.join(shared, "mh").groupBy("doc_id", "th", (F.col("strings") > hot).alias("hot"))
-    spans = durable(spans.agg(F.collect_set(F.struct("start", "n", "mh")).alias("spans")))
+    # `at` holds the first window's place and, in its last 8 bits, how many there are
+    found = durable_table(
+        docs.mapInPandas(_minimiser_rows(window, mer), "mh long, h1 long, h2 long, doc_id long, th long, at long")
+    )
+    several = found.groupBy("mh").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("mh")
+    found = durable_table(found.join(several, "mh", "left_semi"))
+    string = ["mh", "h1", "h2"]
+    first = found.groupBy(*string).agg(F.min("doc_id").alias("lo"))
+    shared = first.groupBy("mh").agg(F.min("lo").alias("a"), F.max("lo").alias("b"), F.count(F.lit(1)).alias("strings"))
+    first = first.join(shared.where("a < b").select("mh", "strings"), "mh", "left")
+    met = found.join(first, string).where("doc_id > lo OR strings IS NOT NULL")
+    start, n = F.expr("cast(shiftright(at, 8) AS int)").alias("start"), F.expr("cast(at & 255 AS int)").alias("n")
+    met = durable_table(met.select("mh", "doc_id", "th", start, n, "lo", "strings"))
+    whole = met.where("doc_id > lo").select("doc_id", "th", "start", (F.col("start") + F.col("n") + (window - 1)).alias("end"))
+    spans = met.where("doc_id = lo").groupBy("doc_id", "th", (F.col("strings") > hot).alias("hot"))
+    spans = durable_table(spans.agg(F.collect_set(F.struct("start", "n", "mh")).alias("spans")))
     usual = docs.join(spans.where("NOT hot"), ["doc_id", "th"])
     packed = usual.mapInPandas(_packed_rows(window), "mh long, doc_id long, th long, start int, packed binary")
     out = packed.repartition("mh").sortWithinPartitions("mh").mapInPandas(_bucket_rows(window), "doc_id long, th long, start int, end int")
-    if not shared.where(F.col("strings") > hot).isEmpty():
+    out = out.union(whole)
+    if not spans.where("hot").isEmpty():
         crowded = docs.join(spans.where("hot"), ["doc_id", "th"])
-        each = durable(crowded.mapInPandas(_digest_rows(window), "digest binary, doc_id long, th long, start int"))
-        first = each.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("digest", "lo")
-        more = each.join(first, "digest").where("doc_id > lo").select("doc_id", "th", "start", (F.col("start") + window).alias("end"))
+        # not cut off from the plan, so that it reads the same exchange of the texts
+        each = crowded.mapInPandas(_digest_rows(window), "digest binary, doc_id long, th long, start int")
+        least = each.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("digest", "lo")
+        more = each.join(least, "digest").where("doc_id > lo").select("doc_id", "th", "start", (F.col("start") + window).alias("end"))
         out = out.union(more)
     return out
 
@@ -230,6 +253,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot:
     words left, joined by one space."""
     if mer >= window:
         raise ValueError("the minimiser's run must be shorter than the window")
+    ship(docs.sparkSession)
     every = docs.select("doc_id", text_of("text").alias("text"), F.xxhash64("text").alias("th"))
     known = every.where("doc_id IS NOT NULL")
     spans = repeated_spans(known, window, mer, hot)
