@@ -11,143 +11,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row here is a key plus a few short strings; 100k rows stay
-# within a few MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
+DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def counted_size(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and about how many bytes they take in memory: one
+    aggregate, combined in every task, so one row per task is shuffled."""
+    width = F.lit(8)
+    for f in df.schema.fields:
+        plain = f.dataType.typeName() in ("string", "binary")
+        if plain:
+            width = width + F.lit(16) + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif f.dataType.typeName() in ("array", "map", "struct"):
+            width = width + F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        else:
+            width = width + F.lit(16)
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows, size
 
-    ``limit`` stops every task after ``max_rows + 1`` rows, so the check
-    costs a bounded read even on a large table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def size_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes."""
+    rows, size = counted_size(df)
+    return rows <= max_rows and size <= max_bytes
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` as is."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_if_bounded(
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``broadcast(df)`` when its rows and bytes are counted to be small, else ``df`` as is."""
+    return F.broadcast(df) if size_at_most(df, max_rows, max_bytes) else df
 
 
 # ---- hot keys ---------------------------------------------------------------
 #
 # AQE's skew join already splits an oversized shuffle partition at run time
-# (``spark.sql.adaptive.skewJoin.enabled``).  ``split_hot_join`` is the
-# explicit form for a row-level join whose fact side may have one key with a
-# large share of all rows: hot keys are found on a sample, their rows are
-# joined against a broadcast of the (size-checked) matching dimension rows,
-# and only the remaining rows take the shuffle join.  Every row goes down
-# exactly one path, so the result equals the plain join.
+# (``spark.sql.adaptive.skewJoin.enabled``) and stays the default.
+# ``salted_join`` is the explicit form for a row-level join whose fact side has
+# keys with very many rows.
 
-
-def hot_keys(
-    df: DataFrame,
-    keys: list[str],
-    *,
-    min_share: float = 0.01,
-    sample_fraction: float = 0.001,
-    seed: int = 17,
-) -> list[tuple]:
-    """Candidate key values holding at least ``min_share`` of the rows.
-
-    Spark's one-pass frequent-items sketch (``stat.freqItems``) runs over a
-    Bernoulli sample of the key columns.  It returns at most ``1 / min_share``
-    candidates (never missing a truly frequent key of the sample, possibly
-    adding a few that are not), so what reaches the driver has a proven
-    bound.  The candidates only route rows; no row is dropped.
-    """
-    source = df.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else df
-    packed = source.select(F.struct(*keys).alias("_k"))
-    items = packed.stat.freqItems(["_k"], support=min_share).first()[0]
-    return [tuple(item) for item in items]
+ROWS_PER_SALT = 1_000_000
 
 
-def split_hot_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    keys: list[str],
-    *,
-    hot: list[tuple] | None = None,
-    min_share: float = 0.01,
-    sample_fraction: float = 0.001,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Inner equi-join ``fact ⋈ dim`` on ``keys`` with hot fact keys split off.
+def key_salts(fact: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """The keys of ``fact`` with more than ``rows_per_salt`` rows, each with its
+    own number of salts: ``_salts`` = rows / ``rows_per_salt``, rounded up.
 
-    ``hot`` may be given (known hot keys); else it is found by ``hot_keys``.
-    If there are none, or the dimension rows of the hot keys exceed
-    ``max_broadcast_rows``, this is the plain join (AQE still splits skew).
+    Counts are exact, from the key columns alone, combined map-side.  There
+    can be at most ``rows(fact) / rows_per_salt`` such keys.
     """
-    if hot is None:
-        hot = hot_keys(fact, keys, min_share=min_share, sample_fraction=sample_fraction)
-    if not hot:
-        return fact.join(dim, keys)
-    is_hot = _key_in(keys, hot)
-    hot_dim = dim.where(is_hot)
-    if not row_count_at_most(hot_dim, max_broadcast_rows):
-        return fact.join(dim, keys)
-    hot_part = fact.where(is_hot).join(F.broadcast(hot_dim), keys)
-    cold_part = fact.where(~is_hot).join(dim.where(~is_hot), keys)
-    return hot_part.unionByName(cold_part)
-
-
-def _key_in(keys: list[str], values: list[tuple]):
-    """TRUE when the row's key is one of ``values`` (NULL keys are never hot)."""
-    if len(keys) == 1:
-        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
-    cond = F.lit(False)
-    for v in values:
-        one = F.lit(True)
-        for k, x in zip(keys, v):
-            one = one & (F.col(k) == F.lit(x))
-        cond = cond | F.coalesce(one, F.lit(False))
-    return cond
-
-
-# Salting targets: about this many fact rows of a hot key per salt, within
-# these bounds (any count gives the same rows; it only spreads the work).
-ROWS_PER_SALT = 20_000_000
-MIN_SALTS, MAX_SALTS = 2, 10_000
-
-
-def hot_key_rows(
-    fact: DataFrame,
-    keys: list[str],
-    *,
-    sample_fraction: float = 0.001,
-    seed: int = 17,
-    limit: int = 100,
-) -> list[tuple[tuple, float]]:
-    """The ``limit`` most frequent keys of a Bernoulli sample with their
-    estimated row counts in ``fact``: one grouped pass over the sample, and a
-    distributed top-``limit`` (at most ``limit`` rows reach the driver)."""
-    source = fact.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else fact
-    counts = source.groupBy(F.struct(*keys).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_k").isNotNull()).orderBy(F.col("_n").desc()).limit(limit).collect()
-    scale = sample_fraction if sample_fraction < 1 else 1
-    return [(tuple(r["_k"]), r["_n"] / scale) for r in top]
-
-
-def salt_count(
-    fact: DataFrame,
-    keys: list[str],
-    hot: list[tuple],
-    *,
-    sample_fraction: float = 0.001,
-    seed: int = 17,
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> int:
-    """Salts for the largest hot key: its row count estimated on a sample
-    (one grouped pass; at most ``len(hot) + 1`` rows reach the driver),
-    divided by ``rows_per_salt``, within ``[MIN_SALTS, MAX_SALTS]``."""
-    source = fact.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1 else fact
-    is_hot = _key_in(keys, hot)
-    tagged = source.select(F.when(is_hot, F.struct(*keys)).alias("_k"))
-    counts = tagged.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_k").isNotNull())
-    largest = max((r["_n"] for r in counts.collect()), default=0)
-    estimate = largest / (sample_fraction if sample_fraction < 1 else 1)
-    return int(min(MAX_SALTS, max(MIN_SALTS, -(-estimate // rows_per_salt))))
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    valid = F.lit(True)
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    salts = F.ceil(F.col("_rows") / rows_per_salt).cast("int")
+    return counts.where(valid & (F.col("_rows") > rows_per_salt)).select(*keys, salts.alias("_salts"))
 
 
 def salted_join(
@@ -155,50 +76,28 @@ def salted_join(
     dim: DataFrame,
     keys: list[str],
     *,
-    hot: list[tuple] | None = None,
-    salts: int | None = None,
-    min_share: float = 0.01,
-    sample_fraction: float = 0.001,
-    max_replicated_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """Inner equi-join ``fact ⋈ dim`` on ``keys`` with hot keys salted.
-
-    Fact rows of a hot key get a salt in ``[0, salts)`` from a hash of the
-    whole row (deterministic, so a retried task routes rows the same way);
-    the dimension rows of hot keys are replicated once per salt, all other
-    rows carry salt 0.  The join on ``keys + salt`` spreads each hot key over
-    ``salts`` partitions with one pass over the fact table.  The replicated
-    rows are bounded: at most ``1 / min_share`` hot keys, and their dimension
-    rows times the salt count are counted first (``max_replicated_rows``);
-    past the bound this is the plain join, where AQE's skew join still
-    applies.  Without ``hot``, one sampled pass (``hot_key_rows``) finds the
-    keys whose estimated rows exceed ``ROWS_PER_SALT`` and sizes the salt
-    count from the largest; with ``hot`` given and ``salts=None``,
-    ``salt_count`` sizes it.
+    """Inner equi-join ``fact ⋈ dim`` on ``keys`` with every hot key salted.
+
+    A key with more than ``rows_per_salt`` fact rows is spread over as many
+    salts as it has multiples of that; its dimension rows are replicated once
+    per salt, so all replicas together are at most ``rows / rows_per_salt`` plus
+    one per hot key and dimension row.  All other rows carry salt 0.  There is
+    no other threshold, no limit on the number of hot keys or salts and no
+    fallback: the plan is the same whatever the sizes.
+
+    A fact row's salt comes from its position in its partition, so rows equal
+    in every column spread as well.  Positions repeat when a task is retried
+    as long as the partition's order does: true for files and tables; cut a
+    fact side that comes out of a shuffle with ``checkpoint()`` or a written
+    table first.
     """
-    if hot is None:
-        # One sampled pass finds the keys and their sizes: a key is hot when
-        # its estimated rows exceed one salt's worth.
-        ranked = hot_key_rows(fact, keys, sample_fraction=sample_fraction, limit=int(1 / min_share))
-        hot = [k for k, rows in ranked if rows > ROWS_PER_SALT]
-        if hot and salts is None:
-            largest = max(rows for _, rows in ranked)
-            salts = int(min(MAX_SALTS, max(MIN_SALTS, -(-largest // ROWS_PER_SALT))))
-    if not hot:
-        return fact.join(dim, keys)
-    is_hot = _key_in(keys, hot)
-    if salts is None:
-        salts = salt_count(fact, keys, hot, sample_fraction=sample_fraction)
-    if not row_count_at_most(dim.where(is_hot), max(1, max_replicated_rows // salts)):
-        return fact.join(dim, keys)
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    salted_fact = fact.withColumn(
-        "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    salted_dim = dim.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted_fact.join(salted_dim, keys + ["_salt"]).drop("_salt")
+    salts = key_salts(fact, keys, rows_per_salt)
+    salts = broadcast_if_bounded(salts)
+    none = F.coalesce("_salts", F.lit(1))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    spread = fact.withColumn("_place", place).join(salts, keys, "left")
+    spread = spread.withColumn("_salt", F.pmod(F.col("_place"), none.cast("bigint")).cast("int")).drop("_place", "_salts")
+    copies = dim.join(salts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), none - 1))).drop("_salts")
+    return spread.join(copies, [*keys, "_salt"]).drop("_salt")

@@ -392,9 +392,12 @@ def coverage(
     """
     b = branch.select(F.col(key).cast("bigint").alias("_bk"))
     d = details.groupBy(F.col(key).cast("bigint").alias("_dk")).agg(F.count(F.lit(1)).alias("_n"))
+    if distinct:
+        # one row per branch key first, so the counts need no further distinct
+        b = b.where(F.col("_bk").isNotNull()).distinct()
     j = b.join(d, b["_bk"] == d["_dk"], "left")
     if distinct:
-        total, present = F.count_distinct("_bk"), F.count_distinct("_dk")
+        total, present = F.count(F.lit(1)), F.count("_dk")
     else:
         total = F.sum(F.coalesce(F.col("_n"), F.lit(1)))
         present = F.sum(F.coalesce(F.col("_n"), F.lit(0)))
@@ -490,7 +493,7 @@ def observed_profile(df: DataFrame, table_name: str) -> tuple[DataFrame, Observa
     """
     observation = Observation(f"profile {table_name}")
     metrics = [F.count(F.lit(1)).alias("row_count")] + [
-        F.count_if(df[c].isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)
+        F.count_if(F.col("`" + c.replace("`", "``") + "`").isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)
     ]
     return df.observe(observation, *metrics), observation
 

@@ -4,8 +4,8 @@ Plan shapes, chosen for a fact table far larger than its dimensions:
 
 * ``aml_customer_transactions`` joins CUSTOMER to ACCOUNT first and the
   result to TRANSACTION last, so the largest table is shuffled once.  It is
-  a row-level report: a hot account is split by AQE's skew join, or routed
-  through a size-checked broadcast by ``split_hot_accounts``.
+  a row-level report: a hot account is split by AQE's skew join, or salted
+  explicitly by ``salt_hot_accounts``.
 * ``branch_summary`` aggregates transactions per account *before* the join
   (eager aggregation).  Map-side partial aggregation collapses a hot account
   to one row per task, and the join then moves one row per account instead
@@ -25,9 +25,9 @@ from ledgerlens.functions.columns import after, date_text, money_to_double, when
 from ledgerlens.operators.dedupe import latest_per_key
 from ledgerlens.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
+    ROWS_PER_SALT,
     broadcast_if_bounded,
     salted_join,
-    split_hot_join,
 )
 from ledgerlens.schemas import AML_COLUMNS
 
@@ -43,19 +43,15 @@ def aml_customer_transactions(
     account: DataFrame,
     transaction: DataFrame,
     *,
-    split_hot_accounts: bool = False,
     salt_hot_accounts: bool = False,
-    hot_accounts: list[tuple] | None = None,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """CUSTOMER ⋈ ACCOUNT ⋈ TRANSACTION (inner, USING keys), 7 columns.
 
     Skew on ACCOUNT_ID: by default AQE splits an oversized partition of the
-    last join at run time.  Explicitly, ``salt_hot_accounts`` spreads each
-    hot account over several partitions (``joins.salted_join``, one pass
-    over the transactions) and ``split_hot_accounts`` routes hot accounts
-    through a broadcast join (``joins.split_hot_join``).  ``hot_accounts``
-    gives the hot keys instead of sampling for them.  The rows are the same
-    in every mode.
+    last join at run time.  ``salt_hot_accounts`` spreads every account with
+    more than ``rows_per_salt`` transactions explicitly
+    (``joins.salted_join``).  The rows are the same either way.
     """
     c = customer.select("CUSTOMER_ID", "NAME")
     a = account.select("ACCOUNT_ID", "CUSTOMER_ID")
@@ -64,9 +60,7 @@ def aml_customer_transactions(
     )
     customer_accounts = c.join(a, "CUSTOMER_ID")
     if salt_hot_accounts:
-        joined = salted_join(t, customer_accounts, ["ACCOUNT_ID"], hot=hot_accounts)
-    elif split_hot_accounts or hot_accounts is not None:
-        joined = split_hot_join(t, customer_accounts, ["ACCOUNT_ID"], hot=hot_accounts)
+        joined = salted_join(t, customer_accounts, ["ACCOUNT_ID"], rows_per_salt=rows_per_salt)
     else:
         joined = customer_accounts.join(t, "ACCOUNT_ID")
     return joined.select(*AML_COLUMNS)

@@ -81,75 +81,45 @@ def test_hot_key_is_aggregated_not_windowed(spark):
     assert out.count() == 1 + (n - n // 3)
 
 
-def test_split_hot_join_equals_plain_join(spark):
-    from ledgerlens.operators.joins import hot_keys, split_hot_join
-
+def _hot_fact_and_dim(spark):
     # Account 7 holds a third of the transactions; one account row repeats.
     fact = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("ACCOUNT_ID"),
         F.col("id").alias("TRANSACTION_ID"),
     )
+    fact = fact.unionByName(spark.range(3).select(F.lit(None).cast("long").alias("ACCOUNT_ID"), F.col("id").alias("TRANSACTION_ID")))
     dim = spark.range(500).select(F.col("id").alias("ACCOUNT_ID"), (F.col("id") * 10).alias("CUSTOMER_ID"))
-    dim = dim.unionByName(dim.where("ACCOUNT_ID = 7"))
-    assert (7,) in hot_keys(fact, ["ACCOUNT_ID"], min_share=0.05, sample_fraction=0.2)
-    plain = fact.join(dim, ["ACCOUNT_ID"])
-    split = split_hot_join(fact, dim, ["ACCOUNT_ID"], min_share=0.05, sample_fraction=0.2)
-    assert split.count() == plain.count() > 30_000
-    from ledgerlens.operators.quality import diff_summary
+    return fact, dim.unionByName(dim.where("ACCOUNT_ID = 7"))
 
-    assert diff_summary(plain, split.select(*plain.columns)).first().differing_rows == 0
-    # The hot rows go through a broadcast join.
-    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
 
-
-def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
-    from ledgerlens.operators.joins import salted_join
+# One extreme key; 200 and more hot keys; every key hot; none.
+@pytest.mark.parametrize("rows_per_salt", [5_000, 30, 1, 1_000_000])
+def test_salted_join_equals_plain_join(spark, rows_per_salt):
+    from ledgerlens.operators.joins import key_salts, salted_join
     from ledgerlens.operators.quality import diff_summary
 
-    fact = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("ACCOUNT_ID"),
-        F.col("id").alias("TRANSACTION_ID"),
-    )
-    dim = spark.range(500).select(F.col("id").alias("ACCOUNT_ID"), (F.col("id") * 10).alias("CUSTOMER_ID"))
-    dim = dim.unionByName(dim.where("ACCOUNT_ID = 7"))
+    fact, dim = _hot_fact_and_dim(spark)
+    found = {r.ACCOUNT_ID: r._salts for r in key_salts(fact, ["ACCOUNT_ID"], rows_per_salt).collect()}
+    counts = {r.ACCOUNT_ID: r["count"] for r in fact.groupBy("ACCOUNT_ID").count().collect()}
+    assert found == {k: -(-n // rows_per_salt) for k, n in counts.items() if k is not None and n > rows_per_salt}
     plain = fact.join(dim, ["ACCOUNT_ID"])
-    salted = salted_join(fact, dim, ["ACCOUNT_ID"], hot=[(7,)], salts=8)
+    salted = salted_join(fact, dim, ["ACCOUNT_ID"], rows_per_salt=rows_per_salt)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     assert diff_summary(plain, salted.select(*plain.columns)).first().differing_rows == 0
+
+
+def test_identical_rows_of_a_hot_key_spread(spark):
+    from ledgerlens.operators.joins import salted_join
+
+    fact = spark.range(4_000).select(F.lit(7).alias("ACCOUNT_ID"), F.lit("same").alias("V"))
+    dim = spark.createDataFrame([(7, "c")], "ACCOUNT_ID int, C string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        # The hot key's rows land in several shuffle partitions.
-        parts = (
-            salted_join(fact, dim, ["ACCOUNT_ID"], hot=[(7,)], salts=8)
-            .where("ACCOUNT_ID = 7")
-            .select(F.spark_partition_id().alias("p"))
-            .distinct()
-            .count()
-        )
-        assert parts > 1
+        joined = salted_join(fact, dim, ["ACCOUNT_ID"], rows_per_salt=100)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 4_000
+        assert len(per_task) > 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-
-
-def test_salt_count_scales_with_the_hot_key(spark):
-    from ledgerlens.operators.joins import MIN_SALTS, salt_count
-
-    fact = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("ACCOUNT_ID")
-    )
-    # 10,001 rows on key 7 (every third id, plus id 7): 1,000 rows per salt -> 11.
-    n = salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0, rows_per_salt=1_000)
-    assert n == 11
-    assert salt_count(fact, ["ACCOUNT_ID"], [(7,)], sample_fraction=1.0) == MIN_SALTS
-
-
-def test_hot_key_rows_ranks_and_estimates(spark):
-    from ledgerlens.operators.joins import hot_key_rows
-
-    fact = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("ACCOUNT_ID")
-    )
-    ranked = hot_key_rows(fact, ["ACCOUNT_ID"], sample_fraction=1.0, limit=3)
-    assert ranked[0] == ((7,), 10_001.0)
-    assert len(ranked) == 3

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerlens.operators import reports as R
-from ledgerlens.operators.joins import broadcast_if_bounded, row_count_at_most
+from ledgerlens.operators.joins import broadcast_if_bounded, size_at_most
 from ledgerlens.sources.testdata import load_entities
 
 SF = "/root/testdata/sf0.001"
@@ -60,7 +60,9 @@ def test_no_cartesian_nested_loop_or_window(spark, key):
 def test_broadcast_only_behind_a_bound(spark):
     small = spark.range(10)
     big = spark.range(1000)
-    assert row_count_at_most(small, 10) and not row_count_at_most(big, 10)
+    assert size_at_most(small, 10) and not size_at_most(big, 10)
+    wide = spark.range(5).select(F.repeat(F.lit("x"), 1000).alias("v"))
+    assert not size_at_most(wide, 10, max_bytes=4000) and size_at_most(wide, 10, max_bytes=6000)
     joined = spark.range(5000).join(broadcast_if_bounded(big, max_rows=10), "id")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -71,6 +73,16 @@ def test_broadcast_only_behind_a_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salted_key_salts(spark):
+    """The registered salted report joins on a salt, also at this small size."""
+    df = entry.queries()["aml_customer_transactions_salted"](spark, SF)
+    assert "_salt" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_distinct_coverage_needs_no_expand(spark):
+    assert "Expand" not in _plan(entry.queries()["details_coverage_distinct"](spark, SF))
+
+
 def test_violations_need_no_shuffle(spark):
     plan = _plan(entry.queries()["domain_violations"](spark, SF))
     # The only exchange is the broadcast of the tiny region table inside the view.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
-from ledgerlens.operators.joins import hot_keys
+from ledgerlens.operators.joins import key_salts
 from ledgerlens.sources.testdata import load_entities
 
 SF = "/root/testdata/sf0.01"
@@ -24,7 +24,9 @@ def skewed(spark):
 
 def test_hot_account_is_detected(skewed):
     e, txn, hot = skewed
-    assert (hot,) in hot_keys(txn, ["ACCOUNT_ID"], min_share=0.05, sample_fraction=0.05)
+    rows = txn.where(F.col("ACCOUNT_ID") == hot).count()
+    found = key_salts(txn, ["ACCOUNT_ID"], rows_per_salt=100).collect()
+    assert [tuple(r) for r in found] == [(hot, -(-rows // 100))]
 
 
 def test_summary_plans_agree_under_skew(skewed):
@@ -38,13 +40,10 @@ def test_summary_plans_agree_under_skew(skewed):
 def test_aml_skew_paths_equal_plain_join(skewed):
     e, txn, hot = skewed
     plain = R.aml_customer_transactions(e.customer, e.account, txn)
-    # At this size no account exceeds one salt's worth, so the hot account is
-    # supplied; the salt count is still sized from the data.
-    salted = R.aml_customer_transactions(e.customer, e.account, txn, salt_hot_accounts=True, hot_accounts=[(hot,)])
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    split = R.aml_customer_transactions(e.customer, e.account, txn, split_hot_accounts=True)
-    assert Q.diff_summary(plain, salted).first().differing_rows == 0
-    assert Q.diff_summary(plain, split).first().differing_rows == 0
+    for rows_per_salt in (1, 100):
+        salted = R.aml_customer_transactions(e.customer, e.account, txn, salt_hot_accounts=True, rows_per_salt=rows_per_salt)
+        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+        assert Q.diff_summary(plain, salted).first().differing_rows == 0
     hot_rows = txn.where(F.col("ACCOUNT_ID") == hot).count()
     assert hot_rows > txn.count() // 4
     assert plain.where(F.col("ACCOUNT_ID") == hot).count() == hot_rows
