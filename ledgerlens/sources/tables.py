@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.schemas import ddl
@@ -43,11 +44,15 @@ def write_table(
     """Write ``df`` as table ``name``.
 
     ``mode="overwrite"`` is a full reload: rerunning gives the same table,
-    never duplicates.  ``evolve`` sets ``mergeSchema`` (Delta widens the
-    table; a Parquet overwrite replaces the schema anyway).  ``bucket_by``
+    never duplicates.  With ``evolve`` the table's schema only grows: columns
+    that ``df`` adds are added, columns that it lacks stay and read NULL, and a
+    column of another type is refused (``mergeSchema`` does this for Delta;
+    other formats get the missing columns before the write).  ``bucket_by``
     (n, columns) lays the table out so later joins on those columns need no
     shuffle.
     """
+    if evolve and fmt != "delta" and mode == "overwrite" and table_exists(df.sparkSession, name):
+        df = widened(df, df.sparkSession.table(name).schema)
     writer = df.write.format(fmt).mode(mode)
     if evolve:
         writer = writer.option("mergeSchema", "true")
@@ -61,18 +66,32 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def staging_name(name: str) -> str:
-    return f"{name}__staging"
+def widened(df: DataFrame, old: StructType) -> DataFrame:
+    """``df`` with the columns of ``old`` first, those it lacks as typed NULLs,
+    then its own; a column whose type differs raises ``ValueError``."""
+    mine = {f.name.lower(): f for f in df.schema.fields}
+    changed = [f"{f.name}: {f.dataType.simpleString()} -> {mine[f.name.lower()].dataType.simpleString()}"
+               for f in old.fields if f.name.lower() in mine and mine[f.name.lower()].dataType != f.dataType]
+    if changed:
+        raise ValueError(f"evolution would change column types: {changed}")
+    kept = [F.col(f"`{f.name}`") if f.name.lower() in mine else F.lit(None).cast(f.dataType).alias(f.name) for f in old.fields]
+    known = {f.name.lower() for f in old.fields}
+    return df.select(*kept, *(F.col(f"`{f.name}`") for f in df.schema.fields if f.name.lower() not in known))
 
 
-def write_staging(df: DataFrame, name: str, *, fmt: str = "parquet") -> str:
-    """S16, step 1: write ``df`` to the staging table of ``name``; returns it.
+def staging_name(name: str, run: str = "") -> str:
+    """The staging table of a run; each run has its own."""
+    return f"{name}__staging{'_' + run if run else ''}"
+
+
+def write_staging(df: DataFrame, name: str, *, fmt: str = "parquet", run: str = "") -> str:
+    """S16, step 1: write ``df`` to the run's staging table of ``name``; returns it.
 
     The target is untouched.  The staging table is a written table, so it
     also cuts the lineage: checks and the swap never re-run the job.
     """
     spark = df.sparkSession
-    staging = staging_name(name)
+    staging = staging_name(name, run)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     write_table(df, staging, fmt=fmt)
     return staging
@@ -82,30 +101,69 @@ def previous_name(name: str) -> str:
     return f"{name}__previous"
 
 
-def publish_staging(spark: SparkSession, name: str) -> None:
-    """S16, step 2: swap the staging table in for ``name``.
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
 
-    The old table is renamed aside first, then the staging table takes the
-    name, then the old copy is dropped: at every moment either the old or
-    the new report exists under one of the two names, and a failed rename
-    puts the old table back.
+def recover(spark: SparkSession, names: Sequence[str]) -> None:
+    """Finish or undo a publication of ``names`` that died half-way.
+
+    A publication first renames all old tables aside, then all staging tables
+    in, then drops the old ones, each in the order of ``names``.  So if every
+    name exists the new tables are complete and what is left aside goes; if
+    one is missing all old tables come back, and a table before them that had
+    no old version goes.
+    """
+    aside = [n for n in names if table_exists(spark, previous_name(n))]
+    if not aside:
+        return
+    if all(table_exists(spark, n) for n in names):
+        for n in aside:
+            spark.sql(f"DROP TABLE {previous_name(n)}")
+        return
+    last = names.index(aside[-1])
+    for n in names:
+        if n in aside:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+            _rename(spark, previous_name(n), n)
+        elif names.index(n) < last:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def publish_all(spark: SparkSession, names: Sequence[str], run: str = "") -> None:
+    """S16, step 2: swap the run's staging tables in for ``names``, all or none.
+
+    If any step fails, every table is back as it was; if the process dies, the
+    next publication (or ``recover``) completes or undoes it.
     """
-    previous = previous_name(name)
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    had_old = table_exists(spark, name)
-    if had_old:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
+    names = list(names)
+    recover(spark, names)
+    had = [n for n in names if table_exists(spark, n)]
+    moved, published = [], []
     try:
-        spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+        for n in had:
+            _rename(spark, n, previous_name(n))
+            moved.append(n)
+        for n in names:
+            _rename(spark, staging_name(n, run), n)
+            published.append(n)
     except Exception:
-        if had_old:
-            spark.sql(f"ALTER TABLE {previous} RENAME TO {name}")
+        for n in published:
+            _rename(spark, n, staging_name(n, run))
+        for n in moved:
+            _rename(spark, previous_name(n), n)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    for n in had:
+        spark.sql(f"DROP TABLE IF EXISTS {previous_name(n)}")
 
 
-def discard_staging(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {staging_name(name)}")
+def publish_staging(spark: SparkSession, name: str, run: str = "") -> None:
+    """``publish_all`` for one table."""
+    publish_all(spark, [name], run)
+
+
+def discard_staging(spark: SparkSession, name: str, run: str = "") -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {staging_name(name, run)}")
 
 
 def staged_overwrite(
@@ -120,12 +178,14 @@ def staged_overwrite(
 
     A failed job or a failed check leaves the old table untouched.
     """
-    spark = df.sparkSession
-    staging = write_staging(df, name, fmt=fmt)
-    if check is not None and not check(spark.table(staging)):
-        discard_staging(spark, name)
-        raise ValueError(f"staged data for {name} failed its check; {name} left unchanged")
-    publish_staging(spark, name)
+    spark, run = df.sparkSession, uuid.uuid4().hex[:8]
+    try:
+        staging = write_staging(df, name, fmt=fmt, run=run)
+        if check is not None and not check(spark.table(staging)):
+            raise ValueError(f"staged data for {name} failed its check; {name} left unchanged")
+        publish_all(spark, [name], run)
+    finally:
+        discard_staging(spark, name, run)
 
 
 def create_table(

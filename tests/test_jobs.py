@@ -66,10 +66,94 @@ def test_quality_gate_blocks_writes(spark, scratch_db):
     assert not T.table_exists(spark, f"{scratch_db}.aml_g")
 
 
-def test_missing_source_raises_before_write(spark, scratch_db, tmp_path):
-    # Q20: a missing source fails at read time; nothing is written.
+def _job(spark, db, transaction=None, **options):
+    customer, account, plain, branch, details = v2_sample(spark)
+    return run_reporting_job(
+        spark,
+        Sources(customer, account, transaction if transaction is not None else plain, branch, details.withColumnRenamed("STATUS", "IS_ACTIVE")),
+        aml_table=f"{db}.aml",
+        summary_table=f"{db}.summary",
+        enrich_options={"active_value": "ACTIVE"},
+        **options,
+    )
+
+
+def _state(spark, db):
+    tables = sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
+    return tables, {t: sorted(map(str, spark.table(f"{db}.{t}").collect())) for t in tables}
+
+
+def test_missing_source_leaves_the_old_reports(spark, scratch_db, tmp_path):
+    """Q20: a source that has gone fails the job; nothing is touched, nothing left behind."""
+    plain = v2_sample(spark)[2]
+    plain.write.parquet(f"{tmp_path}/txn")
+    source = spark.read.parquet(f"{tmp_path}/txn")
+    _job(spark, scratch_db, source)
+    before = _state(spark, scratch_db)
+    assert before[0] == ["aml", "summary"]
+    for file in (tmp_path / "txn").glob("*.parquet"):
+        file.unlink()
     with pytest.raises(Exception):
-        spark.read.parquet(str(tmp_path / "no_such_table.parquet"))
+        _job(spark, scratch_db, source)
+    assert _state(spark, scratch_db) == before
+
+
+def test_renamed_column_stops_the_job(spark, scratch_db):
+    _job(spark, scratch_db)
+    before = _state(spark, scratch_db)
+    with pytest.raises(ValueError):
+        _job(spark, scratch_db, v2_sample(spark)[2].withColumnRenamed("AMOUNT", "AMT"))
+    assert _state(spark, scratch_db) == before
+
+
+def test_strict_holds_for_reports(spark, scratch_db):
+    customer, account, transaction, branch, details = v2_sample(spark)
+    # sources without a NULL; the LEFT join still leaves branches without details NULL
+    one = details.withColumnRenamed("STATUS", "IS_ACTIVE").limit(1)
+    sources = Sources(customer, account, transaction, branch, one)
+    options = {"aml_table": f"{scratch_db}.aml", "summary_table": f"{scratch_db}.summary", "enrich_options": {"active_value": "ACTIVE"}}
+    run_reporting_job(spark, sources, **options)
+    before = _state(spark, scratch_db)
+    with pytest.raises(QualityGateError):
+        run_reporting_job(spark, sources, strict=True, **options)
+    assert _state(spark, scratch_db) == before
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_publishing_is_both_or_neither(spark, scratch_db, monkeypatch, step):
+    """Each rename of the second run fails in turn."""
+    _job(spark, scratch_db)
+    before = _state(spark, scratch_db)
+    rename, calls = T._rename, []
+
+    def failing(spark, old, new):
+        calls.append(old)
+        if len(calls) == step + 1:
+            raise RuntimeError("killed")
+        rename(spark, old, new)
+
+    monkeypatch.setattr(T, "_rename", failing)
+    with pytest.raises(RuntimeError):
+        _job(spark, scratch_db, v2_sample(spark)[2].limit(2))
+    assert _state(spark, scratch_db) == before
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_next_run_recovers_from_a_death(spark, scratch_db, monkeypatch, step):
+    """The process dies before each rename: no clean-up runs.  Recovery gives
+    the complete old reports."""
+    _job(spark, scratch_db)
+    before = _state(spark, scratch_db)
+    for name in ("aml", "summary"):
+        T.write_staging(spark.range(1), f"{scratch_db}.{name}", run="dead")
+    moves = [(f"{scratch_db}.{n}", T.previous_name(f"{scratch_db}.{n}")) for n in ("aml", "summary")]
+    moves += [(T.staging_name(f"{scratch_db}.{n}", "dead"), f"{scratch_db}.{n}") for n in ("aml", "summary")]
+    for old, new in moves[:step]:
+        T._rename(spark, old, new)
+    T.recover(spark, [f"{scratch_db}.aml", f"{scratch_db}.summary"])
+    for name in ("aml", "summary"):
+        T.discard_staging(spark, f"{scratch_db}.{name}", "dead")
+    assert _state(spark, scratch_db) == before
 
 
 class _FakeReader:
@@ -173,7 +257,7 @@ def test_job_with_salted_aml_and_checked_broadcast(spark, scratch_db):
         aml_table=f"{scratch_db}.aml_x",
         summary_table=f"{scratch_db}.summary_x",
         enrich_options={"active_value": "ACTIVE"},
-        aml_options={"salt_hot_accounts": True, "hot_accounts": [(1001,)]},
+        aml_options={"salt_hot_accounts": True, "rows_per_salt": 1},
         summary_options={"broadcast_branch": True},
     )
     assert result.record_counts[f"{scratch_db}.aml_x"] == 4
