@@ -290,6 +290,30 @@ def _oracle() -> dict[str, str]:
         "aml_customer_transactions_salted": "SELECT * FROM r_aml",
         "branch_summary": "SELECT * FROM r_summary",
         "branch_summary_join_first": "SELECT * FROM r_summary",
+        "branch_summary_broadcast": "SELECT * FROM r_summary",
+        "branch_summary_enriched_flag_future": f"""
+            SELECT s.*, d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE,
+              CASE WHEN d.BRANCH_ID IS NOT NULL
+                THEN coalesce(d.LAST_AUDIT_DATE > DATE {_q(td.AS_OF)}, FALSE) END AS AUDIT_DATE_IN_FUTURE
+            FROM r_summary s LEFT JOIN r_details_active_latest d ON s.BRANCH_ID = CAST(d.BRANCH_ID AS BIGINT)""",
+        "reconcile_corrupted_summary": """
+            SELECT BRANCH_ID,
+              CASE WHEN BRANCH_ID % 7 = 0 THEN NULL WHEN BRANCH_ID % 3 = 0 THEN TOTAL_TRANSACTIONS - 1
+                ELSE TOTAL_TRANSACTIONS END AS summary_count,
+              TOTAL_TRANSACTIONS AS detail_count,
+              BRANCH_ID % 7 <> 0 AND BRANCH_ID % 3 <> 0 AS counts_match,
+              BRANCH_ID % 7 <> 0 AND BRANCH_ID % 5 <> 0 AS amounts_match
+            FROM r_summary WHERE BRANCH_ID % 7 = 0 OR BRANCH_ID % 3 = 0 OR BRANCH_ID % 5 = 0""",
+        "sink_constant_column": "SELECT *, 'v2' AS REPORT_VERSION FROM r_summary",
+        "sink_evolve_narrow_frame": """
+            SELECT *, CAST(NULL AS VARCHAR) AS REGION, CAST(NULL AS VARCHAR) AS LAST_AUDIT_DATE FROM r_summary""",
+        "seed_then_append": f"""
+            SELECT CAST(BRANCH_ID AS INTEGER) AS BRANCH_ID, REGION, MANAGER_NAME, LAST_AUDIT_DATE, IS_ACTIVE FROM e_details_flat
+            UNION ALL
+            SELECT CAST(BRANCH_ID AS INTEGER) AS BRANCH_ID, {bucket_case} AS REGION,
+              'TBD' AS MANAGER_NAME, DATE {_q(td.AS_OF)} AS LAST_AUDIT_DATE, 'Y' AS IS_ACTIVE
+            FROM e_branch_flat b
+            WHERE NOT EXISTS (SELECT 1 FROM e_details_flat d WHERE d.BRANCH_ID = b.BRANCH_ID)""",
         "branch_summary_enriched": "SELECT * FROM r_enriched",
         "branch_summary_enriched_reject_future": """
             SELECT s.*, d.REGION, strftime(d.LAST_AUDIT_DATE, '%Y-%m-%d') AS LAST_AUDIT_DATE

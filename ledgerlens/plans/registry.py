@@ -32,18 +32,9 @@ SCRATCH_DB = "ledgerlens_scratch"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Entity views are defined once per application and directory and reused by
-# every query, as a reporting job reads its sources once for all reports.
-# They are immutable plans, so reuse never changes a result; the file
-# listing is taken when a view is first used.
-_ENTITIES: dict[tuple[int, str, str], td.Entities] = {}
-
-
 def _e(spark: SparkSession, sf_dir: str) -> td.Entities:
-    key = (id(spark), spark.conf.get("spark.app.id"), sf_dir)
-    if key not in _ENTITIES:
-        _ENTITIES[key] = td.load_entities(spark, sf_dir)
-    return _ENTITIES[key]
+    # Defined anew for each query, so rewritten input is never read stale.
+    return td.load_entities(spark, sf_dir)
 
 
 def _summary(e: td.Entities) -> DataFrame:
@@ -98,12 +89,14 @@ def q_aml(spark, sf_dir):
 
 def q_aml_split_hot(spark, sf_dir):
     e = _e(spark, sf_dir)
-    return R.aml_customer_transactions(e.customer, e.account, e.transaction, split_hot_accounts=True)
+    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True)
 
 
 def q_aml_salted(spark, sf_dir):
+    # A threshold that very many accounts of the test tables exceed, so that
+    # the rows really go through several salts.
     e = _e(spark, sf_dir)
-    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True)
+    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True, rows_per_salt=2)
 
 
 def q_branch_summary(spark, sf_dir):
@@ -124,6 +117,17 @@ def q_enriched_reject_future(spark, sf_dir):
     return R.enrich_summary(_summary(e), e.details, future_audit="reject", as_of=td.AS_OF)
 
 
+def q_enriched_flag_future(spark, sf_dir):
+    e = _e(spark, sf_dir)
+    return R.enrich_summary(_summary(e), e.details, future_audit="flag", as_of=td.AS_OF)
+
+
+def q_branch_summary_broadcast(spark, sf_dir):
+    """The branch side is broadcast after its rows and bytes are counted."""
+    e = _e(spark, sf_dir)
+    return R.branch_summary(e.transaction, e.account, e.branch, broadcast_branch=True)
+
+
 def q_left_no_rule(spark, sf_dir):
     e = _e(spark, sf_dir)
     return R.enrich_summary(_summary(e), e.details, active_rule="none", duplicates="keep")
@@ -336,15 +340,36 @@ def q_key_equality(spark, sf_dir):
     return Q.key_set_compare(_summary(e), keys, ["BRANCH_ID"])
 
 
+def _reconciled(e: td.Entities, written: DataFrame) -> DataFrame:
+    # The detail side joins first and aggregates last: another plan than the
+    # one the written report came from.
+    detail = e.transaction.select("ACCOUNT_ID", "AMOUNT").join(e.account.select("ACCOUNT_ID", "BRANCH_ID"), "ACCOUNT_ID")
+    return Q.reconcile(written, detail, ["BRANCH_ID"])
+
+
 def q_reconcile(spark, sf_dir):
     e = _e(spark, sf_dir)
-    # Detail re-aggregated from the transactions: partial totals per account
-    # (combined map-side) joined to the account's branch.
-    per_account = e.transaction.groupBy("ACCOUNT_ID").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("AMOUNT")
+    name = _scratch(spark, "branch_summary_report_reconciled")
+    T.write_table(_summary(e), name)
+    return _reconciled(e, T.read_table(spark, name))
+
+
+def q_reconcile_corrupted(spark, sf_dir):
+    """The written report with wrong rows: every third branch one transaction
+    short, every fifth off by one cent more than the tolerance, every seventh gone."""
+    e = _e(spark, sf_dir)
+    name = _scratch(spark, "branch_summary_report_corrupted")
+    wrong = _summary(e).where(F.col("BRANCH_ID") % 7 != 0).select(
+        "BRANCH_ID",
+        "BRANCH_NAME",
+        F.when(F.col("BRANCH_ID") % 3 == 0, F.col("TOTAL_TRANSACTIONS") - 1).otherwise(F.col("TOTAL_TRANSACTIONS")).alias("TOTAL_TRANSACTIONS"),
+        F.when(F.col("BRANCH_ID") % 5 == 0, F.col("TOTAL_AMOUNT") + 0.02).otherwise(F.col("TOTAL_AMOUNT")).alias("TOTAL_AMOUNT"),
+    )
+    T.write_table(wrong, name)
+    out = _reconciled(e, T.read_table(spark, name))
+    return out.where(~(F.col("counts_match") & F.col("amounts_match"))).select(
+        "BRANCH_ID", "summary_count", "detail_count", "counts_match", "amounts_match"
     )
-    detail = per_account.join(e.account.select("ACCOUNT_ID", "BRANCH_ID"), "ACCOUNT_ID")
-    return Q.reconcile(_summary(e), detail, ["BRANCH_ID"], detail_count="_n")
 
 
 def q_amount_totals(spark, sf_dir):
@@ -475,6 +500,37 @@ def q_sink_evolve(spark, sf_dir):
     return T.read_table(spark, name)
 
 
+def q_sink_constant_column(spark, sf_dir):
+    """A constant column added to a report by an evolving write."""
+    e = _e(spark, sf_dir)
+    name = _scratch(spark, "branch_summary_report_constant")
+    T.write_table(_summary(e), name)
+    T.write_table(_summary(e).withColumn("REPORT_VERSION", F.lit("v2")), name, evolve=True)
+    return T.read_table(spark, name)
+
+
+def q_sink_evolve_narrow(spark, sf_dir):
+    """The new frame lacks two columns of the table, which keeps them as NULL."""
+    e = _e(spark, sf_dir)
+    name = _scratch(spark, "branch_summary_report_narrow")
+    T.write_table(_enriched(e), name)
+    T.write_table(_summary(e), name, evolve=True)
+    return T.read_table(spark, name)
+
+
+def q_seed_append(spark, sf_dir):
+    """Details of branches that have none are appended to the table."""
+    e = _e(spark, sf_dir)
+    name = _scratch(spark, "branch_operational_details_seeded")
+    columns = ["BRANCH_ID", "REGION", "MANAGER_NAME", "LAST_AUDIT_DATE", "IS_ACTIVE"]
+    T.write_table(e.details_flat.select(*columns), name)
+    seeded = M.seed_details(
+        e.branch_flat, T.read_table(spark, name), as_of=td.AS_OF, buckets=td.STATE_BUCKETS, default=td.STATE_BUCKET_DEFAULT
+    )
+    T.insert_columns(seeded, name, columns)
+    return T.read_table(spark, name)
+
+
 def q_staged(spark, sf_dir):
     name = _scratch(spark, "branch_summary_report_staged")
     T.staged_overwrite(_enriched(_e(spark, sf_dir)), name, check=lambda df: Q.passes(df, name))
@@ -531,6 +587,8 @@ QUERIES: dict[str, Query] = {
     "branch_summary_enriched": q_enriched,
     "branch_summary_left_no_rule": q_left_no_rule,
     "branch_summary_enriched_reject_future": q_enriched_reject_future,
+    "branch_summary_enriched_flag_future": q_enriched_flag_future,
+    "branch_summary_broadcast": q_branch_summary_broadcast,
     "branch_summary_case_active": q_case_active,
     "branch_summary_all_branches": q_all_branches,
     "branch_summary_all_branches_enriched": q_all_branches_enriched,
@@ -559,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "ref_integrity": q_ref_integrity,
     "summary_key_equality": q_key_equality,
     "reconcile_summary": q_reconcile,
+    "reconcile_corrupted_summary": q_reconcile_corrupted,
     "amount_totals": q_amount_totals,
     "row_counts": q_row_counts,
     "distinct_branch_keys": q_distinct_keys,
@@ -578,6 +637,9 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip_summary": q_sink_summary,
     "sink_roundtrip_aml": q_sink_aml,
     "sink_evolve_4_to_6": q_sink_evolve,
+    "sink_constant_column": q_sink_constant_column,
+    "sink_evolve_narrow_frame": q_sink_evolve_narrow,
+    "seed_then_append": q_seed_append,
     "staged_write_summary": q_staged,
     "insert_with_defaults": q_insert_defaults,
     "backup_restore": q_backup_restore,
