@@ -27,13 +27,15 @@ SEED_ACTIVE = "Y"
 
 
 def branches_without_details(branch: DataFrame, details: DataFrame, key: str = "BRANCH_ID") -> DataFrame:
-    """Branches with no details row (correlated NOT EXISTS → left anti).
+    """Branches with no details row (correlated NOT EXISTS).
 
     Detail keys are made distinct first, so a key repeated many times is one
-    row on the side of the anti join that AQE cannot split.
+    row on the side of the join that AQE cannot split.  An outer join and a
+    filter rather than an anti join, which Spark would push below a union of
+    branches and turn into a nested loop where one part's key is a constant.
     """
     d = details.select(F.col(key).cast("bigint").alias("_dk")).distinct()
-    return branch.join(d, F.col(key).cast("bigint") == d["_dk"], "left_anti")
+    return branch.join(d, F.col(key).cast("bigint") == d["_dk"], "left").where("_dk IS NULL").drop("_dk")
 
 
 def region_buckets(

@@ -62,30 +62,42 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+# Map tasks times reducers: about how many shuffle blocks the driver keeps track of.
+MAX_SHUFFLE_BLOCKS = 1_000_000_000
+
+
 def scale_conf(
     input_bytes: int,
     total_cores: int,
     *,
+    shuffle_bytes: int | None = None,
     target_partition_bytes: int = 256 * 1024 * 1024,
 ) -> dict[str, str]:
     """Settings sized for a job reading ``input_bytes`` on ``total_cores``.
 
-    The initial shuffle partition count gives each reducer about
-    ``target_partition_bytes`` of the input (and at least two waves of tasks
-    per core), so the biggest shuffle (the transaction side of a join) fits
-    in executor memory without spilling; AQE then coalesces the small
-    shuffles (per-account partials, per-branch totals) down to the advisory
-    size.  Scan splits use the same size, and a partition counts as skewed
-    past four times the median and the target size.
+    Scan splits and reducers take about ``target_partition_bytes`` each (of the
+    input, and of ``shuffle_bytes``, the largest shuffle projected; default: the
+    input), with at least two waves of reducers per core.  Beyond a few TB the
+    splits grow and the reducers are limited so that map tasks times reducers
+    stay near ``MAX_SHUFFLE_BLOCKS``, which bounds what the driver holds of map
+    statuses; reducers then spill, and AQE still coalesces small shuffles
+    (per-account partials, per-branch totals) to the advisory size.  A partition
+    counts as skewed past four times the median and the target size.
     """
-    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    size = f"{target_partition_bytes // (1024 * 1024)}m"
+    mib = 1024 * 1024
+    side = int(MAX_SHUFFLE_BLOCKS**0.5)
+    split = max(target_partition_bytes, -(-input_bytes // side))
+    split = -(-split // mib) * mib
+    maps = max(1, -(-input_bytes // split))
+    wanted = -(-(input_bytes if shuffle_bytes is None else shuffle_bytes) // target_partition_bytes)
+    partitions = max(2 * total_cores, min(wanted, MAX_SHUFFLE_BLOCKS // maps))
+    size = f"{target_partition_bytes // mib}m"
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.files.maxPartitionBytes": f"{split // mib}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,

@@ -36,23 +36,12 @@ def test_eager_plan_aggregates_before_the_account_join(spark):
     assert plan.count("partial_count") >= 1 and plan.count("partial_sum") >= 3
 
 
-@pytest.mark.parametrize(
-    "key",
-    [
-        "aml_customer_transactions",
-        "branch_summary",
-        "branch_summary_enriched",
-        "branch_summary_flat",
-        "reconcile_summary",
-        "ref_integrity",
-        "duplicate_transaction_ids",
-        "summary_key_equality",
-        "quality_verdict",
-        "latest_details",
-    ],
-)
+from ledgerlens.plans.registry import QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cartesian_nested_loop_or_window(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF))
+    plan = _plan(QUERIES[key](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "PythonUDF", "EvalPython"):
         assert bad not in plan, f"{key} plans {bad}"
 
