@@ -9,7 +9,6 @@ Layout
 ``functions``  column expressions and rule predicates
 ``operators``  reports, de-duplication, quality and migration operators
 ``plans``      end-to-end jobs, the query registry and its DuckDB oracle
-``streaming``  notes only; the reporting domain has no streaming operators
 """
 
 from ledgerlens.session import get_spark_session, checkpoint_dir

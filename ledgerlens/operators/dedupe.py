@@ -1,7 +1,7 @@
 """One row per key.
 
 ``latest`` and ``first`` are grouped ``max``/``min`` over a struct, not a
-``row_number`` window: a hash aggregate combines partially before the
+``row_number`` window: an aggregate (sort-based, its buffer being a struct) combines partially before the
 shuffle, so a key holding a third of all rows never lands whole in one task,
 and the struct ordering gives a total, deterministic tie-break.
 """

@@ -112,7 +112,7 @@ def check_schema(df: DataFrame, expected: StructType, mode: str = "equal") -> No
 
 
 def require_columns(df: DataFrame, table_name: str, columns: Sequence[str]) -> None:
-    """Q3 for sources (TC_KAN9_15): stop before any job if a needed column
+    """Q3 for sources (Q20): stop before any job if a needed column
     was removed or renamed; the message names the table and the columns."""
     missing = [c for c in columns if c not in df.columns]
     if missing:

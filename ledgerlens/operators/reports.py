@@ -180,7 +180,7 @@ def enrich_summary(
     blanks both columns when inactive; ``none`` ignores the flag.
     ``duplicates`` (D14): ``latest`` (default), ``first``, ``keep``, ``error``.
     LAST_AUDIT_DATE is returned as ``yyyy-MM-dd`` text (D4).
-    ``future_audit`` (TC_KAN9_13) handles audit dates after ``as_of``:
+    ``future_audit`` (Q9) handles audit dates after ``as_of``:
     ``accept`` keeps them, ``reject`` ignores those details rows, ``flag``
     keeps them and adds a boolean ``AUDIT_DATE_IN_FUTURE`` column.
     """
