@@ -36,7 +36,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece encoding: the ids of every text; decoding gives it back."""
-    out = sentencepiece_codec.encode(docs, load_pieces(MODEL))
+    out = sentencepiece_codec.encode(docs, load_pieces(MODEL), carry=["doc_id", "source"])
     return out.select("row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -68,10 +68,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = load_pieces(MODEL)
-    out = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), pieces)
-    decoded = sentencepiece_codec.text_column(F.col("ids"), pieces)
-    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(decoded, 256).alias("decoded_sha256"))
+    out = sentencepiece_codec.encode(read(spark, sf_dir, "documents"), load_pieces(MODEL), carry=["doc_id"])
+    return out.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ are written as the pieces write them, with one in front of the text, so that
 decoding the ids gives back the text exactly.
 
 No piece goes on behind a space sign, so the best segmentation of a text is
-that of its units (spaces and the word after them) side by side, and a task
-remembers those of frequent units.
+that of its units (spaces and the word after them) side by side.  A task
+remembers the ids of units; new ones are done in sorted order, where each goes
+on from the prefix it shares with the one before.
 
 Documents longer than ``CHUNK`` characters are split into chunks at fixed
 places, which may lie inside a piece.  The state at a chunk's border is how
@@ -25,11 +26,12 @@ included.  Giant documents are handled once per different text.
 Defined results: a null text has null ids; an empty text has none; texts with
 the space sign itself keep it, through byte pieces; repeated rows and null ids
 keep their rows; an empty table gives an empty result.  All columns of the
-input are kept in the struct ``row``.
+input, or those asked for, are kept in the struct ``row``.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -37,8 +39,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ledgerlens.llm.common import durable, durable_table, ship
 from ledgerlens.llm.vocabulary import SPACE, Pieces
@@ -58,14 +62,16 @@ class Codec:
         self.longest = max(map(len, pieces.text))
         self.unknown_score = min(pieces.score) - 10
         self.trie: dict = {}
+        self.ends: dict = {}  # the same with the pieces read backwards
         for p, score, i in zip(pieces.text, pieces.score, pieces.id):
-            node = self.trie
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = (score, i)
+            for node, chars in ((self.trie, p), (self.ends, reversed(p))):
+                for c in chars:
+                    node = node.setdefault(c, {})
+                node[""] = (score, i)
         if any(SPACE in p.lstrip(SPACE) for p in pieces.text):
             raise ValueError("a piece goes on behind a space sign")
         self.bytes_of = {i: p.replace(SPACE, " ").encode() for p, i in zip(pieces.text, pieces.id)}
+        self.singles = {p for p in pieces.text if len(p) == 1}
         self.bytes_of |= {i: bytes([b]) for b, i in enumerate(pieces.byte)}
         self.known: dict[str, bytes] = {}
 
@@ -118,74 +124,123 @@ class Codec:
             ids.extend(part)
         return at, ids
 
-    def _unit(self, unit: str) -> bytes:
-        """The ids of a whole unit, as bytes: ``forward`` and ``trace`` with
-        less bookkeeping, as most of the work is here."""
-        ids = self.known.get(unit)
-        if ids is not None:
-            return ids
-        n, trie, unknown = len(unit), self.trie, self.unknown_score
-        best, start, piece = [NEVER] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        best[0] = 0
-        for at in range(n):
-            here, node, end, single = best[at], trie, at, False
-            while end < n:
-                node = node.get(unit[end])
-                if node is None:
-                    break
-                end += 1
-                found = node.get("")
-                if found is not None:
-                    score = here + found[0]
-                    if score > best[end]:
-                        best[end], start[end], piece[end] = score, at, found[1]
-                    if end == at + 1:
-                        single = True
-            if not single and here + unknown > best[at + 1]:
-                best[at + 1], start[at + 1], piece[at + 1] = here + unknown, at, -1
-        out = array("i")
-        at = n
-        while at:
-            if piece[at] >= 0:
-                out.append(piece[at])
-            else:
-                out.extend(self.pieces.byte[b] for b in reversed(unit[start[at]].replace(SIGN, SPACE).encode()))
-            at = start[at]
-        out.reverse()
-        ids = out.tobytes()
-        if n <= 64:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[unit] = ids
-        return ids
+    def segment(self, units: list[str]) -> Iterator[tuple[str, int, bytes]]:
+        """(unit, score, ids as bytes) of sorted units."""
+        best, start, piece, last = [0], [0], [0], ""
+        for unit in units:
+            same, least = 0, min(len(last), len(unit))
+            while same < least and last[same] == unit[same]:
+                same += 1
+            del best[same + 1 :], start[same + 1 :], piece[same + 1 :]
+            for end in range(same + 1, len(unit) + 1):
+                # of the pieces that end here; a start further left wins a tie
+                top, at, of, node, i = best[end - 1] + self.unknown_score, end - 1, -1, self.ends, end
+                if unit[end - 1] in self.singles:
+                    top = NEVER
+                while i:
+                    node = node.get(unit[i - 1])
+                    if node is None:
+                        break
+                    i -= 1
+                    found = node.get("")
+                    if found is not None:
+                        score = best[i] + found[0]
+                        if score >= top:
+                            top, at, of = score, i, found[1]
+                best.append(top)
+                start.append(at)
+                piece.append(of)
+            out, at = array("i"), len(unit)
+            while at:
+                if piece[at] >= 0:
+                    out.append(piece[at])
+                else:
+                    out.extend(self.pieces.byte[b] for b in reversed(unit[start[at]].replace(SIGN, SPACE).encode()))
+                at = start[at]
+            out.reverse()
+            yield unit, best[-1], out.tobytes()
+            last = unit
 
     UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
+    def encode_escaped(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids, as bytes, of texts that begin and end with whole units."""
+        for at in range(0, len(texts), 256):
+            units = [self.UNITS.findall(t) for t in texts[at : at + 256]]
+            wanted = set().union(*units)
+            if len(self.known) + len(wanted) > CACHE:
+                self.known.clear()
+            self.known.update((u, ids) for u, _, ids in self.segment(sorted(u for u in wanted if u not in self.known)))
+            for u in units:
+                yield b"".join(map(self.known.__getitem__, u))
+            if max(map(len, wanted), default=0) > 64:
+                for u in wanted:
+                    if len(u) > 64:
+                        del self.known[u]
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(ids, np.int32) for ids in self.encode_escaped([self.escape(t) if t else "" for t in texts])]
+
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        return np.frombuffer(b"".join(map(self._unit, self.UNITS.findall(self.escape(text)))), np.int32)
+        return self.encode_many([text])[0]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode()[1:]
 
-    # chunks
+    # Chunks.  Every segmentation breaks where a unit ends, so a chunk with
+    # such places is its head, whole units and its tail; only head and tail
+    # depend on the states.
 
-    def transfer(self, s: str, n: int) -> np.ndarray:
-        """The max-plus matrix of a chunk of ``n`` places (``s`` goes on beyond)."""
+    def _borders(self, s: str, n: int) -> tuple[int, int]:
+        """The first and the last place where a unit ends, 0 if there is none."""
+        ends = re.finditer(f"(?<=[^{SPACE}]){SPACE}", s[:n])
+        first = last = 0
+        for m in ends:
+            first, last = first or m.start(), m.start()
+        return first, last
+
+    def _matrix(self, s: str, n: int) -> np.ndarray:
+        """Best sums from each of the first places to each place from ``n`` on."""
         size = self.longest
         best = np.full((n + size, size), NEVER, np.int64)
-        best[np.arange(size), np.arange(size)] = 0
+        entries = np.arange(min(size, n + size))
+        best[entries, entries] = 0
         for at in range(n):
             for length, score, _ in self.matches(s, at):
                 np.maximum(best[at + length], best[at] + score, out=best[at + length])
         return np.maximum(best[n:].T, NEVER)
 
+    def transfer(self, s: str, n: int) -> np.ndarray:
+        """The max-plus matrix of a chunk of ``n`` places (``s`` goes on beyond)."""
+        first, last = self._borders(s, n)
+        if not first:
+            return self._matrix(s, n)
+        head = self._matrix(s[:first], first)[:, 0]
+        body = self.UNITS.findall(s[first:last])
+        scores = {u: score for u, score, _ in self.segment(sorted(set(body)))}
+        tail = self.forward(s[last:], n - last, [0])
+        tail = np.array([tail[n - last + j][0] for j in range(self.longest)], np.int64)
+        return np.maximum(head[:, None] + sum(map(scores.__getitem__, body)) + tail[None, :], NEVER)
+
     def entries(self, s: str, n: int, v: list[int]) -> list[int]:
         """For each end state the start state its best path comes from."""
+        first, _ = self._borders(s, n)
+        if first:
+            came = self.trace(s, self.forward(s[:first], first, v[: first + 1]), first)[0]
+            return [came] * self.longest
         best = self.forward(s, n, v)
         return [self.trace(s, best, n + j)[0] if best[n + j][0] > NEVER // 2 else -1 for j in range(self.longest)]
 
+    def chunk_ids(self, s: str, n: int, v: list[int], state: int) -> np.ndarray:
+        """The ids of the pieces that start in the chunk, given its end state."""
+        first, last = self._borders(s, n)
+        if not first:
+            return np.asarray(self.trace(s, self.forward(s, n, v), n + state)[1])
+        head = self.trace(s, self.forward(s[:first], first, v[: first + 1]), first)[1]
+        body = b"".join(self.encode_escaped([s[first:last]]))
+        tail = self.trace(s[last:], self.forward(s[last:], n - last, [0]), n - last + state)[1]
+        return np.frombuffer(head.tobytes() + body + tail.tobytes(), np.int32)
+
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus products of stacks of matrices."""
@@ -218,13 +273,27 @@ def codec(pieces: Pieces) -> Codec:
     return Codec(pieces)
 
 
-def ids_column(text: Column, pieces: Pieces) -> Column:
-    def encode(texts: pd.Series) -> pd.Series:
+IDS = pa.list_(pa.field("element", pa.int32(), True))
+
+
+def _coded(pieces: Pieces, size: int = 256):
+    """Rows (row, text) to (row, ids, decoded_sha256), a few at a time, so that
+    a task holds one batch of texts and the ids of a small part of it."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(pieces)
-        return pd.Series([None if t is None else c.encode(t) for t in texts], dtype=object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                texts = part.column("text").to_pylist()
+                ids = c.encode_many([t or "" for t in texts])
+                back = [None if t is None else hashlib.sha256(c.decode(i.tolist()).encode()).hexdigest() for t, i in zip(texts, ids)]
+                ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                none = pa.array([t is None for t in texts])
+                listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()), type=IDS, mask=none)
+                yield pa.RecordBatch.from_arrays([part.column("row"), listed, pa.array(back, pa.string())], ["row", "ids", "decoded_sha256"])
 
-    encode.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(encode, "array<int>")(text)
+    return rows
 
 
 def text_column(ids: Column, pieces: Pieces) -> Column:
@@ -307,8 +376,7 @@ def _traces(pieces: Pieces):
         for b in batches:
             ids = []
             for s, i, n, v, state in zip(b.s, b.c, b.n, b.v, b.state):
-                s, n = _chunk(c, s, i, n)
-                ids.append(np.asarray(c.trace(s, c.forward(s, n, list(map(int, v))), n + state)[1]))
+                ids.append(c.chunk_ids(*_chunk(c, s, i, n), list(map(int, v)), state))
             yield pd.DataFrame({"key": b.key, "c": b.c, "ids": ids})
 
     return rows
@@ -328,12 +396,15 @@ def giant_ids(texts: DataFrame, pieces: Pieces, chunk: int = CHUNK) -> DataFrame
     return ids.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "ids"))).alias("p")).select("key", F.flatten("p.ids").alias("ids"))
 
 
-def encode(docs: DataFrame, pieces: Pieces, chunk: int = CHUNK) -> DataFrame:
-    """``row`` (all columns of ``docs``) and ``ids``."""
+def encode(docs: DataFrame, pieces: Pieces, chunk: int = CHUNK, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``carry``, default: all), ``ids`` and
+    ``decoded_sha256``, the digest of the text decoded from the ids again."""
     ship(docs.sparkSession)
-    rows = docs.select(F.struct("*").alias("row"))
-    giant = F.coalesce(F.length("row.text") > chunk, F.lit(False))
-    short = rows.where(~giant).withColumn("ids", ids_column(F.col("row.text"), pieces))
-    long = rows.where(giant).withColumn("key", F.sha2("row.text", 256))
-    texts = long.select("key", F.col("row.text").alias("text")).dropDuplicates(["key"])
-    return short.union(long.join(giant_ids(texts, pieces, chunk), "key").select("row", "ids"))
+    rows = docs.select(F.struct(*(docs.columns if carry is None else carry)).alias("row"), "text")
+    giant = F.coalesce(F.length("text") > chunk, F.lit(False))
+    schema = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("decoded_sha256", StringType())])
+    short = rows.where(~giant).mapInArrow(_coded(pieces), schema)
+    long = rows.where(giant).withColumn("key", F.sha2("text", 256))
+    coded = giant_ids(long.select("key", "text").dropDuplicates(["key"]), pieces, chunk)
+    coded = coded.select("key", "ids", F.sha2(text_column(F.col("ids"), pieces), 256).alias("decoded_sha256"))
+    return short.union(long.join(coded, "key").select("row", "ids", "decoded_sha256"))

@@ -1,5 +1,6 @@
 """URL filters, exact search, token counts and the SentencePiece codec."""
 
+import hashlib
 import random
 import re
 
@@ -167,5 +168,29 @@ def test_chunks_equal_one_pass(spark, codec, chunk):
     out = out.withColumn("back", sentencepiece_codec.text_column(F.col("ids"), codec.pieces)).collect()
     assert len(out) == len(rows)
     for r in out:
-        assert r.back == r.row.text
-        assert r.ids == (None if r.row.text is None else codec.encode(r.row.text).tolist())
+        t = r.row.text
+        assert r.back == t
+        assert r.ids == (None if t is None else codec.encode(t).tolist())
+        assert r.decoded_sha256 == (None if t is None else hashlib.sha256(t.encode()).hexdigest())
+
+
+@pytest.mark.parametrize("chunk", [17, 23, 64, 300])
+def test_chunks_by_matrices(codec, chunk):
+    """The scan without Spark, over texts with few and many unit ends."""
+    rnd = random.Random(chunk)
+    for _ in range(60):
+        t = "".join(rnd.choice("the ain-字▁ \n") if rnd.random() < 0.9 else "a" * rnd.randint(1, 90) for _ in range(rnd.randint(chunk, 400)))
+        places = sentencepiece_codec.split_places(len(t), chunk, codec.longest)
+        parts = [sentencepiece_codec._chunk(codec, t[a : b + codec.longest], i, b - a) for i, (a, b) in enumerate(places)]
+        m = np.stack([codec.transfer(*p) for p in parts])
+        first = np.full((1, codec.longest), sentencepiece_codec.NEVER, np.int64)
+        first[0, 0] = 0
+        v = np.concatenate([first, sentencepiece_codec.prefix_products(m)[:-1, 0, :]])
+        state, ids = 0, []
+        for p, start in reversed(list(zip(parts, v.tolist()))):
+            ids.insert(0, codec.chunk_ids(*p, start, state).tolist())
+            state = codec.entries(*p, start)[state]
+        assert state == 0
+        whole = codec.escape(t)
+        one_pass = codec.trace(whole, codec.forward(whole, len(whole), [0]), len(whole))[1].tolist()
+        assert sum(ids, []) == codec.encode(t).tolist() == one_pass
