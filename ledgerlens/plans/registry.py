@@ -96,7 +96,7 @@ def q_aml_salted(spark, sf_dir):
     # A threshold that very many accounts of the test tables exceed, so that
     # the rows really go through several salts.
     e = _e(spark, sf_dir)
-    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True, rows_per_salt=2)
+    return R.aml_customer_transactions(e.customer, e.account, e.transaction, salt_hot_accounts=True, rows_per_salt=6)
 
 
 def q_branch_summary(spark, sf_dir):

@@ -106,6 +106,15 @@ def test_renamed_column_stops_the_job(spark, scratch_db):
     assert _state(spark, scratch_db) == before
 
 
+def test_renamed_parquet_column_raises(spark, tmp_path):
+    from ledgerlens.sources import testdata as td
+
+    renamed = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").withColumnRenamed("c_name", "c_fullname")
+    renamed.write.parquet(f"{tmp_path}/customer.parquet")
+    with pytest.raises(ValueError, match="c_name"):
+        td.customer(spark, str(tmp_path))
+
+
 def test_strict_holds_for_reports(spark, scratch_db):
     customer, account, transaction, branch, details = v2_sample(spark)
     # sources without a NULL; the LEFT join still leaves branches without details NULL
