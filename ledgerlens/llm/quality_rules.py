@@ -144,7 +144,9 @@ def cutoffs(trials: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> Da
     # grid value below it downwards.
     first = lambda r: (F.ceil(F.col(r) / step) * step - step).cast("int")
     long = trials.select("stratum", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), first(r).alias("below")) for r in RULES))).alias("x"))
-    counts = long.groupBy("stratum", "x.rule", "x.below").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    counts = durable(
+        long.groupBy("stratum", "x.rule", "x.below").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    )
     grid = F.explode(F.array(*(F.lit(c) for c in GRID))).alias("cutoff")
     per = counts.groupBy("stratum", "rule").agg(
         F.sum("good").alias("n"), F.collect_list(F.struct("below", "good", "bad")).alias("bins")
@@ -153,12 +155,11 @@ def cutoffs(trials: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> Da
         "bins", F.lit(0).cast("long"), lambda a, b: a + F.when(b["below"] >= F.col("cutoff"), b[what]).otherwise(0)
     )
     tested = per.select("stratum", "rule", "n", "bins", grid).select("stratum", "rule", "n", "cutoff", above("good").alias("k"), above("bad").alias("bad"))
-    strata = trials.select("stratum").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
-    level = F.lit(delta) / (len(RULES) * F.col("n_strata"))
+    level = delta / (len(RULES) * max(1, counts.select("stratum").distinct().count()))
     # The count of rejected good documents grows as the cutoff falls, and the
     # probability with it: the first test that fails is the last that passes
     # plus one, so keeping all that pass is the fixed-order test.
-    passed = tested.join(F.broadcast(strata)).where(binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) <= level)
+    passed = tested.where(binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) <= level)
     best = passed.where("bad > 0").groupBy("stratum", "rule").agg(F.max(F.struct("bad", "cutoff"))["cutoff"].alias("cutoff"))
     return best.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(r) for r in RULES))
 
