@@ -2,18 +2,20 @@
 
 Each rule gives a document a badness score, an integer from 0 to 1000.  A rule
 rejects a document whose score is above the cutoff of the document's stratum
-(its language).  The cutoffs come from labelled holdout documents by testing,
-for one rule and stratum, the cutoffs of a fixed grid from the most lenient to
-the strictest: "cutoff c rejects at least a share ``alpha / rules`` of the
-good documents" is refuted when the exact binomial probability of seeing as
-few rejected good documents as there are is at most ``delta / (rules * strata)``
-(Bonferroni over rules and strata; within the grid the tests run in a fixed
-order and stop at the first that is not refuted, which needs no further
-correction).  So with probability ``1 - delta`` every rule in every stratum
-rejects less than ``alpha / rules`` of good documents, and all rules together
-less than ``alpha``.  Among the cutoffs that pass, the one that rejects most
-labelled bad documents is taken, the most lenient of equals; a rule that
-passes no test, or catches no bad document, stays off in that stratum.
+(its language).  The cutoffs come from labelled holdout documents.  One path of
+joint cutoffs, fixed in advance, tightens all rules together; its steps are
+tested from the most lenient to the strictest: "at this step the rules together
+reject at least a share ``alpha`` of the good documents" is refuted when the
+exact binomial probability of seeing as few rejected good documents as there
+are is at most ``delta / strata`` (Bonferroni over strata; along the path the
+tests run in a fixed order and stop at the first that is not refuted, which
+needs no further correction).  So with probability ``1 - delta`` the rules
+together reject less than ``alpha`` of good documents in every stratum.  Among
+the steps that pass, the one that rejects most labelled bad documents is taken,
+the most lenient of equals.  Each rule's cutoff is then loosened as far as the
+rule still rejects the same labelled bad documents, which rejects no document
+more; a rule that rejects none of them is off.  A stratum with fewer good texts
+than ``log(delta / strata) / log(1 - alpha)`` passes no test (217 for 4 strata).
 
 Copies of a text are one trial, not many: the holdout counts each text of a
 stratum once (as bad if any copy is labelled bad).  Documents that the base
@@ -41,7 +43,10 @@ MAX_REPEAT_PERCENT = 30
 RULES = ("symbols", "capitals", "repeats", "lines")
 ALPHA = 0.02  # false rejections of good documents per stratum, all rules together
 DELTA = 0.05  # probability that any of the guarantees fails
-GRID = tuple(range(1000, 0, -10))  # cutoffs, most lenient first
+GRID = tuple(range(1000, 0, -10))  # steps of the path, most lenient first
+# The cutoff of each rule at a step.  Prose has next to no symbols and few
+# capitals, so these tighten faster; repeats and lines are coarse shares.
+PATH = {"symbols": lambda t: t**3 // 10**6, "capitals": lambda t: t**2 // 10**3, "repeats": lambda t: t, "lines": lambda t: t}
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -136,32 +141,37 @@ def holdout(scored: DataFrame, labels: DataFrame) -> DataFrame:
 def cutoffs(trials: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per stratum with a cutoff for each rule, null where it is off.
 
-    The trials shrink to counts per stratum, rule and grid step before the
-    only shuffle; what follows is as many rows as strata, rules and steps.
+    The trials shrink to counts per stratum, rule and step before the only
+    shuffle; what follows is as many rows as strata, rules and steps.
     """
     step = GRID[0] - GRID[1]
-    # A score s is above cutoff c for every c < s: it counts from the largest
-    # grid value below it downwards.
-    first = lambda r: (F.ceil(F.col(r) / step) * step - step).cast("int")
-    long = trials.select("stratum", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), first(r).alias("below")) for r in RULES))).alias("x"))
+    path = {r: F.array(*(F.lit(PATH[r](t)) for t in reversed(GRID))) for r in RULES}
+    # A score above the cutoff of one step is above those of all stricter
+    # ones: it counts from the most lenient such step (0: none) downwards.
+    first = lambda r: step * F.size(F.filter(path[r], lambda c: c < F.col(r)))
+    placed = trials.select("stratum", "good", *(first(r).alias(r) for r in RULES))
+    below = {**{r: F.col(r) for r in RULES}, "any": F.greatest(*RULES)}
+    long = placed.select("stratum", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), b.alias("below")) for r, b in below.items()))).alias("x"))
     counts = durable(
         long.groupBy("stratum", "x.rule", "x.below").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
-    grid = F.explode(F.array(*(F.lit(c) for c in GRID))).alias("cutoff")
-    per = counts.groupBy("stratum", "rule").agg(
+    grid = F.explode(F.array(*(F.lit(c) for c in GRID))).alias("step")
+    per = counts.where("rule = 'any'").groupBy("stratum").agg(
         F.sum("good").alias("n"), F.collect_list(F.struct("below", "good", "bad")).alias("bins")
     )  # at most len(GRID) + 1 bins
     above = lambda what: F.aggregate(
-        "bins", F.lit(0).cast("long"), lambda a, b: a + F.when(b["below"] >= F.col("cutoff"), b[what]).otherwise(0)
+        "bins", F.lit(0).cast("long"), lambda a, b: a + F.when(b["below"] >= F.col("step"), b[what]).otherwise(0)
     )
-    tested = per.select("stratum", "rule", "n", "bins", grid).select("stratum", "rule", "n", "cutoff", above("good").alias("k"), above("bad").alias("bad"))
-    level = delta / (len(RULES) * max(1, counts.select("stratum").distinct().count()))
-    # The count of rejected good documents grows as the cutoff falls, and the
+    tested = per.select("stratum", "n", "bins", grid).select("stratum", "n", "step", above("good").alias("k"), above("bad").alias("bad"))
+    level = delta / max(1, counts.select("stratum").distinct().count())
+    # The count of rejected good documents grows along the path, and the
     # probability with it: the first test that fails is the last that passes
     # plus one, so keeping all that pass is the fixed-order test.
-    passed = tested.where(binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) <= level)
-    best = passed.where("bad > 0").groupBy("stratum", "rule").agg(F.max(F.struct("bad", "cutoff"))["cutoff"].alias("cutoff"))
-    return best.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(r) for r in RULES))
+    passed = tested.where(binomial_tail(F.col("n"), F.col("k"), alpha) <= level)
+    best = passed.where("bad > 0").groupBy(F.col("stratum").alias("best_stratum")).agg(F.max(F.struct("bad", "step"))["step"].alias("step"))
+    caught = counts.where("bad > 0").join(best, F.col("stratum").eqNullSafe(F.col("best_stratum"))).where("below >= step")
+    loosest = lambda r: F.min(F.when(F.col("rule") == r, F.col("below")))
+    return caught.groupBy("stratum").agg(*(F.get(path[r], (loosest(r) / step).cast("int") - 1).alias(r) for r in RULES))
 
 
 def judge(scored: DataFrame, cuts: DataFrame, stratum: Column) -> DataFrame:

@@ -93,6 +93,22 @@ def test_cutoffs_keep_their_promise(spark):
         assert cut.capitals is None and cut.repeats is None and cut.lines is None  # no bad document to catch
 
 
+def test_few_good_texts_suffice_for_cutoffs(spark):
+    """217 good texts for 4 strata; the rules share one test of the whole alpha."""
+    n = {"a": 217, "b": 217, "c": 216, None: 300}
+    rows = [(s, True, 0, 30, 0, 0) for s, m in n.items() for _ in range(m)]
+    rows += [(s, False, 120 + i, 30, 0, 0) for s in n for i in range(10)] + [("b", False, 0, 400, 0, 0), (None, False, 0, 0, 200, 0)]
+    rows += [(None, True, 0, 0, 210, 0), ("b", True, 0, 0, 0, 0)]
+    trials = spark.createDataFrame(rows, "stratum string, good boolean, symbols long, capitals long, repeats long, lines long")
+    cuts = {r.stratum: tuple(r)[1:] for r in quality_rules.cutoffs(trials).collect()}
+    # the most lenient cutoffs of the path below 120 and 400
+    assert cuts["a"] == (117, None, None, None)
+    assert cuts["b"] == (117, 396, None, None)
+    # one false rejection of 301 is too many: the path ends before repeats of 210
+    assert cuts[None] == (117, None, None, None)
+    assert set(cuts) == {"a", "b", None}
+
+
 def test_quality_stage_keeps_rows_whole(spark, docs):
     labels = spark.createDataFrame([(0, 1, 0), (0, 0, 0), (None, 1, 1), (3, None, 1)], "doc_id long, quality int, toxic int")
     kept = quality_rules.keep_good(docs, labels)
