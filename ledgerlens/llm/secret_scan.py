@@ -8,8 +8,11 @@ leaving, and with them the sum of c * log2(c) over the counts c.  The window's
 Shannon entropy is log2(WIDTH) - sum / WIDTH; where it reaches the class's
 threshold the window is part of a secret, and overlapping windows join into
 one span.  The sum is kept in whole millionths, so it never drifts and the
-result does not depend on the order of additions.  Candidates that match the
-allow list give no entropy spans; base spans always stay.
+result does not depend on the order of additions.  Candidates that match an
+anchored pattern of the allow list as a whole give no entropy spans.  Of a
+candidate that holds one of the list's words only the parts with the word go,
+parts being what lies between delimiters; the stretches left are candidates of
+their own.  Base spans always stay.
 
 Positions are code points, ends exclusive.  A pattern's matches are taken
 together with the gap before each (``\\G(gap)(match)``, anchored at the last
@@ -63,6 +66,8 @@ CLASSES = (
     CharClass("entropy_hex", DIGITS + "ABCDEFabcdef", 3.05),
     CharClass("entropy_base64", LETTERS + DIGITS + "+/_=-", 3.85),
 )
+DELIMITERS = "+/_=-"
+# Anchored patterns allow a whole candidate, the others the part that holds them.
 ALLOWED = (
     r"^[0-9]+$",  # numbers
     r"^[a-z]+$",  # a word
@@ -169,6 +174,39 @@ def entropy_spans(candidate: Column, cls: CharClass, width: int) -> Column:
     return F.transform(F.array(F.split(candidate, "")), lambda chars: _entropy_fold(chars, cls, width))[0]
 
 
+def _stretches(run: Column, words: str) -> Column:
+    """What is left of a candidate (start, end, hit) without the parts that hold a word."""
+    spans = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+    left = F.aggregate(
+        F.split(run["hit"], f"(?<=[{DELIMITERS}])"),
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("a"), F.array().cast(_SPANS).alias("out")),
+        lambda s, part: F.struct(
+            (s["at"] + F.length(part)).alias("at"),
+            F.when(part.rlike(words), s["at"] + F.length(part)).otherwise(s["a"]).alias("a"),
+            F.when(part.rlike(words) & (s["at"] > s["a"]), F.concat(s["out"], spans(s["a"], s["at"]))).otherwise(s["out"]).alias("out"),
+        ),
+        lambda s: F.when(s["at"] > s["a"], F.concat(s["out"], spans(s["a"], s["at"]))).otherwise(s["out"]),
+    )
+    return F.transform(
+        left,
+        lambda x: F.struct(
+            (run["start"] + x["start"]).alias("start"),
+            (run["start"] + x["end"]).alias("end"),
+            F.substring(run["hit"], x["start"] + 1, x["end"] - x["start"]).alias("hit"),
+        ),
+    )
+
+
+def _candidates(runs: Column, width: int, allowed: tuple[str, ...]) -> Column:
+    """The runs, and stretches of runs, that the allow list lets through."""
+    wholes, words = "|".join(a for a in allowed if a.startswith("^")) or "(?!)", "|".join(a for a in allowed if not a.startswith("^")) or "(?!)"
+    runs = F.filter(runs, lambda x: ~x["hit"].rlike(wholes))
+    stretches = lambda x: F.filter(
+        _stretches(x, words), lambda y: (F.length(y["hit"]) >= width) & ~F.btrim(y["hit"], F.lit(DELIMITERS)).rlike(wholes)
+    )
+    return F.flatten(F.transform(runs, lambda x: F.when(x["hit"].rlike(words), stretches(x)).otherwise(F.array(x))))
+
+
 def scan(docs: DataFrame, width: int = WIDTH, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """``docs`` plus ``base`` and ``spans``: arrays of (start, k, end, kind)
     sorted by start, then kind (k) as listed.  The input's columns come back
@@ -181,7 +219,7 @@ def scan(docs: DataFrame, width: int = WIDTH, classes: tuple[CharClass, ...] = C
         df = df.withColumn(f"found{k}", _found("t", p.regex, p.measured, p.least))
     for k, c in enumerate(classes, len(BASE)):
         one = f"[{c.alphabet.replace('-', '')}{'-' if '-' in c.alphabet else ''}]"
-        df = df.withColumn(f"run{k}", F.filter(_found("t", rf"(?<!{one}){one}{{{width},}}", 0, width), lambda x: ~x["hit"].rlike("|".join(allowed))))
+        df = df.withColumn(f"run{k}", _candidates(_found("t", rf"(?<!{one}){one}{{{width},}}", 0, width), width, allowed))
         df = df.withColumn(
             f"found{k}",
             F.flatten(

@@ -296,6 +296,17 @@ def test_secret_spans(spark, docs):
     assert any(s[3].startswith("entropy") for t in SECRETS for s in spans(t)[1])
 
 
+def test_allowed_word_spares_only_its_part(spark):
+    key = "q9Zx7Lm2Vb8Nc4Kd1Hs6Gf3Jt5Rw0Py"
+    texts = [f"sample_key={key}", f"{key}/example-org/x", f"a/{key}/dummy/{key}", f"example{key}", "example-configuration-directory-name",
+             "configuration-directory-name-sample-other", f"Sample+{key[:15]}", "sample-01234567890123456789", f"plain {key}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: [texts[r.row.doc_id][x.start : x.end] for x in r.spans if x.kind == "entropy_base64"] for r in secret_scan.scan(df).collect()}
+    found = {i: [key in t for t in hits] for i, hits in got.items()}
+    assert found == {0: [True], 1: [True], 2: [True, True], 3: [], 4: [], 5: [], 6: [], 7: [], 8: [True]}
+    assert all("sample" not in t and "example" not in t and "dummy" not in t for hits in got.values() for t in hits)
+
+
 def test_secrets_are_masked(spark):
     rows = [(i, t, "x", 0) for i, t in enumerate([*SECRETS, None, "", "nothing here"])]
     out = secret_scan.mask(spark.createDataFrame(rows, "doc_id long, text string, spans string, n_chars long"))
