@@ -15,7 +15,9 @@ few rows per source, however many blocks there are.
 The seed orders each source's documents at random (MD5 of seed and doc_id).
 Laid end to end in that order they form a ring of words, of which the source's
 blocks, however many, take consecutive stretches: a document is taken as often
-as the blocks go over it, whole but for the one where the last block ends.
+as the blocks go over it, whole but for the one where the last block ends.  Each
+shard's quota owns the next stretch of the way round, so every word taken
+belongs to one shard.
 Positions in a ring are running sums in two steps (buckets of the order, then
 inside a bucket), so a source with a third of all rows is spread over many
 tasks.
@@ -92,10 +94,12 @@ def quotas(sources: DataFrame, share: float = SHARE, repeat: int = REPEAT, block
     return got.select("s", "s_null", "shard", F.least("upto", most).alias("upto"))
 
 
-def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, seed: int = SEED, share: float = SHARE, repeat: int = REPEAT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, seed: int = SEED, share: float = SHARE, repeat: int = REPEAT, bucket_rows: int = BUCKET_ROWS, shards: int = SHARDS) -> DataFrame:
     """One row per row of ``docs``: the struct ``row`` of the columns ``carry``
     (default: all), size, source_size, target, whole (times the document is
-    taken in full) and part (words from its start that are taken once more)."""
+    taken in full), part (words from its start that are taken once more) and
+    shards, an array of (shard, words): how many of the words taken, in the
+    order of the way round, go to which shard."""
     df = docs.select(
         F.struct(*(docs.columns if carry is None else carry)).alias("row"),
         F.coalesce("source", F.lit("")).alias("s"),
@@ -106,13 +110,16 @@ def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, see
     )
     light = durable(df.select("s", "s_null", "id", "o", "size"))
     sources = durable(light.groupBy("s", "s_null").agg(F.sum("size").alias("source_size")))
-    upto = quotas(sources, share, repeat, block).groupBy("s", "s_null").agg(F.max("upto").alias("blocks"))
+    upto = quotas(sources, share, repeat, block, shards).groupBy("s", "s_null").agg(
+        F.max("upto").alias("blocks"), F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("each")
+    )  # as many as shards
     plan = targets(sources, share, repeat).join(upto, ["s", "s_null"], "left")
     plan = plan.withColumn("taken", F.coalesce("blocks", F.lit(0).cast("long")) * block)
     plan = plan.select(
         "s", "s_null", "source_size", "target",
         F.expr("coalesce(taken div nullif(source_size, 0), 0L)").alias("whole"),
         F.expr("coalesce(taken % nullif(source_size, 0), 0L)").alias("rest"),
+        F.transform("each", lambda x: F.struct(x["shard"].alias("shard"), (x["upto"] * block).alias("end"))).alias("ends"),
     )
     plan = small(durable(plan))
 
@@ -127,7 +134,14 @@ def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, see
     df = df.join(sums, ["s", "s_null", "bucket"]).join(plan, ["s", "s_null"])
     at = F.col("earlier") + F.col("inside")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - at))
-    return df.select("row", "size", "source_size", "target", "whole", part.alias("part"))
+    zero = F.lit(0).cast("long")
+    # the words of the document on the first x words of the way round
+    on = lambda x: F.coalesce(
+        F.call_function("div", x, F.nullif("source_size", zero)) * F.col("size") + F.greatest(zero, F.least(F.col("size"), F.pmod(x, F.nullif("source_size", zero)) - at)), zero
+    )
+    owned = F.transform("ends", lambda e, i: F.struct(e["shard"].alias("shard"), (on(e["end"]) - on(F.when(i > 0, F.get("ends", i - 1)["end"]).otherwise(zero))).alias("words")))
+    owned = F.coalesce(F.filter(owned, lambda x: x["words"] > 0), F.array().cast("array<struct<shard:int,words:bigint>>"))
+    return df.select("row", "size", "source_size", "target", "whole", part.alias("part"), owned.alias("shards"))
 
 
 def mixed_corpus(docs: DataFrame, **settings) -> DataFrame:

@@ -407,6 +407,25 @@ def test_mix(spark, docs):
         assert abs(taken[source] - target) <= 2 * 8
 
 
+def test_each_shard_owns_its_stretch(spark):
+    rows = [(i, "w " * (i * 7 % 23), "ab"[i % 5 == 0]) for i in range(60)] + [(99, None, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mix(df, block=4, shards=3, bucket_rows=8).collect()
+    size = Counter()
+    for r in got:
+        size[r.row.source] += r.size
+        assert sum(x.words for x in r.shards) == r.whole * r.size + r.part
+    sources = spark.createDataFrame([(s, False, n) for s, n in size.items()], "s string, s_null boolean, source_size long")
+    upto = {(r.s, r.shard): 4 * r.upto for r in mixing.quotas(sources, block=4, shards=3).collect()}
+    want = Counter()
+    for s in "ab":
+        ring = [d for _, d, n in sorted((hashlib.md5(f"{mixing.SEED}:{d}".encode()).hexdigest()[:15], d, len(words(t))) for d, t, x in rows if x == s) for _ in range(n)]
+        for at in range(upto[s, 3]):
+            want[ring[at % len(ring)], min(k for k in (1, 2, 3) if at < upto[s, k])] += 1
+    assert {(r.row.doc_id, x.shard): x.words for r in got for x in r.shards} == want
+    assert len({shard for _, shard in want}) == 3
+
+
 def test_mixed_corpus_has_the_words_taken(docs):
     planned = mixing.mix(docs, block=8)
     want = planned.agg(F.sum(F.col("size") * F.col("whole") + F.col("part"))).first()[0]
