@@ -24,8 +24,10 @@ tasks.
 
 Defined results: null and wordless texts have size 0, are taken 0 times and
 left out of the mixed corpus; a null source is a source, last in order; a
-source smaller than half a block may get no block; a quota never exceeds
-``REPEAT`` times the source; repeated rows each have their place in the ring;
+source whose ``REPEAT`` copies fill no block has its target, in whole words, as one
+partial block, such blocks going round the shards by the source's place; any
+other quota is whole blocks and never exceeds ``REPEAT`` times the source;
+repeated rows each have their place in the ring;
 null ids are ordered as one id; an empty table gives an empty result.
 """
 
@@ -114,12 +116,16 @@ def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, see
         F.max("upto").alias("blocks"), F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("each")
     )  # as many as shards
     plan = targets(sources, share, repeat).join(upto, ["s", "s_null"], "left")
-    plan = plan.withColumn("taken", F.coalesce("blocks", F.lit(0).cast("long")) * block)
+    tiny = F.lit(repeat) * F.col("source_size") < block
+    plan = plan.withColumn("taken", F.when(tiny, F.floor("target")).otherwise(F.coalesce("blocks", F.lit(0).cast("long")) * block))
+    shard = F.expr(f"cast((pos - 1) % {shards} + 1 AS int)")
+    each = F.transform("each", lambda x: F.struct(x["shard"].alias("shard"), (x["upto"] * block).alias("end")))
+    one = F.array(F.struct(shard.alias("shard"), F.col("taken").alias("end")))
     plan = plan.select(
         "s", "s_null", "source_size", "target",
         F.expr("coalesce(taken div nullif(source_size, 0), 0L)").alias("whole"),
         F.expr("coalesce(taken % nullif(source_size, 0), 0L)").alias("rest"),
-        F.transform("each", lambda x: F.struct(x["shard"].alias("shard"), (x["upto"] * block).alias("end"))).alias("ends"),
+        F.when(tiny, one).otherwise(each).alias("ends"),
     )
     plan = small(durable(plan))
 

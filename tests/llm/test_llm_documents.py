@@ -426,6 +426,20 @@ def test_each_shard_owns_its_stretch(spark):
     assert len({shard for _, shard in want}) == 3
 
 
+def test_tiny_sources_stay_in_the_mix(spark):
+    """Sources of 1 to 31 words, whose two copies fill no block of 64."""
+    rows = [(i, "big " * 500, "big") for i in range(4)] + [(100 + n, f"w{n} " * n, f"host{n:02}") for n in range(1, 32)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r.row.doc_id: r for r in mixing.mix(df).collect()}
+    for n in range(1, 32):
+        r = got[100 + n]
+        assert r.target > 0 and r.whole * r.size + r.part == int(r.target) <= 2 * n
+        assert sum(x.words for x in r.shards) == int(r.target)
+    assert len({x.shard for n in range(1, 32) for x in got[100 + n].shards}) == mixing.SHARDS
+    sources = [r.source for r in mixing.mixed_corpus(df).select("source").distinct().collect()]
+    assert len(sources) == 32
+
+
 def test_mixed_corpus_has_the_words_taken(docs):
     planned = mixing.mix(docs, block=8)
     want = planned.agg(F.sum(F.col("size") * F.col("whole") + F.col("part"))).first()[0]
