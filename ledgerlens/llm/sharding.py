@@ -10,11 +10,11 @@ cell is a single document.  An interval that has shrunk to one h, a text with
 very many copies, goes on by doc_id.  Only the histogram (at most ``PROBES``
 rows a round) comes to the driver.
 
-Besides the shards' own splitters the search finds some inside each shard, so
-that a shard is several parts of equal bytes.  Then the rows move once, to
-their parts, where they are numbered; the histogram already tells how many
-rows of the shard lie before each part, so slots run through the shard without
-a gap.
+Besides the shards' own splitters the search finds others by rows instead of
+bytes, at most ``PART_ROWS`` rows apart on average, so that very many tiny texts
+are many parts too.  Then the rows move once, to their parts, where they are
+numbered; the histogram already tells how many rows of the shard lie before
+each part, so slots run through the shard without a gap.
 
 Defined results: a null text counts as empty (size 1, checksum 0); null
 doc_ids come first among equal texts; rows that repeat both text and doc_id
@@ -37,6 +37,7 @@ SHARDS = 16
 PROBES = 4096
 TOLERANCE = 0  # bytes off the target at which a splitter is settled
 PART_ROWS = 500_000
+AT_ONCE = 256  # splitters searched for in the same rounds
 BITS = 60
 LOWEST = -(1 << 63)
 
@@ -98,12 +99,20 @@ def _count(keys: DataFrame, cells: list[_Cell], probes: int) -> dict[int, list]:
 def splitters(keys: DataFrame, parts: int, tolerance: int = TOLERANCE, probes: int = PROBES) -> tuple[list[Splitter], int]:
     """The ``parts - 1`` splitters of rows (h, d, size) into parts of nearly
     equal bytes, each on the boundary nearest its target, and the row count."""
+    out, n = [], 0
+    for first in range(1, max(2, parts), AT_ONCE):
+        found, n = _splitters(keys, parts, range(first, min(parts, first + AT_ONCE)), tolerance, probes)
+        out += found
+    return out, n
+
+
+def _splitters(keys: DataFrame, parts: int, which: range, tolerance: int, probes: int) -> tuple[list[Splitter], int]:
     total, n, d0, d1 = keys.agg(F.sum("size"), F.count(F.lit(1)), F.min("d"), F.max("d")).first()
     if not n:
         return [], 0
     whole = _Cell(0, 0, 0, 1 << BITS, 0, 0, d0, d1)
     found: dict[int, Splitter] = {}
-    waiting = dict.fromkeys(range(1, parts), whole)
+    waiting = dict.fromkeys(which, whole)
     while waiting:
         cells = list(dict.fromkeys(waiting.values()))
         counted = _count(keys, cells, max(2, probes // len(cells)))
@@ -134,7 +143,7 @@ def splitters(keys: DataFrame, parts: int, tolerance: int = TOLERANCE, probes: i
             else:
                 found[i] = cell.edge(cell.hi, rows)
         waiting = new
-    return [found[i] for i in range(1, parts)], n
+    return [found[i] for i in which], n
 
 
 def _part(cuts: list[Splitter], first: int = 0) -> Column:
@@ -156,14 +165,21 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: list[str] | None = None,
         F.crc32(text_of("text")).alias("text_crc32"),
     )
     keys = durable(keyed.select("h", "d", "size"))
-    inner = max(4, min(32, -(-keys.count() // (shards * PART_ROWS))))
-    cuts, n = splitters(keys, shards * inner, tolerance)
-    starts = [0, *(c.rows for c in cuts)] if n else [0] * (shards * inner)
-    before = F.array(*(F.lit(starts[p] - starts[p // inner * inner]).cast("long") for p in range(shards * inner)))
-    placed = keyed.withColumn("part", _part(cuts))
+    own, n = splitters(keys, shards, tolerance)
+    many = max(4 * shards, -(-n // PART_ROWS))
+    rows, _ = splitters(keys.withColumn("size", F.lit(1).cast("long")), many, n // (4 * many))
+    # left to right; a part's shard is the number of the shards' splitters up to it
+    cuts = sorted([(c, 1) for c in own] + [(c, 0) for c in rows])
+    part_shard, part_before, at, start = [0], [0], 0, 0
+    for c, new in cuts:
+        at, start = at + new, c.rows if new else start
+        part_shard.append(at)
+        part_before.append(c.rows - start)
+    lookup = lambda values, kind: F.get(F.array(*(F.lit(v).cast(kind) for v in values)), F.col("part"))
+    placed = keyed.withColumn("part", _part([c for c, _ in cuts]))
     number = F.row_number().over(W.partitionBy("part").orderBy("h", "d"))
     return placed.select(
         "row", "size", "text_crc32",
-        F.expr(f"part div {inner}").cast("int").alias("shard"),
-        (number - 1 + F.get(before, F.col("part"))).cast("long").alias("slot"),
+        lookup(part_shard, "int").alias("shard"),
+        (number - 1 + lookup(part_before, "long")).cast("long").alias("slot"),
     )

@@ -362,6 +362,20 @@ def test_shards_split_a_hot_text(spark):
     check_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows, 16)
 
 
+def test_many_tiny_texts_are_many_parts(spark, monkeypatch):
+    """A third of the rows are empty: few bytes, but many rows."""
+    monkeypatch.setattr(sharding, "PART_ROWS", 20)
+    monkeypatch.setattr(sharding, "AT_ONCE", 10)
+    rows = [(i, None if i % 3 == 0 else f"text {i} " * 200) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    asked, found = [], sharding._part
+    monkeypatch.setattr(sharding, "_part", lambda cuts, *a: (asked.append(cuts), found(cuts, *a))[1])
+    check_shards(df, rows, 4)
+    place = sorted((int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16), d) for d, t in rows)
+    inside = Counter(sum((c.h, c.d) <= k for c in asked[0]) for k in place)
+    assert sum(inside.values()) == 1200 and max(inside.values()) <= 2 * 20
+
+
 # mixing
 
 
