@@ -205,6 +205,56 @@ SELECT doc_id, size, source_size, target,
 FROM ring JOIN plan ON ring.source IS NOT DISTINCT FROM plan.source
 """
 
+OP11 = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), d AS (
+  SELECT doc_id, source, hex(encode(doc_id::VARCHAR)) AS x, text,
+    list_aggregate(list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR], lambda v: coalesce(strlen(v) || ':' || v, '-')), 'string_agg', '') AS head
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 5 = 0
+      THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered
+  FROM d, tab
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS size,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS n FROM leaves
+), low(g, level, n, size, digest) AS (
+  SELECT g, 0, n, size, leaf FROM placed
+  UNION ALL SELECT g, level + 1, n // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY n)) FROM low WHERE size > 1 GROUP BY ALL
+), tops AS (
+  SELECT g, level AS height, digest AS subroot FROM low WHERE size = 1
+), high(level, n, size, digest) AS (
+  SELECT 0, g, (SELECT count(*) FROM tops), subroot FROM tops
+  UNION ALL SELECT level + 1, n // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY n)) FROM high WHERE size > 1 GROUP BY ALL
+), nodes AS (
+  SELECT g, level, n, level < height AS under, digest FROM low JOIN tops USING (g)
+), sides AS (
+  SELECT g, level, n, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM nodes WHERE under WINDOW w AS (PARTITION BY g, level, n // 16 ORDER BY n)
+  UNION ALL
+  SELECT t.g, t.height + h.level, 0, h.a, h.b FROM tops t JOIN (
+    SELECT level, n, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+      coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+    FROM high WHERE size > 1 WINDOW w AS (PARTITION BY level, n // 16 ORDER BY n)
+  ) h ON h.n = t.g // (16 ** h.level)::BIGINT
+), climb(g, n, level, spot, hash, proof) AS (
+  SELECT g, n, 0, n, coalesce(tampered, leaf), '' FROM placed
+  UNION ALL
+  SELECT c.g, c.n, c.level + 1, c.spot // 16, sha256(s.a || c.hash || s.b), c.proof || s.a || s.b
+  FROM climb c JOIN sides s ON s.g = c.g AND s.level = c.level AND s.n = c.spot
+), ends AS (
+  SELECT g, n, arg_max(hash, level) AS hash, arg_max(proof, level) AS proof FROM climb GROUP BY g, n
+)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM high WHERE size = 1) AS root, sha256(proof) AS proof_sha256, hash AS folded_root,
+  hash = (SELECT digest FROM high WHERE size = 1) AS verified
+FROM placed JOIN tops USING (g) JOIN ends USING (g, n)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_url_filters": OP3,
@@ -212,4 +262,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_secret_scans": OP5,
     "op7_sharding": OP7,
     "op8_mixing": OP8,
+    "op11_merkle_manifest": OP11,
 }

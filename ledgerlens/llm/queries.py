@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    merkle,
     mixing,
     quality_rules,
     secret_scan,
@@ -19,6 +20,7 @@ from ledgerlens.llm import (
     token_counts,
     topk,
     url_filter,
+    whitening,
 )
 from ledgerlens.llm.common import read
 from ledgerlens.llm.vocabulary import load_pieces
@@ -77,6 +79,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -88,4 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_whitening": op12_whitening,
 }
