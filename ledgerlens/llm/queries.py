@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    html_text,
     merkle,
     mixing,
     quality_rules,
@@ -87,6 +88,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(read(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return out.select("row.page_id", "row.url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -100,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_whitening": op12_whitening,
+    "op13_html_extraction": op13_html_extraction,
 }
