@@ -9,9 +9,12 @@ reduced to the root the same way.
 The levels are stored as parent-linked node rows: for each parent the digests
 of its run, under the cell of leaves that climbs through it.  The climb is
 one recursive query of Spark SQL: each turn joins every leaf with its next
-parent, appends the siblings found there, left to right, as the turn's row, and
-folds the leaf's (tampered) hash with them.  The rows of a leaf, in order, are
-its proof.
+parent, folds the leaf's (tampered) hash with its siblings there, left and right,
+and appends these siblings to the leaf's path.  As a turn's rows are written, a
+path holds them by reference, which is the leaf's place in each run it came
+through: fifteen digests a level for every leaf would be many times the table.
+The proof takes the digests from the node rows by that path, in one join with
+the leaf's own run and one with the runs above it, which 256 leaves share.
 
 A high node has very many leaves below it, and in the join with the climbing
 leaves it would be a hot key.  Its row is therefore stored once for each cell of
@@ -31,6 +34,7 @@ are; an empty table gives an empty result.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +45,7 @@ from ledgerlens.llm.common import durable_table, small
 FAN = 16
 CELL = 256  # leaves; a power of FAN
 FEW = 1024  # copies of a node row written by one step
-MAX_LEVELS = 15  # FAN to this power is still a long
+MAX_LEVELS = 15  # above the groups; FAN to this power is still a long
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -81,26 +85,23 @@ def numbered(df: DataFrame, group: list[str], order: list[str], out: str) -> Dat
 
 
 def levels(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From nodes (g, n, digest), n from 0 within g: the parents of all levels
-    (g, level, n, run) and the last node of each g (g, digest, height)."""
-    parents, tops = [], []
-    for level in range(1, MAX_LEVELS + 1):
-        size = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("n", "digest")).alias("first"))
-        size = durable_table(size)
-        tops.append(size.where("size = 1").select("g", F.col("first.digest").alias("digest"), F.lit(level - 1).alias("height")))
-        if not size.where("size > 1").limit(1).count():
+    """From nodes (g, n, size, digest), n from 0 within g and size the nodes of g:
+    the parents of all levels (g, level, n, run) and the last node of each g
+    (g, digest, height)."""
+    size = nodes.agg(F.max("size")).first()[0] or 0
+    parents, tops, level = [], [], 0
+    while True:
+        tops.append(nodes.where("size = 1").select("g", "digest", F.lit(level).alias("height")))
+        if size <= 1:
             break
-        more = nodes.join(small(size.where("size > 1").select("g")), "g")
+        size, level = -(-size // FAN), level + 1
         run = F.sort_array(F.collect_list(F.struct("n", "digest")))  # at most FAN
-        run = F.concat_ws("", F.transform(run, lambda x: F.hex(x["digest"])))
-        grouped = more.groupBy("g", F.expr(f"n div {FAN}L").alias("n")).agg(F.unhex(run).alias("run"))
-        grouped = durable_table(grouped.withColumn("digest", fold(F.col("run"))))
-        parents.append(grouped.select("g", F.lit(level).alias("level"), "n", "run"))
-        nodes = grouped.select("g", "n", "digest")
-    every = lambda dfs: dfs[0] if len(dfs) == 1 else dfs[0].union(every(dfs[1:]))
-    top = every(tops)
-    none = top.sparkSession.createDataFrame([], "g long, level int, n long, run binary")
-    return every([none, *parents]), top
+        run = F.unhex(F.concat_ws("", F.transform(run, lambda x: F.hex(x["digest"]))))
+        up = nodes.where("size > 1").groupBy("g", F.expr(f"n div {FAN}L").alias("n"), F.expr(f"(size + {FAN - 1}) div {FAN}").alias("size")).agg(run.alias("run"))
+        nodes = durable_table(up.withColumn("digest", fold(F.col("run"))))
+        parents.append(nodes.select("g", F.lit(level).alias("level"), "n", "run"))
+    none = nodes.sparkSession.createDataFrame([], "g long, level int, n long, run binary")
+    return reduce(DataFrame.union, parents, none), reduce(DataFrame.union, tops)
 
 
 def node_rows(parents: DataFrame, roots: DataFrame, groups: DataFrame) -> DataFrame:
@@ -135,39 +136,43 @@ def _spread(df: DataFrame, *keep: str) -> DataFrame:
 
 
 CLIMB = """
-WITH RECURSIVE climb(g, n, level, hash, siblings) AS (
-  SELECT g, n, 0, start, CAST('' AS binary) FROM {leaves}
+WITH RECURSIVE climb(g, n, level, hash, path) AS (
+  SELECT g, n, 0, start, CAST(array() AS array<int>) FROM {leaves}
   UNION ALL
-  SELECT g, n, level, unhex(sha2(lower(concat(hex(left_side), hex(hash), hex(right_side))), 256)), concat(left_side, right_side)
+  SELECT g, n, level, unhex(sha2(lower(concat(hex(substring(run, 1, 32 * spot)), hex(hash), hex(substring(run, 32 * spot + 33)))), 256)), concat(path, array(spot))
   FROM (
-    SELECT c.g, c.n, t.level, c.hash, substring(t.run, 1, 32 * {at}) AS left_side, substring(t.run, 32 * {at} + 33) AS right_side
+    SELECT c.g, c.n, t.level, c.hash, c.path, t.run, coalesce(t.at, cast(c.n div CASE c.level WHEN 0 THEN 1L ELSE {fan}L END % {fan}L AS int)) AS spot
     FROM climb c JOIN {nodes} t
       ON t.g = c.g AND t.level = c.level + 1 AND t.cell = c.n div CASE c.level WHEN 0 THEN {fan}L ELSE {cell}L END
   )
 )
-SELECT g, n, level, hash, siblings FROM climb WHERE level > 0
+SELECT g, n, level, hash, path FROM climb
 """
 
 
 def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """For every leaf (g, n, start) one row per level above it: the siblings
-    there and the hash folded so far."""
+    """For every leaf (g, n, start) one row per level it reaches, from 0: the
+    hash folded so far and the places it had in the runs on its way."""
     spark = leaves.sparkSession
     names = {k: f"{k}_{uuid.uuid4().hex}" for k in ("leaves", "nodes")}
     leaves.createOrReplaceTempView(names["leaves"])
     nodes.createOrReplaceTempView(names["nodes"])
-    at = f"coalesce(t.at, cast(c.n div CASE c.level WHEN 0 THEN 1L ELSE {FAN}L END % {FAN}L AS int))"
     limit = "spark.sql.cteRecursionRowLimit"
     former = spark.conf.get(limit)
     spark.conf.set(limit, "-1")  # every leaf climbs, however many there are
     try:
-        return durable_table(spark.sql(CLIMB.format(**names, at=at, fan=FAN, cell=CELL)))
+        return durable_table(spark.sql(CLIMB.format(**names, fan=FAN, cell=CELL)))
     finally:
         spark.conf.set(limit, former)
         for name in names.values():
             spark.catalog.dropTempView(name)
 
 
+def siblings(run: Column, at: Column) -> Column:
+    """The digests of a run without the one at a place, as hex text."""
+    return F.concat(hex_text(F.substring(run, F.lit(1), at * 32)), hex_text(F.substring(run, at * 32 + 33, F.lit(32 * FAN))))
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256,
     folded_root and verified; digests as lowercase hex text."""
@@ -183,28 +188,32 @@ def manifest(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("tie"),
     )
     rows = durable_table(rows)
-    sizes = durable_table(rows.groupBy("source").agg(F.count(F.lit(1)).alias("size")).withColumn("all", F.lit(0)))
-    groups = durable_table(numbered(sizes, ["all"], ["source"], "g").drop("all"))
-    rows = rows.join(small(groups.select("source", "g")), "source").drop("source")
+    sizes = durable_table(rows.groupBy("source").agg(F.count(F.lit(1)).alias("size")).withColumn("all", F.lit(0).cast("long")))
+    groups = durable_table(numbered(sizes, ["all"], ["source"], "g"))
+    rows = rows.join(small(groups.select("source", "g", "size")), "source").drop("source")
     rows = durable_table(numbered(durable_table(rows), ["g"], ["doc_id", "leaf", "tie"], "n"))
 
-    parents, subroots = levels(rows.select("g", "n", F.col("leaf").alias("digest")))
-    subroots = durable_table(subroots)
-    groups = groups.join(subroots, "g").withColumnRenamed("digest", "subroot")
-    groups = durable_table(groups.select("g", F.col("g").alias("r"), "size", "height", "subroot", F.lit(0).cast("long").alias("all")))
-    roots, root = levels(groups.select(F.col("all").alias("g"), F.col("r").alias("n"), F.col("subroot").alias("digest")))
+    parents, subroots = levels(rows.select("g", "n", "size", F.col("leaf").alias("digest")))
+    groups = groups.join(small(durable_table(subroots)), "g").select("all", "g", F.col("g").alias("r"), "size", "height", F.col("digest").alias("subroot"))
+    groups = durable_table(groups)
+    roots, root = levels(groups.select(F.col("all").alias("g"), F.col("r").alias("n"), F.lit(groups.count()).cast("long").alias("size"), F.col("subroot").alias("digest")))
     nodes = durable_table(node_rows(parents, roots, groups))
 
-    steps = climb(rows.select("g", "n", F.coalesce("tampered", "leaf").alias("start")), nodes)
-    # a leaf's rows: one for each level of the tree
-    path = steps.groupBy("g", "n").agg(F.sort_array(F.collect_list(F.struct("level", "siblings"))).alias("path"), F.max_by("hash", "level").alias("folded"))
-    proof = F.aggregate("path", F.lit("").cast("string"), lambda a, x: F.concat(a, hex_text(x["siblings"])))
-    proofs = path.select("g", "n", F.sha2(proof, 256).alias("proof_sha256"), "folded")
-    tops = groups.join(root.select(F.col("g").alias("all"), F.col("digest").alias("root")), "all")
-    out = rows.join(proofs, ["g", "n"], "left").join(small(durable_table(tops.select("g", "subroot", "root"))), "g")
-    folded = F.coalesce("folded", "tampered", "leaf")
-    return out.select(
+    # each leaf's last row, at the height of its group and of the tree above
+    whole = root.select(F.col("g").alias("all"), F.col("digest").alias("root"), F.col("height").alias("above"))
+    tops = groups.join(F.broadcast(whole), "all")  # one row
+    tops = small(durable_table(tops.select("g", "subroot", "root", (F.col("height") + F.col("above")).alias("level"))))
+    ends = climb(rows.select("g", "n", F.coalesce("tampered", "leaf").alias("start")), nodes).join(tops, ["g", "level"])
+
+    low = nodes.where("level = 1").select("g", F.col("cell").alias("own"), "run")
+    high = nodes.where("level > 1").groupBy("g", "cell").agg(F.sort_array(F.collect_list(F.struct("level", "run"))).alias("runs"))  # one for each level
+    ends = ends.withColumn("own", F.expr(f"n div {FAN}L")).withColumn("cell", F.expr(f"n div {CELL}L"))
+    ends = ends.join(low, ["g", "own"], "left").join(high, ["g", "cell"], "left")
+    first = F.coalesce(siblings(F.col("run"), F.get("path", F.lit(0))), F.lit(""))
+    upper = F.transform("runs", lambda x, i: siblings(x["run"], F.get("path", i + 1)))
+    proof = F.sha2(F.concat(first, F.coalesce(F.array_join(upper, ""), F.lit(""))), 256)
+    ends = ends.select("g", "n", "subroot", "root", "hash", proof.alias("proof_sha256"))
+    return rows.join(ends, ["g", "n"]).select(
         "doc_id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"), hex_text(F.col("root")).alias("root"),
-        F.coalesce("proof_sha256", F.sha2(F.lit(""), 256)).alias("proof_sha256"),
-        hex_text(folded).alias("folded_root"), (folded == F.col("root")).alias("verified"),
+        "proof_sha256", hex_text(F.col("hash")).alias("folded_root"), (F.col("hash") == F.col("root")).alias("verified"),
     )

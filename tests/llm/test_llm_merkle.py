@@ -95,7 +95,7 @@ def test_very_long_text(spark):
 
 def test_one_row_of_a_high_node_for_each_cell(spark):
     size = merkle.CELL * 20 + 1
-    leaves = spark.range(size).select(F.lit(0).cast("long").alias("g"), F.col("id").alias("n"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    leaves = spark.range(size).select(F.lit(0).cast("long").alias("g"), F.col("id").alias("n"), F.lit(size).cast("long").alias("size"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
     parents, top = merkle.levels(leaves)
     groups = top.select("g", F.lit(0).cast("long").alias("r"), F.lit(size).cast("long").alias("size"), "height")
     nodes = merkle.node_rows(parents, parents.limit(0), groups)
