@@ -8,16 +8,15 @@ for, and fall back to the shuffle join Spark would pick anyway.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def counted_size(df: DataFrame) -> tuple[int, int]:
-    """Rows of ``df`` and about how many bytes they take in memory: one
-    aggregate, combined in every task, so one row per task is shuffled."""
+def row_width(df: DataFrame) -> Column:
+    """About how many bytes a row of ``df`` takes in memory."""
     width = F.lit(8)
     for f in df.schema.fields:
         plain = f.dataType.typeName() in ("string", "binary")
@@ -27,7 +26,13 @@ def counted_size(df: DataFrame) -> tuple[int, int]:
             width = width + F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
         else:
             width = width + F.lit(16)
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return width
+
+
+def counted_size(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and about how many bytes they take in memory: one
+    aggregate, combined in every task, so one row per task is shuffled."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(df)), F.lit(0))).first()
     return rows, size
 
 

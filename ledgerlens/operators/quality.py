@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -111,6 +111,34 @@ def check_schema(df: DataFrame, expected: StructType, mode: str = "equal") -> No
             )
 
 
+def schema_diff(df: DataFrame, expected: StructType, table_name: str) -> DataFrame:
+    """Q3-Q5 as rows: ``table_name, field, position, expected, found, verdict``,
+    one row per field of either schema.
+
+    ``verdict``: ``equal``; ``moved`` (same type, another place among the
+    expected fields' order); ``type`` (another type); ``missing``; ``added``
+    (compatible evolution).  Nullability is ignored.  The rows come from the
+    schemas, so no data is read.
+    """
+    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    known = [c for c in have if c in want]  # in the frame's order
+    order = [c for c in want if c in have]  # in the expected order
+    rows = []
+    for i, (name, kind) in enumerate(want.items()):
+        found = have.get(name)
+        if found is None:
+            verdict_ = "missing"
+        elif found != kind:
+            verdict_ = "type"
+        else:
+            verdict_ = "equal" if known.index(name) == order.index(name) else "moved"
+        rows.append((table_name, name, i, kind, found, verdict_))
+    rows += [(table_name, c, len(want) + i, None, t, "added") for i, (c, t) in enumerate((c, t) for c, t in have.items() if c not in want)]
+    schema = "table_name string, field string, position int, expected string, found string, verdict string"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def require_columns(df: DataFrame, table_name: str, columns: Sequence[str]) -> None:
     """Q3 for sources (Q20): stop before any job if a needed column
     was removed or renamed; the message names the table and the columns."""
@@ -175,29 +203,67 @@ def missing_parent_keys(
 
 @dataclass(frozen=True)
 class Edge:
-    """A child -> parent reference checked by ``integrity_report``."""
+    """A child -> parent reference checked by ``integrity_report``.
+
+    ``rows`` names a column of the child with the number of rows each of its
+    rows stands for (a child that is aggregated already)."""
 
     name: str
     child: DataFrame
     parent: DataFrame
     keys: Sequence[str]
     parent_keys: Sequence[str] | None = None
+    rows: str | None = None
+
+
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The key as an array of texts: equal whole numbers of any width agree."""
+    return F.array(*[df[f"`{k}`"].cast("string") for k in keys])
 
 
 def integrity_report(edges: Sequence[Edge]) -> DataFrame:
     """One row per edge: ``edge, missing_keys, missing_rows``.
 
-    Empty means pass: both counts are zero.
+    Empty means pass: both counts are zero.  All edges are checked in one
+    aggregate: every frame is read once and gives, for each edge in which it is
+    the child and each parent key it holds, a key tagged with that role; the
+    keys of a parent and of all its children meet in one group, combined
+    map-side, so a hot key on either side is one row per task.  A NULL in a
+    child's key has no parent (NOT EXISTS); one in a parent's key is no parent.
     """
-    rows = None
-    for edge in edges:
-        orphans = missing_parent_keys(edge.child, edge.parent, edge.keys, edge.parent_keys)
-        one = orphans.agg(
-            F.count(F.lit(1)).alias("missing_keys"),
-            F.coalesce(F.sum("child_rows"), F.lit(0)).cast("bigint").alias("missing_rows"),
-        ).select(F.lit(edge.name).alias("edge"), "missing_keys", "missing_rows")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    parents: list[tuple[DataFrame, tuple[str, ...]]] = []  # the key spaces
+    roles: dict[int, tuple[DataFrame, list[Column]]] = {}  # by frame
+
+    def role(df: DataFrame, space: int, keys: Sequence[str], edge: int, rows: Column) -> None:
+        tag = F.struct(F.lit(space).alias("space"), _key_text(df, keys).alias("key"), F.lit(edge).alias("edge"), rows.cast("bigint").alias("rows"))
+        roles.setdefault(id(df), (df, []))[1].append(tag)
+
+    for i, edge in enumerate(edges):
+        ck, pk = _key_pairs(edge.keys, edge.parent_keys)
+        space = next((j for j, (p, k) in enumerate(parents) if p is edge.parent and k == tuple(pk)), None)
+        if space is None:
+            space = len(parents)
+            parents.append((edge.parent, tuple(pk)))
+            role(edge.parent, space, pk, -1, F.lit(0))
+        role(edge.child, space, ck, i, F.lit(1) if edge.rows is None else edge.child[edge.rows])
+    tagged = None
+    for df, tags in roles.values():
+        one = df.select(F.explode(F.array(*tags)).alias("t")).select("t.*") if len(tags) > 1 else df.select(tags[0].alias("t")).select("t.*")
+        tagged = one if tagged is None else tagged.unionByName(one)
+    whole = F.forall("key", lambda k: k.isNotNull())
+    per_key = tagged.groupBy("space", "key").agg(
+        F.max((F.col("edge") == -1) & whole).alias("present"),
+        *[F.sum(F.when(F.col("edge") == i, F.col("rows"))).alias(f"_e{i}") for i in range(len(edges))],
+    )
+    missing = per_key.where(~F.col("present"))
+    counts = missing.agg(
+        *[F.count(f"_e{i}").alias(f"_k{i}") for i in range(len(edges))],
+        *[F.coalesce(F.sum(f"_e{i}"), F.lit(0)).cast("bigint").alias(f"_n{i}") for i in range(len(edges))],
+    )
+    found = F.array(*[
+        F.struct(F.lit(e.name).alias("edge"), F.col(f"_k{i}").alias("missing_keys"), F.col(f"_n{i}").alias("missing_rows")) for i, e in enumerate(edges)
+    ])
+    return counts.select(F.inline(found))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -353,6 +419,38 @@ def diff_summary(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row ``rows, h0, h1`` that depends on the rows of ``df`` as a multiset:
+    their number and the exact sums of two 64-bit hashes of each row.
+
+    One aggregate combined in every task: no row is shuffled, whatever the size.
+    NULLs are told apart by a flag per column.  Frames with equal rows have equal
+    fingerprints; others differ but for a chance of about 2**-128 a pair.
+    """
+    cols = [F.col(f"`{c}`") for c in (columns or df.columns)]
+    flags = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    hashes = [F.xxhash64(F.lit(seed), flags, *cols).cast("decimal(20,0)") for seed in ("first", "second")]
+    sums = [F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").alias(f"h{i}") for i, h in enumerate(hashes)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+
+def compare_frames(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Q11: ``diff_summary`` without moving a row where the frames are equal.
+
+    The fingerprints of both sides are taken first (two rows to the driver); if
+    they agree, the row counts are the answer, else the exact comparison runs.
+    Read both frames from tables: on a mismatch they are read twice.
+    """
+    cols = a.columns
+    if sorted(cols) != sorted(b.columns):
+        raise ValueError(f"frames have different columns: {cols} vs {b.columns}")
+    left, right = fingerprint(a, cols).first(), fingerprint(b, cols).first()
+    if left != right:
+        return diff_summary(a, b)
+    schema = "rows_left bigint, rows_right bigint, differing_rows bigint"
+    return a.sparkSession.createDataFrame([(left["rows"], right["rows"], 0)], schema)
+
+
 def key_set_compare(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row ``keys_left, keys_right, only_left, only_right`` over the
     distinct key sets of ``a`` and ``b``; equal sets give zeros on the right."""
@@ -514,6 +612,17 @@ def verdict_from_observation(table_name: str, columns: Sequence[str], observatio
     }
 
 
+VERDICT_SCHEMA = (
+    "table_name string, row_count bigint, null_cells bigint, columns_with_nulls bigint, passed_lenient boolean, passed_strict boolean"
+)
+
+
+def verdict_frame(spark: SparkSession, verdicts: Sequence[Mapping]) -> DataFrame:
+    """Verdicts from observations as rows like those of ``verdict``."""
+    names = [c.split()[0] for c in VERDICT_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(v[n] for n in names) for v in verdicts], VERDICT_SCHEMA)
+
+
 def before_after_counts(
     before: DataFrame,
     after: DataFrame,

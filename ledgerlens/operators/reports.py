@@ -18,6 +18,8 @@ Plan shapes, chosen for a fact table far larger than its dimensions:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,24 +47,26 @@ def aml_customer_transactions(
     *,
     salt_hot_accounts: bool = False,
     rows_per_salt: int = ROWS_PER_SALT,
+    account_keys: Sequence[str] = ("ACCOUNT_ID",),
 ) -> DataFrame:
     """CUSTOMER ⋈ ACCOUNT ⋈ TRANSACTION (inner, USING keys), 7 columns.
 
     Skew on ACCOUNT_ID: by default AQE splits an oversized partition of the
     last join at run time.  ``salt_hot_accounts`` spreads every account with
     more than ``rows_per_salt`` transactions explicitly
-    (``joins.salted_join``).  The rows are the same either way.
+    (``joins.salted_join``).  Tables from ``sources.landing`` are joined by
+    ``account_keys=LANDED_KEYS``: they are salted already, and the fact side is
+    not shuffled again.  The rows are the same each way.
     """
+    keys = list(account_keys)
     c = customer.select("CUSTOMER_ID", "NAME")
-    a = account.select("ACCOUNT_ID", "CUSTOMER_ID")
-    t = transaction.select(
-        "ACCOUNT_ID", "TRANSACTION_ID", "AMOUNT", "TRANSACTION_TYPE", "TRANSACTION_DATE"
-    )
+    a = account.select(*keys, "CUSTOMER_ID")
+    t = transaction.select(*keys, "TRANSACTION_ID", "AMOUNT", "TRANSACTION_TYPE", "TRANSACTION_DATE")
     customer_accounts = c.join(a, "CUSTOMER_ID")
     if salt_hot_accounts:
-        joined = salted_join(t, customer_accounts, ["ACCOUNT_ID"], rows_per_salt=rows_per_salt)
+        joined = salted_join(t, customer_accounts, keys, rows_per_salt=rows_per_salt)
     else:
-        joined = customer_accounts.join(t, "ACCOUNT_ID")
+        joined = customer_accounts.join(t, keys)
     return joined.select(*AML_COLUMNS)
 
 
@@ -83,6 +87,7 @@ def branch_summary(
     eager: bool = True,
     broadcast_branch: bool = False,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    account_keys: Sequence[str] = ("ACCOUNT_ID",),
 ) -> DataFrame:
     """Per branch, ``count(*)`` and ``sum(AMOUNT)`` of
     TRANSACTION ⋈ ACCOUNT ⋈ BRANCH (inner), grouped by BRANCH_ID, BRANCH_NAME.
@@ -90,24 +95,36 @@ def branch_summary(
     Amounts are summed as DECIMAL and cast to DOUBLE last.  ``eager=False``
     gives the literal join-then-aggregate plan (same result).  With
     ``broadcast_branch`` the branch side is broadcast only if it has at most
-    ``max_broadcast_rows`` rows.
+    ``max_broadcast_rows`` rows.  ``account_keys`` as in
+    ``aml_customer_transactions``.
     """
-    t = transaction.select("ACCOUNT_ID", "AMOUNT")
-    a = account.select("ACCOUNT_ID", "BRANCH_ID")
+    keys = list(account_keys)
+    t = transaction.select(*keys, "AMOUNT")
+    a = account.select(*keys, "BRANCH_ID")
     b = branch.select("BRANCH_ID", "BRANCH_NAME")
     if broadcast_branch:
         b = broadcast_if_bounded(b, max_broadcast_rows)
     if not eager:
-        joined = t.join(a, "ACCOUNT_ID").join(b, "BRANCH_ID")
+        joined = t.join(a, keys).join(b, "BRANCH_ID")
         out = joined.groupBy("BRANCH_ID", "BRANCH_NAME").agg(
             F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("_amount")
         )
         return _finish_summary(out, "_n", "_amount")
-    per_account = t.groupBy("ACCOUNT_ID").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("_amount")
-    )
+    return summary_of_totals(account_totals(t, keys), a, b, keys)
+
+
+def account_totals(transaction: DataFrame, account_keys: Sequence[str] = ("ACCOUNT_ID",)) -> DataFrame:
+    """Per account the partial totals ``_n`` and ``_amount`` of its transactions."""
+    return transaction.groupBy(*account_keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("_amount"))
+
+
+def summary_of_totals(
+    totals: DataFrame, account: DataFrame, branch: DataFrame, account_keys: Sequence[str] = ("ACCOUNT_ID",)
+) -> DataFrame:
+    """The branch summary of ``account_totals``."""
+    a, b = account.select(*account_keys, "BRANCH_ID"), branch.select("BRANCH_ID", "BRANCH_NAME")
     per_branch = (
-        per_account.join(a, "ACCOUNT_ID")
+        totals.join(a, list(account_keys))
         .groupBy("BRANCH_ID")
         .agg(F.sum("_n").alias("_n"), F.sum("_amount").alias("_amount"))
     )

@@ -5,16 +5,18 @@ Differences from the reference job, each on purpose:
 * sources are checked for the columns the reports need before any job
   runs, so a renamed or dropped column stops the job with a clear message;
 * each source is read once: the columns the reports need are landed in
-  tables (TRANSACTION and ACCOUNT bucketed by ACCOUNT_ID) and the NULL profile
-  of all its columns is observed on that write (C1); both reports come from
-  the landed tables, where their fact join and aggregate need no shuffle;
+  tables and the NULL profile of all its columns, the row count and the size are
+  observed on that write (C1); TRANSACTION and ACCOUNT are then laid out in
+  buckets whose number follows from that size, hot accounts over several of
+  them (``sources.landing``), where the fact join and aggregate of both reports
+  need no shuffle;
 * the sources' verdict gates the reports when ``gate=True`` (D11), and
   ``strict`` holds for sources and reports alike;
-* both reports are written to staging tables of this run; their row counts and
+* both reports are written to tables of this run; their row counts and
   NULL profiles are observed during that write (Q17, ``DataFrame.observe``),
-  so checking them costs no extra pass; only when both pass are they swapped
-  in, both or neither, and a run that died half-way is completed or undone by
-  the next (S16);
+  so checking them costs no extra pass; only when both pass do the reports'
+  views change to them, together and without a moment in which a report is
+  missing (``sources.publish``, S16);
 * exceptions propagate and the session is never stopped (D12, D13).
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
-from ledgerlens.sources import jdbc
+from ledgerlens.sources import jdbc, landing, publish
 from ledgerlens.sources import tables as T
 
 AML_TABLE = "AML_CUSTOMER_TRANSACTIONS"
@@ -84,12 +86,15 @@ def load_sources_jdbc(
     partitioning: Mapping[str, Mapping[str, object]] | None = None,
     with_details: bool = True,
 ) -> Sources:
-    """The five sources over JDBC; ``partitioning`` maps a table to
-    ``read_jdbc`` options (``column``, ``num_partitions``, bounds)."""
+    """The five sources over JDBC, the large ones in ranges of about
+    equal row counts (``jdbc.read_balanced``); ``partitioning`` maps a table to
+    ``read_jdbc`` options (``column``, ``num_partitions``, bounds) instead."""
     partitioning = partitioning or {}
 
     def read(table):
-        return jdbc.read_jdbc(spark, url, table, properties, **partitioning.get(table, {}))
+        if table in partitioning:
+            return jdbc.read_jdbc(spark, url, table, properties, **partitioning[table])
+        return jdbc.read_balanced(spark, url, table, properties)
 
     return Sources(
         customer=read("CUSTOMER"),
@@ -121,7 +126,7 @@ def run_reporting_job(
     enrich_options: Mapping[str, object] | None = None,
     aml_options: Mapping[str, object] | None = None,
     summary_options: Mapping[str, object] | None = None,
-    land_buckets: int = 32,
+    bucket_bytes: int = landing.BUCKET_BYTES,
 ) -> JobResult:
     """Build and write AML_CUSTOMER_TRANSACTIONS and BRANCH_SUMMARY_REPORT.
 
@@ -132,64 +137,60 @@ def run_reporting_job(
     ``summary_options`` to ``branch_summary`` (e.g. ``{"broadcast_branch": True}``).
     """
     options = dict(enrich_options or {})
-    landing: dict[str, list[str]] = {}
+    kept: dict[str, list[str]] = {}
     for name, df in sources.named().items():
         needed = list(NEEDED_COLUMNS[name])
         if name == "BRANCH_OPERATIONAL_DETAILS" and options.get("active_rule", "filter") != "none":
             needed.append(options.get("active_col", "IS_ACTIVE"))
         Q.require_columns(df, name, needed)
         # details are small and their options name further columns: all of them land
-        landing[name] = df.columns if name == "BRANCH_OPERATIONAL_DETAILS" else needed
+        kept[name] = df.columns if name == "BRANCH_OPERATIONAL_DETAILS" else needed
 
     result, run = JobResult(), uuid.uuid4().hex[:8]
     key = "passed_strict" if strict else "passed_lenient"
     landed: list[str] = []
     try:
-        # Each source is read once: its profile is observed while the columns
-        # that the reports need are written, the two big tables bucketed by
-        # the key on which both reports join and aggregate them.
-        frames = {}
+        # Each source is read once: its profile and size are observed while the
+        # columns that the reports need are written.
+        frames, sizes = {}, {}
         for name, df in sources.named().items():
             observed, observation = Q.observed_profile(df, name)
             table = f"{summary_table}__landed_{name.lower()}_{run}"
             landed.append(table)
-            wanted = [c for c in df.columns if c.upper() in {x.upper() for x in landing[name]}]
-            buckets = (land_buckets, ["ACCOUNT_ID"]) if name in ("TRANSACTION", "ACCOUNT") else None
-            T.write_table(observed.select(*wanted), table, fmt=fmt, bucket_by=buckets)
+            wanted = [c for c in df.columns if c.upper() in {x.upper() for x in kept[name]}]
+            measured, sizes[name] = landing.sized(observed.select(*wanted), name)
+            T.write_table(measured, table, fmt=fmt)
             frames[name] = T.read_table(spark, table)
             found = Q.verdict_from_observation(name, df.columns, observation)
             result.verdicts.append({k: v for k, v in found.items() if k != "null_counts"})
         failed = [r["table_name"] for r in result.verdicts if not r[key]]
         if gate and failed:
             raise QualityGateError(f"sources failed the quality check: {failed}")
-        sources = Sources(
-            frames["CUSTOMER"], frames["ACCOUNT"], frames["TRANSACTION"], frames["BRANCH"], frames.get("BRANCH_OPERATIONAL_DETAILS")
-        )
-
-        aml = R.aml_customer_transactions(
-            sources.customer, sources.account, sources.transaction, **dict(aml_options or {})
-        )
-        summary = R.branch_summary(
-            sources.transaction, sources.account, sources.branch, **dict(summary_options or {})
-        )
+        size = sizes["TRANSACTION"].get
+        plan = landing.layout(size["rows"], size["bytes"], bucket_bytes=bucket_bytes, max_buckets=landing.bucket_limit(spark))
+        laid = tuple(f"{summary_table}__laid_{n}_{run}" for n in ("transaction", "account", "hot"))
+        landed += laid
+        transaction, account = landing.lay_out(frames["TRANSACTION"], frames["ACCOUNT"], laid, plan, fmt=fmt)
+        keys = {"account_keys": landing.LANDED_KEYS}
+
+        aml = R.aml_customer_transactions(frames["CUSTOMER"], account, transaction, **keys, **dict(aml_options or {}))
+        summary = R.branch_summary(transaction, account, frames["BRANCH"], **keys, **dict(summary_options or {}))
         if sources.details is not None:
-            summary = R.enrich_summary(summary, sources.details, **options)
+            summary = R.enrich_summary(summary, frames["BRANCH_OPERATIONAL_DETAILS"], **options)
 
         reports = {aml_table: aml, summary_table: summary}
-        T.recover(spark, list(reports))
         for name, df in reports.items():
             observed, observation = Q.observed_profile(df, name)
-            T.write_staging(observed, name, fmt=fmt, run=run)
+            T.write_table(observed, publish.version_name(name, run), fmt=fmt)
             report = Q.verdict_from_observation(name, df.columns, observation)
             result.report_verdicts.append(report)
             result.record_counts[name] = report["row_count"]
             if gate and not report[key]:
                 raise QualityGateError(f"report {name} failed its check ({key}); nothing published")
-        T.publish_all(spark, list(reports), run)
+        publish.publish(spark, list(reports), run)
         result.written += reports
         return result
     finally:
-        for name in (aml_table, summary_table):
-            T.discard_staging(spark, name, run)
+        publish.discard(spark, [aml_table, summary_table], run)
         for name in landed:
             T.drop_table(spark, name)

@@ -537,6 +537,36 @@ def _oracle() -> dict[str, str]:
         "rerun_identical": """
             SELECT CAST(count(*) AS BIGINT) AS rows_left, CAST(count(*) AS BIGINT) AS rows_right,
               CAST(0 AS BIGINT) AS differing_rows FROM r_enriched""",
+        "aml_customer_transactions_landed": "SELECT * FROM r_aml",
+        "branch_summary_landed": "SELECT * FROM r_summary",
+        "published_reports": """
+            SELECT r.*, r.BRANCH_ID IN (SELECT BRANCH_ID FROM e_details WHERE IS_ACTIVE = 'Y') AS HAS_ACTIVE_DETAILS
+            FROM r_enriched r""",
+        "insert_checked_accepted": "\nUNION ALL\n".join(
+            f"SELECT {_q(table)} AS table_name, count(*) AS table_rows, count(*) AS rows_with_defaults FROM {src} WHERE {needed}"
+            for table, src, needed in [
+                ("CUSTOMER", "e_customer", "NAME IS NOT NULL"),
+                ("BRANCH", "e_branch", "BRANCH_NAME IS NOT NULL"),
+                ("ACCOUNT", "e_account", "TRUE"),
+                ("TRANSACTION", "e_transaction", "TRANSACTION_TYPE IS NOT NULL AND AMOUNT IS NOT NULL"),
+                ("BRANCH_OPERATIONAL_DETAILS", "e_details_flat", "REGION IS NOT NULL"),
+            ]
+        ),
+        "insert_checked_refused": """
+            SELECT * FROM (
+              SELECT 'BRANCH' AS table_name, 'BRANCH_NAME_not_null' AS rule, count(*) AS refused_rows, 0::BIGINT AS table_rows
+              FROM e_branch_flat WHERE BRANCH_NAME IS NULL OR BRANCH_ID % 7 = 0
+              UNION ALL SELECT 'BRANCH_OPERATIONAL_DETAILS', 'IS_ACTIVE_domain', count(*), 0 FROM e_details_flat WHERE IS_ACTIVE NOT IN ('Y', 'N')
+              UNION ALL SELECT 'BRANCH_OPERATIONAL_DETAILS', 'REGION_not_null', count(*), 0 FROM e_details_flat WHERE REGION IS NULL
+            ) WHERE refused_rows > 0""",
+        "schema_checks": """
+            SELECT * FROM (WITH layout(field, position, kind) AS (VALUES ('BRANCH_ID', 0, 'bigint'), ('BRANCH_NAME', 1, 'string'), ('TOTAL_TRANSACTIONS', 2, 'bigint'),
+              ('TOTAL_AMOUNT', 3, 'double'), ('REGION', 4, 'string'), ('LAST_AUDIT_DATE', 5, 'string'))
+            SELECT 'BRANCH_SUMMARY_REPORT' AS table_name, field, position, kind AS expected, kind AS found, 'equal' AS verdict FROM layout
+            UNION ALL SELECT 'BRANCH_SUMMARY_REPORT as v1', field, position, CASE WHEN position < 4 THEN kind END, kind, CASE WHEN position < 4 THEN 'equal' ELSE 'added' END FROM layout
+            UNION ALL SELECT 'drifted', field, position, kind, CASE field WHEN 'REGION' THEN NULL WHEN 'TOTAL_TRANSACTIONS' THEN 'int' ELSE kind END,
+              CASE field WHEN 'REGION' THEN 'missing' WHEN 'TOTAL_TRANSACTIONS' THEN 'type' ELSE 'equal' END FROM layout
+            UNION ALL SELECT 'drifted', 'AREA', 6, NULL, 'string', 'added')""",
     }
     for table_name in ENTITY_COLUMNS:
         sql[f"null_profile_{_profile_key(table_name)}"] = profile_sql(table_name)

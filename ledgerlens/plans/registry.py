@@ -14,16 +14,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerlens.functions import columns as C
 from ledgerlens.operators import migrate as M
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.dedupe import latest_per_key
-from ledgerlens.schemas import BRANCH_SUMMARY_V1
+from ledgerlens.schemas import BRANCH_SUMMARY_V1, BRANCH_SUMMARY_V2, CHECKS, DEFAULTS, REQUIRED_COLUMNS, SOURCES
+from ledgerlens.sources import landing, publish
 from ledgerlens.sources import tables as T
 from ledgerlens.sources import testdata as td
 
@@ -221,13 +224,29 @@ def _profile_query(table_name: str) -> Query:
     return run
 
 
+def _written_reports(spark: SparkSession, frames: dict[str, DataFrame], names: list[str]) -> list[dict]:
+    """The reports written, each with the verdict observed on its write."""
+    out = []
+    for name in names:
+        observed, observation = Q.observed_profile(frames[name], name)
+        T.write_table(observed, _scratch(spark, f"{name.lower()}_observed"))
+        out.append(Q.verdict_from_observation(name, frames[name].columns, observation))
+    return out
+
+
+REPORTS = ["AML_CUSTOMER_TRANSACTIONS", "BRANCH_SUMMARY_REPORT"]
+
+
 def q_verdict(spark, sf_dir):
+    """Sources from one profile each, in one job; reports from their own write."""
     frames = _entity_frames(_e(spark, sf_dir))
     profiles = None
     for name, df in frames.items():
-        p = Q.profile(df, name)
-        profiles = p if profiles is None else profiles.unionByName(p)
-    return Q.verdict(profiles)
+        if name not in REPORTS:
+            p = Q.profile(df, name)
+            profiles = p if profiles is None else profiles.unionByName(p)
+    reports = Q.verdict_frame(spark, _written_reports(spark, frames, REPORTS))
+    return Q.verdict(profiles).unionByName(reports)
 
 
 def _details_rules(spark, sf_dir, rules: Callable[[], list[Q.Rule]]):
@@ -322,14 +341,20 @@ def q_duplicate_txn_ids(spark, sf_dir):
 
 
 def q_ref_integrity(spark, sf_dir):
+    """Transactions are read once, into their totals per account, which the
+    report and the check share; ACCOUNT is built once."""
     e = _e(spark, sf_dir)
+    totals, account = _scratch(spark, "account_totals"), _scratch(spark, "account_keys")
+    T.write_table(R.account_totals(e.transaction), totals)
+    T.write_table(e.account.select("ACCOUNT_ID", "CUSTOMER_ID", "BRANCH_ID"), account)
+    per_account, a, b, d = T.read_table(spark, totals), T.read_table(spark, account), e.branch, e.details
     return Q.integrity_report(
         [
-            Q.Edge("transaction_account", e.transaction, e.account, ["ACCOUNT_ID"]),
-            Q.Edge("account_customer", e.account, e.customer, ["CUSTOMER_ID"]),
-            Q.Edge("account_branch", e.account, e.branch, ["BRANCH_ID"]),
-            Q.Edge("details_branch", e.details, e.branch, ["BRANCH_ID"]),
-            Q.Edge("summary_details", _summary(e), e.details, ["BRANCH_ID"]),
+            Q.Edge("transaction_account", per_account, a, ["ACCOUNT_ID"], rows="_n"),
+            Q.Edge("account_customer", a, e.customer, ["CUSTOMER_ID"]),
+            Q.Edge("account_branch", a, b, ["BRANCH_ID"]),
+            Q.Edge("details_branch", d, b, ["BRANCH_ID"]),
+            Q.Edge("summary_details", R.summary_of_totals(per_account, a, b), d, ["BRANCH_ID"]),
         ]
     )
 
@@ -387,7 +412,127 @@ def q_distinct_keys(spark, sf_dir):
 
 
 def q_stage_metrics(spark, sf_dir):
-    return Q.record_counts(_entity_frames(_e(spark, sf_dir)))
+    """Q17: sources counted, reports by the counter observed on their write."""
+    frames = _entity_frames(_e(spark, sf_dir))
+    counts = Q.record_counts({n: df for n, df in frames.items() if n not in REPORTS})
+    written = [(v["table_name"], v["row_count"]) for v in _written_reports(spark, frames, REPORTS)]
+    return counts.unionByName(spark.createDataFrame(written, "stage string, record_count bigint"))
+
+
+def q_schema_checks(spark, sf_dir):
+    """Q3-Q5 on the written reports: the enriched one against its layout (all
+    equal) and against the former one (columns added), and one with a renamed
+    and a retyped column against its layout."""
+    e = _e(spark, sf_dir)
+    good, bad = _scratch(spark, "branch_summary_report_schema"), _scratch(spark, "branch_summary_report_drifted")
+    T.write_table(_enriched(e), good)
+    written = T.read_table(spark, good)
+    drifted = written.withColumnRenamed("REGION", "AREA").withColumn("TOTAL_TRANSACTIONS", F.col("TOTAL_TRANSACTIONS").cast("int"))
+    T.write_table(drifted, bad)
+    out = Q.schema_diff(written, BRANCH_SUMMARY_V2, "BRANCH_SUMMARY_REPORT")
+    out = out.unionByName(Q.schema_diff(written, BRANCH_SUMMARY_V1, "BRANCH_SUMMARY_REPORT as v1"))
+    return out.unionByName(Q.schema_diff(T.read_table(spark, bad), BRANCH_SUMMARY_V2, "drifted"))
+
+
+# ---- landing and publication --------------------------------------------------
+
+
+def _landed(spark: SparkSession, e: td.Entities, name: str) -> tuple[DataFrame, DataFrame]:
+    return landing.land(e.transaction, e.account, _scratch(spark, name))[:2]
+
+
+def q_aml_landed(spark, sf_dir):
+    """The AML report from landed tables, its fact side read by bucket."""
+    e = _e(spark, sf_dir)
+    transaction, account = _landed(spark, e, "aml_landed")
+    return R.aml_customer_transactions(e.customer, account, transaction, account_keys=landing.LANDED_KEYS)
+
+
+def q_summary_landed(spark, sf_dir):
+    """The branch summary from landed tables."""
+    e = _e(spark, sf_dir)
+    transaction, account = _landed(spark, e, "summary_landed")
+    return R.branch_summary(transaction, account, e.branch, account_keys=landing.LANDED_KEYS)
+
+
+def q_published(spark, sf_dir):
+    """The reports published twice, first v1 and then v2; what the views
+    show is the second, read through them."""
+    e = _e(spark, sf_dir)
+    names = [_scratch(spark, "published_summary"), _scratch(spark, "published_active_details")]
+    publish.unpublish(spark, names)
+    details = e.details.where(F.col("IS_ACTIVE") == "Y")
+    for run, frames in (("first", [_summary(e), e.details]), ("second", [_enriched(e), details])):
+        for name, df in zip(names, frames):
+            version = publish.version_name(name, run)
+            T.drop_table(spark, version)
+            T.write_table(df, version)
+        publish.publish(spark, names, run)
+    active = T.read_table(spark, names[1]).select("BRANCH_ID").distinct().withColumn("HAS_ACTIVE_DETAILS", F.lit(True))
+    report = T.read_table(spark, names[0])
+    return report.join(active, "BRANCH_ID", "left").withColumn("HAS_ACTIVE_DETAILS", F.coalesce("HAS_ACTIVE_DETAILS", F.lit(False)))
+
+
+# ---- constraints ----------------------------------------------------------------
+
+
+def _source_table(spark: SparkSession, source: str, suffix: str, frame: DataFrame) -> str:
+    """An empty table of the source's columns that the frame has, wide keys, with
+    the DDL's defaults and rules."""
+    name = _scratch(spark, f"{source.lower()}_{suffix}")
+    T.drop_table(spark, name)
+    have = {f.name: f.dataType for f in frame.schema.fields}
+    fields = [StructField(f.name, have.get(f.name, f.dataType)) for f in SOURCES[source].fields]
+    T.create_table(
+        spark, name, StructType(fields), defaults=DEFAULTS.get(source), not_null=REQUIRED_COLUMNS.get(source, []), checks=CHECKS.get(source)
+    )
+    return name
+
+
+def _source_batches(e: td.Entities) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Per source table a batch without the columns that have defaults, cut to
+    rows that hold every required value."""
+    batches = {}
+    for source, df in {"CUSTOMER": e.customer, "BRANCH": e.branch, "ACCOUNT": e.account, "TRANSACTION": e.transaction, "BRANCH_OPERATIONAL_DETAILS": e.details_flat}.items():
+        wanted = [f.name for f in SOURCES[source].fields if f.name in df.columns and f.name not in DEFAULTS.get(source, {})]
+        batches[source] = (df.select(*wanted), wanted)
+    return batches
+
+
+def q_insert_accepted(spark, sf_dir):
+    """Batches for all five source tables, defaults filled in; one row
+    per table with its rows and those in which every default column has its default."""
+    out = None
+    for source, (df, columns) in _source_batches(_e(spark, sf_dir)).items():
+        name = _source_table(spark, source, "checked", df)
+        required = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS.get(source, [])]
+        T.insert_checked(df.where(reduce(lambda a, b: a & b, required, F.lit(True))), name, columns)
+        filled = [F.col(c).isNotNull() if d == "CURRENT_DATE" else F.col(c) == F.expr(d) for c, d in DEFAULTS.get(source, {}).items()]
+        one = T.read_table(spark, name).agg(F.count(F.lit(1)).alias("table_rows"), F.count_if(reduce(lambda a, b: a & b, filled, F.lit(True))).alias("rows_with_defaults"))
+        one = one.select(F.lit(source).alias("table_name"), "table_rows", "rows_with_defaults")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_insert_refused(spark, sf_dir):
+    """Batches with rows that break rules (every seventh branch without
+    a name; flags outside the domain and missing regions as the details have
+    them) are refused whole; one row per broken rule, and the table's rows after."""
+    e = _e(spark, sf_dir)
+    branch = e.branch_flat.withColumn("BRANCH_NAME", F.when(F.col("BRANCH_ID") % 7 != 0, F.col("BRANCH_NAME")))
+    details = e.details_flat.select("BRANCH_ID", "REGION", "MANAGER_NAME", "LAST_AUDIT_DATE", "IS_ACTIVE")
+    rows = []
+    for source, df in (("BRANCH", branch), ("BRANCH_OPERATIONAL_DETAILS", details)):
+        name = _source_table(spark, source, "refused", df)
+        columns = [c for c in df.columns if c in SOURCES[source].fieldNames()]
+        try:
+            T.insert_checked(df, name, columns)
+            broken = {}
+        except T.RefusedBatch as refused:
+            broken = refused.broken
+        left = T.read_table(spark, name).count()
+        rows += [(source, rule, n, left) for rule, n in sorted(broken.items())]
+    return spark.createDataFrame(rows, "table_name string, rule string, refused_rows bigint, table_rows bigint")
 
 
 # ---- supplier grain: the same operators on details that grow with the data ----
@@ -454,11 +599,12 @@ def q_seed_by_supplier(spark, sf_dir):
 
 def q_integrity_by_supplier(spark, sf_dir):
     e = _e(spark, sf_dir)
+    transaction, branch, details = e.transaction_flat, e.branch_flat, e.details_flat
     return Q.integrity_report(
         [
-            Q.Edge("transaction_branch", e.transaction_flat, e.branch_flat, ["BRANCH_ID"]),
-            Q.Edge("details_branch", e.details_flat, e.branch_flat, ["BRANCH_ID"]),
-            Q.Edge("summary_details", _flat_summary(e), e.details_flat, ["BRANCH_ID"]),
+            Q.Edge("transaction_branch", transaction, branch, ["BRANCH_ID"]),
+            Q.Edge("details_branch", details, branch, ["BRANCH_ID"]),
+            Q.Edge("summary_details", R.branch_summary_flat(transaction, branch), details, ["BRANCH_ID"]),
         ]
     )
 
@@ -575,7 +721,7 @@ def q_rerun(spark, sf_dir):
     T.write_table(_enriched(e), name)
     T.backup_table(spark, name, first)
     T.write_table(_enriched(e), name)
-    return Q.diff_summary(T.read_table(spark, first), T.read_table(spark, name))
+    return Q.compare_frames(T.read_table(spark, first), T.read_table(spark, name))
 
 
 QUERIES: dict[str, Query] = {
@@ -645,6 +791,12 @@ QUERIES: dict[str, Query] = {
     "backup_restore": q_backup_restore,
     "alter_add_columns": q_alter_add,
     "rerun_identical": q_rerun,
+    "aml_customer_transactions_landed": q_aml_landed,
+    "branch_summary_landed": q_summary_landed,
+    "published_reports": q_published,
+    "insert_checked_accepted": q_insert_accepted,
+    "insert_checked_refused": q_insert_refused,
+    "schema_checks": q_schema_checks,
 }
 
 for _table, _key in [

@@ -103,6 +103,25 @@ REQUIRED_COLUMNS = {
     "BRANCH_OPERATIONAL_DETAILS": ["REGION"],
 }
 
+SOURCES = {
+    "CUSTOMER": CUSTOMER,
+    "BRANCH": BRANCH,
+    "ACCOUNT": ACCOUNT,
+    "TRANSACTION": TRANSACTION,
+    "BRANCH_OPERATIONAL_DETAILS": BRANCH_OPERATIONAL_DETAILS,
+}
+
+# Defaults of the source DDL.
+DEFAULTS = {
+    "CUSTOMER": {"CREATED_DATE": "CURRENT_DATE"},
+    "ACCOUNT": {"BALANCE": "0", "OPENED_DATE": "CURRENT_DATE"},
+    "TRANSACTION": {"TRANSACTION_DATE": "CURRENT_DATE"},
+    "BRANCH_OPERATIONAL_DETAILS": {"IS_ACTIVE": "'Y'"},
+}
+
+# Value rules of the specification (Q7), as conditions that rows must not fail.
+CHECKS = {"BRANCH_OPERATIONAL_DETAILS": {"IS_ACTIVE_domain": "IS_ACTIVE IN ('Y', 'N')"}}
+
 
 def ddl(schema: StructType) -> str:
     """Column list of ``schema`` as SQL DDL text: ``A BIGINT, B STRING``."""

@@ -11,15 +11,18 @@ failed check leaves the old table untouched.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.schemas import ddl
 
+LOG = logging.getLogger(__name__)
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by name."""
@@ -154,7 +157,10 @@ def publish_all(spark: SparkSession, names: Sequence[str], run: str = "") -> Non
             _rename(spark, previous_name(n), n)
         raise
     for n in had:
-        spark.sql(f"DROP TABLE IF EXISTS {previous_name(n)}")
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {previous_name(n)}")
+        except Exception:  # the new tables stand; the next publication drops it
+            LOG.warning("could not drop %s", previous_name(n), exc_info=True)
 
 
 def publish_staging(spark: SparkSession, name: str, run: str = "") -> None:
@@ -196,15 +202,20 @@ def create_table(
     fmt: str = "parquet",
     if_not_exists: bool = True,
     defaults: Mapping[str, str] | None = None,
+    not_null: Sequence[str] = (),
+    checks: Mapping[str, str] | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> None:
     """``CREATE TABLE [IF NOT EXISTS] name (...) USING fmt``.
 
     ``defaults`` maps a column to a SQL default expression (``0``,
-    ``CURRENT_DATE``, ``'Y'``).  NOT NULL is not enforced by Parquet tables,
-    so required columns are checked with ``quality.violations`` instead.
+    ``CURRENT_DATE``, ``'Y'``).  Parquet tables enforce neither NOT NULL nor
+    CHECK, so ``not_null`` columns and ``checks`` (name to SQL condition) are kept
+    as table properties, by which ``insert_checked`` refuses a batch.
     """
     defaults = defaults or {}
+    rules = {f"{RULE}{c}_not_null": f"`{c}` IS NOT NULL" for c in not_null} | {f"{RULE}{n}": c for n, c in (checks or {}).items()}
+    properties = {**rules, **(properties or {})}
     if isinstance(schema, StructType):
         cols = ", ".join(
             f"{f.name} {f.dataType.simpleString().upper()}"
@@ -216,7 +227,8 @@ def create_table(
     clause = "IF NOT EXISTS " if if_not_exists else ""
     props = ""
     if properties:
-        props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
+        quoted = ((k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in properties.items())
+        props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in quoted) + ")"
     spark.sql(f"CREATE TABLE {clause}{name} ({cols}) USING {fmt}{props}")
 
 
@@ -234,6 +246,57 @@ def insert_columns(df: DataFrame, name: str, columns: Sequence[str] | None = Non
         spark.catalog.dropTempView(view)
 
 
+RULE = "rule."
+
+
+class RefusedBatch(ValueError):
+    """Rows of a batch break rules of their table; nothing was inserted.
+    ``broken`` maps each broken rule to the number of rows."""
+
+    def __init__(self, name: str, broken: Mapping[str, int]):
+        super().__init__(f"batch for {name} refused, rows that break a rule: {dict(broken)}")
+        self.broken = dict(broken)
+
+
+def table_rules(spark: SparkSession, name: str) -> dict[str, str]:
+    """The conditions that rows of the table must not fail, by name."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"].removeprefix(RULE): r["value"] for r in found if r["key"].startswith(RULE)}
+
+
+def insert_checked(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> int:
+    """Insert a batch only if no row breaks a rule of its table.
+
+    The batch is staged first, columns left out with their DEFAULT; the rows
+    that break each rule are counted on that write (``DataFrame.observe``), so
+    checking costs no pass of its own.  As in SQL a CHECK that is NULL holds.
+    Any broken rule raises ``RefusedBatch`` and leaves the table as it was; else
+    the staged rows are appended.  Returns how many.
+    """
+    spark, staging = df.sparkSession, f"{name}__batch_{uuid.uuid4().hex[:8]}"
+    columns = list(columns or df.columns)
+    rules = table_rules(spark, name)
+    given = {c.lower() for c in columns}
+    target = spark.table(name).schema
+    row = []
+    for f in target.fields:
+        default = f.metadata.get("CURRENT_DEFAULT")
+        value = F.col(f"`{f.name}`") if f.name.lower() in given else F.expr(default) if default else F.lit(None)
+        row.append(value.cast(f.dataType).alias(f.name))
+    observation = Observation(f"batch for {name}")
+    counts = [F.count_if(~F.coalesce(F.expr(c), F.lit(True))).alias(f"r{i}") for i, c in enumerate(rules.values())]
+    staged = df.select(*columns).select(*row).observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
+    try:
+        write_table(staged, staging)
+        broken = {rule: observation.get[f"r{i}"] for i, rule in enumerate(rules) if observation.get[f"r{i}"]}
+        if broken:
+            raise RefusedBatch(name, broken)
+        spark.table(staging).write.insertInto(name)
+        return observation.get["rows"]
+    finally:
+        drop_table(spark, staging)
+
+
 def backup_table(spark: SparkSession, source: str, backup: str, *, fmt: str = "parquet") -> None:
     """``CREATE TABLE backup AS SELECT * FROM source`` (replacing an old backup)."""
     spark.sql(f"DROP TABLE IF EXISTS {backup}")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.plans.jobs import QualityGateError, Sources, run_reporting_job
-from ledgerlens.sources import jdbc
+from ledgerlens.sources import jdbc, publish
 from ledgerlens.sources import tables as T
 from tests.fixtures import v2_sample
 
@@ -79,7 +79,8 @@ def _job(spark, db, transaction=None, **options):
 
 
 def _state(spark, db):
-    tables = sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
+    """The reports (without the versions behind them) and their rows."""
+    tables = sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary and "__" not in t.name)
     return tables, {t: sorted(map(str, spark.table(f"{db}.{t}").collect())) for t in tables}
 
 
@@ -128,40 +129,33 @@ def test_strict_holds_for_reports(spark, scratch_db):
     assert _state(spark, scratch_db) == before
 
 
-@pytest.mark.parametrize("step", range(4))
+@pytest.mark.parametrize("step", range(5))
 def test_publishing_is_both_or_neither(spark, scratch_db, monkeypatch, step):
-    """Each rename of the second run fails in turn."""
+    """Each catalog step of the second run fails in turn: two views over both
+    versions, the pointer, two views over the new version."""
     _job(spark, scratch_db)
     before = _state(spark, scratch_db)
-    rename, calls = T._rename, []
+    run, calls = publish._run, []
 
-    def failing(spark, old, new):
-        calls.append(old)
+    def failing(spark, sql):
+        calls.append(sql)
         if len(calls) == step + 1:
             raise RuntimeError("killed")
-        rename(spark, old, new)
+        run(spark, sql)
 
-    monkeypatch.setattr(T, "_rename", failing)
+    monkeypatch.setattr(publish, "_run", failing)
     with pytest.raises(RuntimeError):
         _job(spark, scratch_db, v2_sample(spark)[2].limit(2))
-    assert _state(spark, scratch_db) == before
-
-
-@pytest.mark.parametrize("step", range(4))
-def test_next_run_recovers_from_a_death(spark, scratch_db, monkeypatch, step):
-    """The process dies before each rename: no clean-up runs.  Recovery gives
-    the complete old reports."""
-    _job(spark, scratch_db)
-    before = _state(spark, scratch_db)
-    for name in ("aml", "summary"):
-        T.write_staging(spark.range(1), f"{scratch_db}.{name}", run="dead")
-    moves = [(f"{scratch_db}.{n}", T.previous_name(f"{scratch_db}.{n}")) for n in ("aml", "summary")]
-    moves += [(T.staging_name(f"{scratch_db}.{n}", "dead"), f"{scratch_db}.{n}") for n in ("aml", "summary")]
-    for old, new in moves[:step]:
-        T._rename(spark, old, new)
-    T.recover(spark, [f"{scratch_db}.aml", f"{scratch_db}.summary"])
-    for name in ("aml", "summary"):
-        T.discard_staging(spark, f"{scratch_db}.{name}", "dead")
+    monkeypatch.undo()
+    after = _state(spark, scratch_db)
+    assert after[0] == before[0]
+    if step <= 2:
+        assert after == before
+    else:
+        assert len(after[1]["aml"]) == 2 and all(after[1][t] != before[1][t] for t in ("aml", "summary"))
+    leftovers = [t.name for t in spark.catalog.listTables(scratch_db) if "__landed" in t.name or "__laid" in t.name]
+    assert leftovers == []
+    _job(spark, scratch_db)  # the next run goes on from there
     assert _state(spark, scratch_db) == before
 
 
@@ -203,6 +197,54 @@ def test_read_jdbc_partitioned_fetches_bounds():
     assert read_call["properties"]["fetchsize"] == "5000"
 
 
+def _balanced(spark, keys, parts):
+    """Rows per range that the predicates give, by Spark SQL in the database's place."""
+    spark.createDataFrame([(k,) for k in keys], "k bigint").createOrReplaceTempView("ranged")
+    query = jdbc.quantile_query("ranged", "k", parts)
+    cuts = sorted({r[0] for r in spark.sql(f"SELECT * FROM {query}").collect() if r[0] is not None})[1:]
+    conditions = jdbc.range_predicates("k", cuts)
+    got = [spark.sql(f"SELECT count(*) FROM ranged WHERE {c}").first()[0] for c in conditions]
+    assert sum(got) == len(keys)  # each row in exactly one range
+    return got
+
+
+def test_balanced_ranges(spark):
+    even = _balanced(spark, list(range(1000)), 8)
+    assert len(even) == 8 and max(even) <= 126
+    # ids crowd at the low end with one far outlier: equal steps would put all but one row in one range
+    crowded = _balanced(spark, [i * i // 7 for i in range(2000)] + [10**15], 10)
+    assert len(crowded) == 10 and max(crowded) <= 1.1 * 2001 / 10
+    # one key with two thirds of the rows, NULLs: every other range stays near its share
+    hot = _balanced(spark, [500] * 2000 + list(range(1000)) + [None] * 30, 9)
+    assert sorted(hot)[-1] <= 2000 + 400 and sorted(hot)[-2] <= 400
+    assert _balanced(spark, [], 4) == []
+
+
+def test_range_predicates_and_literals():
+    import datetime as dt
+
+    assert jdbc.range_predicates("K", []) == []
+    assert jdbc.range_predicates("K", [5, 9]) == ["K < 5 OR K IS NULL", "K >= 5 AND K < 9", "K >= 9"]
+    assert jdbc.range_predicates("D", [dt.date(2024, 1, 2), "a'b"])[1] == "D >= DATE '2024-01-02' AND D < 'a''b'"
+
+
+class _RowsFrame(_FakeFrame):
+    def collect(self):
+        return [(30,), (None,), (10,), (20,)]
+
+
+def test_large_tables_are_ranged_by_default():
+    spark = _FakeSpark()
+    spark.read.jdbc = lambda **kw: spark.read.calls.append(kw) or _RowsFrame(kw)
+    from ledgerlens.plans.jobs import load_sources_jdbc
+
+    load_sources_jdbc(spark, "jdbc:x", {"user": "u"}, partitioning={"CUSTOMER": {}})
+    reads = {c["table"]: c for c in spark.read.calls if not c["table"].startswith("(")}
+    assert reads["TRANSACTION"]["predicates"] == ["TRANSACTION_ID < 20 OR TRANSACTION_ID IS NULL", "TRANSACTION_ID >= 20 AND TRANSACTION_ID < 30", "TRANSACTION_ID >= 30"]
+    assert "predicates" in reads["ACCOUNT"]
+    assert all("predicates" not in reads[t] for t in ("CUSTOMER", "BRANCH", "BRANCH_OPERATIONAL_DETAILS"))
+
+
 def test_read_details_table_name():
     spark = _FakeSpark()
     jdbc.read_branch_operational_details(spark, "jdbc:x", {}, column="BRANCH_ID", num_partitions=2, lower_bound=0, upper_bound=10)
@@ -226,7 +268,7 @@ def test_empty_report_publishes_nothing(spark, scratch_db):
         )
     assert T.read_table(spark, f"{scratch_db}.aml_e").count() == 1
     assert not T.table_exists(spark, f"{scratch_db}.summary_e")
-    assert not T.table_exists(spark, f"{scratch_db}.aml_e__staging")
+    assert [t.name for t in spark.catalog.listTables(scratch_db) if not t.isTemporary] == ["aml_e"]
 
 
 def test_report_profile_observed_during_write(spark, scratch_db):
