@@ -8,15 +8,16 @@ for, and fall back to the shuffle join Spark would pick anyway.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def row_width(df: DataFrame) -> Column:
-    """About how many bytes a row of ``df`` takes in memory."""
+def counted_size(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and about how many bytes they take in memory: one
+    aggregate, combined in every task, so one row per task is shuffled."""
     width = F.lit(8)
     for f in df.schema.fields:
         plain = f.dataType.typeName() in ("string", "binary")
@@ -26,13 +27,7 @@ def row_width(df: DataFrame) -> Column:
             width = width + F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
         else:
             width = width + F.lit(16)
-    return width
-
-
-def counted_size(df: DataFrame) -> tuple[int, int]:
-    """Rows of ``df`` and about how many bytes they take in memory: one
-    aggregate, combined in every task, so one row per task is shuffled."""
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(df)), F.lit(0))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows, size
 
 
@@ -68,7 +63,11 @@ def key_salts(fact: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SA
     Counts are exact, from the key columns alone, combined map-side.  There
     can be at most ``rows(fact) / rows_per_salt`` such keys.
     """
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return hot_keys(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, rows_per_salt)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """``key_salts`` of rows that are counted already (``_rows``)."""
     valid = F.lit(True)
     for k in keys:
         valid = valid & F.col(k).isNotNull()

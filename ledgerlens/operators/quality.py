@@ -216,9 +216,24 @@ class Edge:
     rows: str | None = None
 
 
-def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
-    """The key as an array of texts: equal whole numbers of any width agree."""
-    return F.array(*[df[f"`{k}`"].cast("string") for k in keys])
+WHOLE = ("byte", "short", "integer", "long")
+
+
+def _plain_numbers(edges: Sequence[Edge]) -> bool:
+    """True when every key is one whole number."""
+    sides = [side for e in edges for side in zip((e.child, e.parent), _key_pairs(e.keys, e.parent_keys))]
+    if any(len(keys) > 1 for _, keys in sides):
+        return False
+    used: dict[int, tuple[DataFrame, set[str]]] = {}
+    for df, keys in sides:
+        used.setdefault(id(df), (df, set()))[1].update(keys)
+    return all(f.dataType.typeName() in WHOLE for df, keys in used.values() for f in df.schema.fields if f.name in keys)
+
+
+def _key(keys: Sequence[str], number: bool) -> Column:
+    """The key as a number, else as an array of texts, in which equal whole
+    numbers of any width agree."""
+    return F.col(f"`{keys[0]}`").cast("bigint") if number else F.array(*[F.col(f"`{k}`").cast("string") for k in keys])
 
 
 def integrity_report(edges: Sequence[Edge]) -> DataFrame:
@@ -231,11 +246,12 @@ def integrity_report(edges: Sequence[Edge]) -> DataFrame:
     map-side, so a hot key on either side is one row per task.  A NULL in a
     child's key has no parent (NOT EXISTS); one in a parent's key is no parent.
     """
+    number = _plain_numbers(edges)
     parents: list[tuple[DataFrame, tuple[str, ...]]] = []  # the key spaces
     roles: dict[int, tuple[DataFrame, list[Column]]] = {}  # by frame
 
     def role(df: DataFrame, space: int, keys: Sequence[str], edge: int, rows: Column) -> None:
-        tag = F.struct(F.lit(space).alias("space"), _key_text(df, keys).alias("key"), F.lit(edge).alias("edge"), rows.cast("bigint").alias("rows"))
+        tag = F.struct(F.lit(space).alias("space"), _key(keys, number).alias("key"), F.lit(edge).alias("edge"), rows.cast("bigint").alias("rows"))
         roles.setdefault(id(df), (df, []))[1].append(tag)
 
     for i, edge in enumerate(edges):
@@ -245,12 +261,12 @@ def integrity_report(edges: Sequence[Edge]) -> DataFrame:
             space = len(parents)
             parents.append((edge.parent, tuple(pk)))
             role(edge.parent, space, pk, -1, F.lit(0))
-        role(edge.child, space, ck, i, F.lit(1) if edge.rows is None else edge.child[edge.rows])
+        role(edge.child, space, ck, i, F.lit(1) if edge.rows is None else F.col(edge.rows))
     tagged = None
     for df, tags in roles.values():
         one = df.select(F.explode(F.array(*tags)).alias("t")).select("t.*") if len(tags) > 1 else df.select(tags[0].alias("t")).select("t.*")
         tagged = one if tagged is None else tagged.unionByName(one)
-    whole = F.forall("key", lambda k: k.isNotNull())
+    whole = F.col("key").isNotNull() if number else F.forall("key", lambda k: k.isNotNull())
     per_key = tagged.groupBy("space", "key").agg(
         F.max((F.col("edge") == -1) & whole).alias("present"),
         *[F.sum(F.when(F.col("edge") == i, F.col("rows"))).alias(f"_e{i}") for i in range(len(edges))],

@@ -5,11 +5,11 @@ Differences from the reference job, each on purpose:
 * sources are checked for the columns the reports need before any job
   runs, so a renamed or dropped column stops the job with a clear message;
 * each source is read once: the columns the reports need are landed in
-  tables and the NULL profile of all its columns, the row count and the size are
-  observed on that write (C1); TRANSACTION and ACCOUNT are then laid out in
-  buckets whose number follows from that size, hot accounts over several of
-  them (``sources.landing``), where the fact join and aggregate of both reports
-  need no shuffle;
+  tables and the NULL profile of all its columns is observed on that write (C1);
+  TRANSACTION and ACCOUNT land in buckets whose number follows from a count
+  of the key column, hot accounts over several of them (``sources.landing``),
+  where the fact join and aggregate of both reports need no shuffle;
+* writes that do not depend on each other run at the same time;
 * the sources' verdict gates the reports when ``gate=True`` (D11), and
   ``strict`` holds for sources and reports alike;
 * both reports are written to tables of this run; their row counts and
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
+from ledgerlens.session import concurrently
 from ledgerlens.sources import jdbc, landing, publish
 from ledgerlens.sources import tables as T
 
@@ -150,27 +151,27 @@ def run_reporting_job(
     key = "passed_strict" if strict else "passed_lenient"
     landed: list[str] = []
     try:
-        # Each source is read once: its profile and size are observed while the
-        # columns that the reports need are written.
-        frames, sizes = {}, {}
+        # Each source is read once: its profile is observed while the columns
+        # that the reports need are written.
+        observed = {name: Q.observed_profile(df, name) for name, df in sources.named().items()}
+        wanted = {name: df.select(*[c for c in df.columns if c.upper() in {x.upper() for x in kept[name]}]) for name, (df, _) in observed.items()}
+        prefix = f"{summary_table}__landed"
+        tables = {name: f"{prefix}_{name.lower()}_{run}" for name in wanted if name not in ("TRANSACTION", "ACCOUNT")}
+        landed += [*tables.values(), *(f"{prefix}_{run}{s}" for s in landing.SUFFIXES)]
+        # the counts per account need no observation: they read the key alone
+        laid, *_ = concurrently(
+            spark,
+            lambda: landing.land(wanted["TRANSACTION"], wanted["ACCOUNT"], f"{prefix}_{run}", bucket_bytes=bucket_bytes, fmt=fmt),
+            *(lambda name=name: T.write_table(wanted[name], tables[name], fmt=fmt) for name in tables),
+        )
+        transaction, account, _ = laid
+        frames = {name: T.read_table(spark, table) for name, table in tables.items()}
         for name, df in sources.named().items():
-            observed, observation = Q.observed_profile(df, name)
-            table = f"{summary_table}__landed_{name.lower()}_{run}"
-            landed.append(table)
-            wanted = [c for c in df.columns if c.upper() in {x.upper() for x in kept[name]}]
-            measured, sizes[name] = landing.sized(observed.select(*wanted), name)
-            T.write_table(measured, table, fmt=fmt)
-            frames[name] = T.read_table(spark, table)
-            found = Q.verdict_from_observation(name, df.columns, observation)
+            found = Q.verdict_from_observation(name, df.columns, observed[name][1])
             result.verdicts.append({k: v for k, v in found.items() if k != "null_counts"})
         failed = [r["table_name"] for r in result.verdicts if not r[key]]
         if gate and failed:
             raise QualityGateError(f"sources failed the quality check: {failed}")
-        size = sizes["TRANSACTION"].get
-        plan = landing.layout(size["rows"], size["bytes"], bucket_bytes=bucket_bytes, max_buckets=landing.bucket_limit(spark))
-        laid = tuple(f"{summary_table}__laid_{n}_{run}" for n in ("transaction", "account", "hot"))
-        landed += laid
-        transaction, account = landing.lay_out(frames["TRANSACTION"], frames["ACCOUNT"], laid, plan, fmt=fmt)
         keys = {"account_keys": landing.LANDED_KEYS}
 
         aml = R.aml_customer_transactions(frames["CUSTOMER"], account, transaction, **keys, **dict(aml_options or {}))
@@ -179,10 +180,10 @@ def run_reporting_job(
             summary = R.enrich_summary(summary, frames["BRANCH_OPERATIONAL_DETAILS"], **options)
 
         reports = {aml_table: aml, summary_table: summary}
+        written = {name: Q.observed_profile(df, name) for name, df in reports.items()}
+        concurrently(spark, *(lambda name=name: T.write_table(written[name][0], publish.version_name(name, run), fmt=fmt) for name in reports))
         for name, df in reports.items():
-            observed, observation = Q.observed_profile(df, name)
-            T.write_table(observed, publish.version_name(name, run), fmt=fmt)
-            report = Q.verdict_from_observation(name, df.columns, observation)
+            report = Q.verdict_from_observation(name, df.columns, written[name][1])
             result.report_verdicts.append(report)
             result.record_counts[name] = report["row_count"]
             if gate and not report[key]:

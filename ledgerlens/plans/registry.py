@@ -26,6 +26,7 @@ from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.dedupe import latest_per_key
 from ledgerlens.schemas import BRANCH_SUMMARY_V1, BRANCH_SUMMARY_V2, CHECKS, DEFAULTS, REQUIRED_COLUMNS, SOURCES
+from ledgerlens.session import concurrently
 from ledgerlens.sources import landing, publish
 from ledgerlens.sources import tables as T
 from ledgerlens.sources import testdata as td
@@ -224,29 +225,28 @@ def _profile_query(table_name: str) -> Query:
     return run
 
 
-def _written_reports(spark: SparkSession, frames: dict[str, DataFrame], names: list[str]) -> list[dict]:
-    """The reports written, each with the verdict observed on its write."""
-    out = []
-    for name in names:
+REPORTS = ["AML_CUSTOMER_TRANSACTIONS", "BRANCH_SUMMARY_REPORT"]
+
+
+def _observed_verdicts(spark: SparkSession, frames: dict[str, DataFrame]) -> list[dict]:
+    """Verdicts of all frames: sources from one profile each, in one job; each
+    report observed while it is written, all at the same time."""
+
+    def write(name: str) -> list[dict]:
         observed, observation = Q.observed_profile(frames[name], name)
         T.write_table(observed, _scratch(spark, f"{name.lower()}_observed"))
-        out.append(Q.verdict_from_observation(name, frames[name].columns, observation))
-    return out
+        return [Q.verdict_from_observation(name, frames[name].columns, observation)]
 
+    def sources() -> list[dict]:
+        profiles = [Q.profile(df, name) for name, df in frames.items() if name not in REPORTS]
+        return [r.asDict() for r in Q.verdict(reduce(DataFrame.unionByName, profiles)).collect()]  # a row per table
 
-REPORTS = ["AML_CUSTOMER_TRANSACTIONS", "BRANCH_SUMMARY_REPORT"]
+    found = concurrently(spark, sources, *(lambda name=name: write(name) for name in REPORTS))
+    return [v for each in found for v in each]
 
 
 def q_verdict(spark, sf_dir):
-    """Sources from one profile each, in one job; reports from their own write."""
-    frames = _entity_frames(_e(spark, sf_dir))
-    profiles = None
-    for name, df in frames.items():
-        if name not in REPORTS:
-            p = Q.profile(df, name)
-            profiles = p if profiles is None else profiles.unionByName(p)
-    reports = Q.verdict_frame(spark, _written_reports(spark, frames, REPORTS))
-    return Q.verdict(profiles).unionByName(reports)
+    return Q.verdict_frame(spark, _observed_verdicts(spark, _entity_frames(_e(spark, sf_dir))))
 
 
 def _details_rules(spark, sf_dir, rules: Callable[[], list[Q.Rule]]):
@@ -345,8 +345,11 @@ def q_ref_integrity(spark, sf_dir):
     report and the check share; ACCOUNT is built once."""
     e = _e(spark, sf_dir)
     totals, account = _scratch(spark, "account_totals"), _scratch(spark, "account_keys")
-    T.write_table(R.account_totals(e.transaction), totals)
-    T.write_table(e.account.select("ACCOUNT_ID", "CUSTOMER_ID", "BRANCH_ID"), account)
+    concurrently(
+        spark,
+        lambda: T.write_table(R.account_totals(e.transaction), totals),
+        lambda: T.write_table(e.account.select("ACCOUNT_ID", "CUSTOMER_ID", "BRANCH_ID"), account),
+    )
     per_account, a, b, d = T.read_table(spark, totals), T.read_table(spark, account), e.branch, e.details
     return Q.integrity_report(
         [
@@ -412,11 +415,9 @@ def q_distinct_keys(spark, sf_dir):
 
 
 def q_stage_metrics(spark, sf_dir):
-    """Q17: sources counted, reports by the counter observed on their write."""
-    frames = _entity_frames(_e(spark, sf_dir))
-    counts = Q.record_counts({n: df for n, df in frames.items() if n not in REPORTS})
-    written = [(v["table_name"], v["row_count"]) for v in _written_reports(spark, frames, REPORTS)]
-    return counts.unionByName(spark.createDataFrame(written, "stage string, record_count bigint"))
+    """Q17: the counts that come with the verdicts."""
+    counts = [(v["table_name"], v["row_count"]) for v in _observed_verdicts(spark, _entity_frames(_e(spark, sf_dir)))]
+    return spark.createDataFrame(counts, "stage string, record_count bigint")
 
 
 def q_schema_checks(spark, sf_dir):

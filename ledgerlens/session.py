@@ -5,8 +5,15 @@ Library functions never stop a session: the caller (or the driver) owns it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Settings a reporting job wants on any cluster.  Skew join and partition
 # coalescing are AQE's runtime answers to hot keys and tiny partitions.
 DEFAULT_CONF = {
@@ -62,6 +69,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def concurrently(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
+    """Run independent actions (writes, counts) at the same time and return their
+    results in order: the tasks of one fill the cores that another leaves free.
+    All have ended when this returns; the first error is raised then."""
+    with ThreadPoolExecutor(max_workers=max(1, len(actions))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+        wait(running)
+    return [r.result() for r in running]
+
+
 # Map tasks times reducers: about how many shuffle blocks the driver keeps track of.
 MAX_SHUFFLE_BLOCKS = 1_000_000_000
 

@@ -33,26 +33,28 @@ def rows_per_bucket(spark, name):
 
 
 def test_layout_follows_the_size():
-    assert landing.layout(0, 0) == landing.Layout(1, 1)
+    assert landing.layout(0, 40) == landing.Layout(1, 1)
+    assert landing.layout(8_000_000, 100, bucket_bytes=100_000_000) == landing.Layout(8, 31_250)
+    assert landing.layout(8_000_000, 100, cores=64).buckets == 64  # at least the cores
+    assert landing.layout(30_000, 100, cores=64).buckets == 2  # but no crumbs
     gib = 1 << 30
-    assert landing.layout(8_000_000, gib, bucket_bytes=gib // 8) == landing.Layout(8, 31_250)
-    big = landing.layout(10**12, 100 << 40)
-    assert big.buckets * ((100 << 40) // landing.BUCKET_BYTES) <= landing.MAX_SHUFFLE_BLOCKS
-    assert (100 << 40) / big.buckets < 25 * gib  # no bucket above this at 100 TiB
-    assert landing.layout(100, 10**15, max_buckets=50).buckets == 50
+    big = landing.layout(10**12, 110)
+    assert big.buckets * (110 * 10**12 // landing.BUCKET_BYTES) <= landing.MAX_SHUFFLE_BLOCKS
+    assert 110 * 10**12 / big.buckets < 25 * gib  # no bucket above this at 100 TiB
+    assert landing.layout(10**13, 100, max_buckets=50).buckets == 50
 
 
 def test_hot_account_is_spread(spark, scratch_db):
     t, a, c, b = frames(spark, 4000, 650)
-    transaction, account, plan = landing.land(t, a, f"{scratch_db}.l", bucket_bytes=20_000)
+    transaction, account, plan = landing.land(t, a, f"{scratch_db}.l", bucket_bytes=12_000)
     assert plan.buckets >= 16
     held = rows_per_bucket(spark, f"{scratch_db}.l_transaction")
     # two thirds of the rows are one account's, and no bucket holds twice its share
     assert len(held) == plan.buckets
     assert max(held) <= 2 * sum(held) / plan.buckets
     salts = transaction.where("ACCOUNT_ID = 7").groupBy("ACCOUNT_SALT").count().collect()
-    assert len(salts) == -(-4000 // plan.rows_per_salt)
-    assert max(r["count"] for r in salts) <= 1.2 * plan.rows_per_salt + 8
+    assert len(salts) >= 0.9 * 4000 / plan.rows_per_salt
+    assert max(r["count"] for r in salts) <= 1.2 * plan.rows_per_salt + 8  # one for each file split
     keys = {"account_keys": landing.LANDED_KEYS}
     assert sorted_rows(R.aml_customer_transactions(c, account, transaction, **keys)) == sorted_rows(R.aml_customer_transactions(c, a, t))
     assert sorted_rows(R.branch_summary(transaction, account, b, **keys)) == sorted_rows(R.branch_summary(t, a, b))
@@ -60,7 +62,7 @@ def test_hot_account_is_spread(spark, scratch_db):
 
 def test_fact_side_is_not_shuffled(spark, scratch_db):
     t, a, c, b = frames(spark, 300, 60)
-    transaction, account, plan = landing.land(t, a, f"{scratch_db}.n", bucket_bytes=5_000)
+    transaction, account, plan = landing.land(t, a, f"{scratch_db}.n", bucket_bytes=3_000)
     assert plan.buckets > 1
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -84,7 +86,7 @@ def test_small_and_empty(spark, scratch_db, rows):
 
 def test_one_file_per_bucket(spark, scratch_db):
     t, a, _, _ = frames(spark, 300, 60)
-    _, _, plan = landing.land(t, a, f"{scratch_db}.f", bucket_bytes=5_000)
+    _, _, plan = landing.land(t, a, f"{scratch_db}.f", bucket_bytes=3_000)
     folder = spark.sql(f"DESCRIBE EXTENDED {scratch_db}.f_transaction").where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
     assert len(glob.glob(f"{folder}/part-*.parquet")) <= plan.buckets
     assert T.read_table(spark, f"{scratch_db}.f_transaction").count() == t.count()
