@@ -117,9 +117,23 @@ m AS (
   FROM each
 ), base AS (
   SELECT doc_id, k, kind, a::BIGINT AS a, (a + length(hit))::BIGINT AS b FROM found WHERE k < 3 AND ok
+), runs AS (
+  SELECT row_number() OVER () AS r, doc_id, k, kind, hit, a, regexp_matches(hit, '(?i:example|sample|placeholder|changeme|dummy)|ABCDEFGHIJ|abcdefghij|0123456789') AS worded
+  FROM found WHERE k >= 3 AND ok AND NOT regexp_matches(hit, '^[0-9]+$|^[a-z]+$|^[A-Z]?[a-z]+(?:[-/_][A-Za-z]?[a-z]+)*$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$')
+), pieces AS (
+  SELECT *, regexp_extract_all(hit, '[^+/_=-]*[+/_=-]|[^+/_=-]+') AS parts FROM runs WHERE worded
+), part AS (
+  SELECT r, doc_id, k, kind, a, i, parts[i] AS part, coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0) AS before,
+         regexp_matches(parts[i], '(?i:example|sample|placeholder|changeme|dummy)|ABCDEFGHIJ|abcdefghij|0123456789') AS bad
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM pieces)
+), stretch AS (
+  SELECT doc_id, k, kind, string_agg(part, '' ORDER BY i) AS hit, a + min(before) AS a
+  FROM (SELECT *, count(*) FILTER (bad) OVER (PARTITION BY r ORDER BY i) AS g FROM part) WHERE NOT bad GROUP BY r, doc_id, k, kind, a, g
 ), cand AS (
-  SELECT row_number() OVER () AS c, doc_id, k, kind, hit, a FROM found WHERE k >= 3 AND ok AND NOT regexp_matches(hit,
-    '^[0-9]+$|^[a-z]+$|^[A-Z]?[a-z]+(?:[-/_][A-Za-z]?[a-z]+)*$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i:example|sample|placeholder|changeme|dummy)|ABCDEFGHIJ|abcdefghij|0123456789')
+  SELECT row_number() OVER () AS c, * FROM (
+    SELECT doc_id, k, kind, hit, a FROM runs WHERE NOT worded
+    UNION ALL SELECT doc_id, k, kind, hit, a FROM stretch WHERE length(hit) >= 20
+      AND NOT regexp_matches(trim(hit, '+/_=-'), '^[0-9]+$|^[a-z]+$|^[A-Z]?[a-z]+(?:[-/_][A-Za-z]?[a-z]+)*$|^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$'))
 ), win AS (
   SELECT c, doc_id, k, kind, a, unnest(range(0, length(hit) - 19)) AS i, hit FROM cand
 ), chars AS (
@@ -128,7 +142,7 @@ m AS (
   SELECT c, doc_id, k, kind, a, i, ch, count(*) AS n FROM chars GROUP BY ALL
 ), hot AS (
   SELECT c, doc_id, k, kind, a, i FROM counted GROUP BY ALL
-  HAVING sum(round(n * log2(n) * 1e6)) <= floor(20 * (log2(20) - CASE k WHEN 3 THEN 3.05::DOUBLE ELSE 3.85::DOUBLE END) * 1e6)
+  HAVING sum(round(n * log2(n) * 1e6)) <= floor(20 * (log2(20) - CASE k WHEN 3 THEN 3.05::DOUBLE ELSE 3.64::DOUBLE END) * 1e6)
 ), marked AS (
   SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY c ORDER BY i) + 20 THEN 0 ELSE 1 END AS fresh FROM hot
 ), isles AS (

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -322,6 +323,38 @@ def test_secrets_are_masked(spark):
         assert r.n_chars == (len(r.text) if spans(t)[1] else 0)
 
 
+def test_very_long_text_is_scanned_and_masked(spark):
+    """Some MB with tens of thousands of matches, overlapping ones and ones that cross blocks."""
+    rnd = random.Random(8)
+    some = lambda n, a: "".join(rnd.choice(a) for _ in range(n))
+    piece = lambda: rnd.choice([f"password={some(14, 'abXY09')}", some(20, "0123456789abcdef"), f"token: AKIA{some(16, 'ABC123')}", "word " * 9, "é𝄞字 "])
+    t = " ".join(piece() for _ in range(60_000)) + " " + "f00d" * 3000 + "".join(f" sample_{some(24, 'abcdefXYZ012')}" for _ in range(200))
+    assert len(t) > 1_500_000
+    df = spark.createDataFrame([(1, t)], "doc_id long, text string")
+    start = time.monotonic()
+    row = secret_scan.scan(df).select("base", "spans").first()
+    base, _ = spans(t, width=len(t))  # the windows' part is compared below
+    assert [tuple(x) for x in row.base] == base and len(base) > 30_000
+    want, at = [], 0
+    for x in row.spans:
+        if x.start >= at:
+            want += [t[at : x.start], secret_scan.MASK]
+        at = max(at, x.end)
+    assert secret_scan.mask(df).first().text == "".join(want) + t[at:]
+    assert time.monotonic() - start < 240
+
+
+def test_running_combinations(spark):
+    rnd = random.Random(2)
+    rows = [([],), *(([rnd.randrange(100) for _ in range(n)],) for n in (1, 2, 255, 256, 257, 700))]
+    df = spark.createDataFrame(rows, "v array<int>")
+    sums = secret_scan.running(F.col("v"), F.lit(0), lambda a, x: a + x)
+    most = secret_scan.running(F.col("v"), F.lit(0), lambda a, x: F.greatest(a, x), chunk=7)
+    for v, s, m in df.select("v", sums, most).collect():
+        assert s == [sum(v[:i]) for i in range(len(v))]
+        assert m == [max(v[:i], default=0) for i in range(len(v))]
+
+
 # sharding
 
 
