@@ -34,10 +34,14 @@ w AS (
   SELECT doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM t
+), tokens AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w
 ), starts AS (
-  SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8
+  SELECT doc_id, i, lead(x, 7) OVER o IS NOT NULL AS whole, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o,
+         lead(x, 4) OVER o, lead(x, 5) OVER o, lead(x, 6) OVER o, lead(x, 7) OVER o) AS win
+  FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), wins AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM starts
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM starts WHERE whole
 ), reps AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM wins WHERE n > 1) GROUP BY doc_id
@@ -58,23 +62,29 @@ w AS (
 ), trials AS (
   SELECT lang, text, min(quality) > 0 AS good, max(symbols) AS symbols, max(capitals) AS capitals, max(repeats) AS repeats, max(lines) AS lines
   FROM scored JOIN labelled USING (doc_id) WHERE NOT base_failed GROUP BY lang, text
-), long AS (
-  SELECT lang, good, 'symbols' AS rule, symbols AS score FROM trials UNION ALL SELECT lang, good, 'capitals', capitals FROM trials
-  UNION ALL SELECT lang, good, 'repeats', repeats FROM trials UNION ALL SELECT lang, good, 'lines', lines FROM trials
+), placed AS (
+  SELECT lang, good, 10 * len(list_filter(range(10, 1001, 10), lambda t: t * t * t // 1000000 < symbols)) AS symbols,
+         10 * len(list_filter(range(10, 1001, 10), lambda t: t * t // 1000 < capitals)) AS capitals,
+         10 * len(list_filter(range(10, 1001, 10), lambda t: t < repeats)) AS repeats, 10 * len(list_filter(range(10, 1001, 10), lambda t: t < lines)) AS lines
+  FROM trials
 ), tested AS (
-  SELECT lang, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND score > cutoff) AS k,
-         count(*) FILTER (NOT good AND score > cutoff) AS bad, (SELECT count(*) FROM (SELECT DISTINCT lang FROM trials)) AS strata
-  FROM long, (SELECT unnest(range(10, 1001, 10)) AS cutoff) GROUP BY lang, rule, cutoff
+  SELECT lang, step, count(*) FILTER (good) AS n, count(*) FILTER (good AND greatest(symbols, capitals, repeats, lines) >= step) AS k,
+         count(*) FILTER (NOT good AND greatest(symbols, capitals, repeats, lines) >= step) AS bad, (SELECT count(*) FROM (SELECT DISTINCT lang FROM trials)) AS strata
+  FROM placed, (SELECT unnest(range(10, 1001, 10)) AS step) GROUP BY lang, step
 ), passed AS (
-  SELECT lang, rule, cutoff, bad FROM tested
-  WHERE bad > 0 AND k < n * 0.005::DOUBLE
+  SELECT lang, step, bad FROM tested
+  WHERE bad > 0 AND k < n * 0.02::DOUBLE
     AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-                 + i * ln(0.005::DOUBLE) + (n - i) * ln(0.995::DOUBLE)))) <= 0.05::DOUBLE / (4 * strata)
+                 + i * ln(0.02::DOUBLE) + (n - i) * ln(0.98::DOUBLE)))) <= 0.05::DOUBLE / strata
+), best AS (
+  SELECT lang, (max({'bad': bad, 'step': step})).step AS step FROM passed GROUP BY lang
 ), cuts AS (
-  SELECT lang, rule, (max({'bad': bad, 'cutoff': cutoff})).cutoff AS cutoff FROM passed GROUP BY lang, rule
+  SELECT p.lang, (min(symbols) FILTER (symbols >= step) ** 3)::BIGINT // 1000000 AS symbols, (min(capitals) FILTER (capitals >= step) ** 2)::BIGINT // 1000 AS capitals,
+         min(repeats) FILTER (repeats >= step) AS repeats, min(lines) FILTER (lines >= step) AS lines
+  FROM placed p JOIN best b ON p.lang IS NOT DISTINCT FROM b.lang WHERE NOT good GROUP BY p.lang
 ), rejected AS (
   SELECT DISTINCT doc_id FROM scored s JOIN cuts c ON s.lang IS NOT DISTINCT FROM c.lang
-    AND CASE c.rule WHEN 'symbols' THEN symbols WHEN 'capitals' THEN capitals WHEN 'repeats' THEN repeats ELSE lines END > c.cutoff
+  WHERE s.symbols > c.symbols OR s.capitals > c.capitals OR s.repeats > c.repeats OR s.lines > c.lines
 )
 SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND r.doc_id IS NULL AS kept
