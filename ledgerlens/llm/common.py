@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ledgerlens.session import checkpoint_dir
 
@@ -47,9 +48,12 @@ def words(text: Column) -> Column:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where
-    none is set (local tests)."""
+    """The cluster's ``spark.checkpoint.dir``.  Where none is set a local session
+    takes a folder of its own; on a cluster, whose executors could not read
+    that, this raises."""
     if checkpoint_dir(spark) is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     return checkpoint_dir(spark)
 
@@ -75,3 +79,21 @@ def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     it is (a shuffle join, which AQE splits on hot keys).  ``df`` should be
     durable, or it is computed twice.  Meant for narrow rows."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], out: str, value: str | None = None) -> DataFrame:
+    """``df`` (written already) with each row's number from 0 within ``group``, in
+    the order of ``order``; with ``value`` the sum of that column over the rows
+    before it instead.  Groups must not be null, and ``order`` should leave no
+    ties.  Rows are ranged over partitions once; a partition's total of a group
+    and the totals before it place the rows without a window over a whole group."""
+    ranged = df.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id())
+    ranged = durable_table(ranged)
+    each = F.lit(1).cast("long") if value is None else F.col(value)
+    held = ranged.groupBy(*group, "part").agg(F.sum(each).alias("held"))
+    # at most one row per partition in each window
+    before = F.sum("held").over(W.partitionBy(*group).orderBy("part")) - F.col("held")
+    held = durable_table(held.select(*group, "part", before.alias("before")))
+    within = F.sum(each).over(W.partitionBy(*group, "part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - each
+    placed = ranged.withColumn("within", within).join(small(held), [*group, "part"])
+    return placed.withColumn(out, F.col("before") + F.col("within")).drop("part", "within", "before")

@@ -38,9 +38,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from ledgerlens.llm.common import durable_table, small
+from ledgerlens.llm.common import durable_table, numbered, small
 
 FAN = 16
 CELL = 256  # leaves; a power of FAN
@@ -68,22 +67,6 @@ def fold(run: Column) -> Column:
     return F.unhex(F.sha2(hex_text(run), 256))
 
 
-def numbered(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """``df`` (written already) with its rows' numbers from 0 within ``group``,
-    which must not be null, in the order of ``order``.  Rows are ranged over
-    partitions once; a partition's count of a group and the counts before it
-    number the rows without a window over a whole group."""
-    ranged = df.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id())
-    ranged = durable_table(ranged)
-    held = ranged.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("rows"))
-    # at most one row per partition in each window
-    before = F.sum("rows").over(W.partitionBy(*group).orderBy("part")) - F.col("rows")
-    held = durable_table(held.select(*group, "part", before.alias("before")))
-    within = F.row_number().over(W.partitionBy(*group, "part").orderBy(*order))
-    placed = ranged.withColumn("within", within).join(small(held), [*group, "part"])
-    return placed.withColumn(out, F.col("before") + F.col("within") - 1).drop("part", "within", "before")
-
-
 def levels(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From nodes (g, n, size, digest), n from 0 within g and size the nodes of g:
     the parents of all levels (g, level, n, run) and the last node of each g

@@ -2,33 +2,36 @@
 
 The mix is made of equal blocks of ``BLOCK`` words.  A source's target is its
 weight's share of ``SHARE`` times all words, at most ``REPEAT`` times its own
-words, the excess reshared by weight until no target is above.  The blocks are
-seats, the targets votes: seats go to the highest quotients target / (2k + 1).
-Sainte-Lague never takes a seat back as seats are added, so the first seats
-make the first shard of the mix, the next the second, and each shard has whole
-quotas of its own while the sum stays the overall apportionment.
-
-A source's quota after n seats differs from its exact share by at most
-1/2 + share * sources / 2, so only the quotients in that range are ranked: a
-few rows per source, however many blocks there are.
-
-The seed orders each source's documents at random (MD5 of seed and doc_id).
-Laid end to end in that order they form a ring of words, of which the source's
-blocks, however many, take consecutive stretches: a document is taken as often
-as the blocks go over it, whole but for the one where the last block ends.  Each
-shard's quota owns the next stretch of the way round, so every word taken
-belongs to one shard.
-Positions in a ring are running sums in two steps (buckets of the order, then
-inside a bucket), so a source with a third of all rows is spread over many
-tasks.
+words, the excess reshared by weight until no target is above.  A target is so
+many whole blocks and a rest, which is one last, partial block, so every source
+is taken to the whole words of its target.  The blocks are seats, the targets
+votes: seats go to the highest quotients target / (2k + 1), and a source whose
+blocks are all given hands on what would be its next seat.  Sainte-Lague never
+takes a seat back as seats are added, so the first seats make the first shard of
+the mix, the next the second, and each shard has whole quotas of its own.
+Partial blocks go round the shards by the source's place.
+
+Without limits a source's quota after n seats differs from its exact share by
+at most 1/2 + share * sources / 2, and a limit hands on at most one seat, so only
+the quotients in that range are ranked: a few rows per source, however many
+blocks there are.
+
+The seed orders each source's documents at random (MD5 of seed, doc_id and
+text).  Laid end to end in that order they form a ring of words, of which the
+source's blocks, however many, take consecutive stretches: a document is taken
+as often as the blocks go over it, whole but for the one where the last block
+ends.  Each shard's quota owns the next stretch of the way round, so every word
+taken belongs to one shard.  Positions in a ring are running sums over ranged
+partitions of light rows (``numbered``), and the texts are joined to them by a
+row number that was written with both: a source with a third of all rows, or a
+third of all rows being equal, is spread over many tasks.
 
 Defined results: null and wordless texts have size 0, are taken 0 times and
-left out of the mixed corpus; a null source is a source, last in order; a
-source whose ``REPEAT`` copies fill no block has its target, in whole words, as one
-partial block, such blocks going round the shards by the source's place; any
-other quota is whole blocks and never exceeds ``REPEAT`` times the source;
-repeated rows each have their place in the ring;
-null ids are ordered as one id; an empty table gives an empty result.
+left out of the mixed corpus; a null source is a source, last in order; a source
+takes nothing only where its target is under one word; repeated rows each have
+their place in the ring, next to each other; a very long text is one document,
+cut at a word where the last block ends in it; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlens.llm.common import durable, small, text_of, words
+from ledgerlens.llm.common import durable, durable_table, numbered, small, text_of, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -45,13 +48,12 @@ REPEAT = 2
 BLOCK = 64
 SHARDS = 16
 SEED = 17
-BUCKET_ROWS = 20_000
 
 
-def order_key(doc_id: Column, seed: int = SEED) -> Column:
+def order_key(doc_id: Column, text: Column, seed: int = SEED) -> Column:
     """60 random bits of the document."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(text))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame, share: float = SHARE, repeat: int = REPEAT) -> DataFrame:
@@ -75,79 +77,75 @@ def targets(sources: DataFrame, share: float = SHARE, repeat: int = REPEAT) -> D
     return df.select("s", "s_null", "source_size", "pos", "weight", target.alias("target"))
 
 
-def quotas(sources: DataFrame, share: float = SHARE, repeat: int = REPEAT, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """One row per source and shard of the mix (shard from 1): ``upto``, the
-    blocks the source has in this and all earlier shards."""
-    voted = targets(sources, share, repeat)
+def quotas(voted: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
+    """One row per source of ``targets`` with a whole block, and shard of the mix
+    (shard from 1): ``upto``, the blocks the source has in this and all earlier
+    shards."""
     every = W.partitionBy()
-    df = voted.where("target > 0").withColumn("votes", min(share, repeat) * F.sum("source_size").over(every)).withColumn("n", F.count(F.lit(1)).over(every))
-    df = df.withColumn("seats", F.floor(F.col("votes") / block)).select("*", F.explode(F.sequence(F.lit(1), F.lit(shards))).alias("shard"))
+    df = voted.withColumn("limit", F.floor(F.col("target") / block)).where("limit > 0")
+    df = df.withColumn("votes", F.sum("target").over(every)).withColumn("n", F.count(F.lit(1)).over(every)).withColumn("seats", F.sum("limit").over(every))
+    df = df.select("*", F.explode(F.sequence(F.lit(1), F.lit(shards))).alias("shard"))
     df = df.withColumn("seats", F.expr(f"seats * shard div {shards}")).withColumn("portion", F.col("target") / F.col("votes"))
     exact, off = F.col("portion") * F.col("seats"), F.col("portion") * (F.col("n") / 2 + 1) + 1
-    df = df.withColumn("low", F.greatest(F.floor(exact - off), F.lit(0).cast("long"))).withColumn("high", F.ceil(exact + off))
+    handed_on = F.col("portion") * F.col("n") + 1
+    df = df.withColumn("low", F.least(F.greatest(F.floor(exact - off), F.lit(0).cast("long")), "limit"))
+    df = df.withColumn("high", F.least(F.ceil(exact + off + handed_on), F.col("limit") - 1))
     df = df.withColumn("open", F.col("seats") - F.sum("low").over(W.partitionBy("shard")))
-    ranked = df.select("*", F.explode(F.sequence("low", F.col("high"))).alias("k"))
-    rank = F.row_number().over(W.partitionBy("shard").orderBy((F.col("target") / (2 * F.col("k") + 1)).desc(), "pos"))
+    seats = F.when(F.col("low") <= F.col("high"), F.sequence("low", "high")).otherwise(F.array().cast("array<bigint>"))
+    ranked = df.select("*", F.explode_outer(seats).alias("k"))
+    quotient = F.col("target") / (2 * F.col("k") + 1)
+    rank = F.row_number().over(W.partitionBy("shard").orderBy(quotient.desc_nulls_last(), "pos"))
     ranked = ranked.withColumn("rank", rank)
-    got = ranked.groupBy("s", "s_null", "shard").agg(
-        (F.min("low") + F.count_if(F.col("rank") <= F.col("open"))).alias("upto"), F.max("source_size").alias("source_size")
-    )
-    most = F.expr(f"{repeat} * source_size div {block}")
-    return got.select("s", "s_null", "shard", F.least("upto", most).alias("upto"))
+    return ranked.groupBy("s", "s_null", "shard").agg((F.min("low") + F.count_if(F.col("k").isNotNull() & (F.col("rank") <= F.col("open")))).alias("upto"))
 
 
-def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, seed: int = SEED, share: float = SHARE, repeat: int = REPEAT, bucket_rows: int = BUCKET_ROWS, shards: int = SHARDS) -> DataFrame:
+def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, seed: int = SEED, share: float = SHARE, repeat: int = REPEAT, shards: int = SHARDS) -> DataFrame:
     """One row per row of ``docs``: the struct ``row`` of the columns ``carry``
     (default: all), size, source_size, target, whole (times the document is
     taken in full), part (words from its start that are taken once more) and
     shards, an array of (shard, words): how many of the words taken, in the
     order of the way round, go to which shard."""
-    df = docs.select(
-        F.struct(*(docs.columns if carry is None else carry)).alias("row"),
-        F.coalesce("source", F.lit("")).alias("s"),
-        F.col("source").isNull().alias("s_null"),
-        F.col("doc_id").alias("id"),
-        order_key(F.col("doc_id"), seed).alias("o"),
-        F.size(words(text_of("text"))).cast("long").alias("size"),
+    text = text_of("text")
+    full = durable_table(
+        docs.select(
+            F.struct(*(docs.columns if carry is None else carry)).alias("row"),
+            F.coalesce("source", F.lit("")).alias("s"),
+            F.col("source").isNull().alias("s_null"),
+            order_key(F.col("doc_id"), text, seed).alias("o"),
+            F.size(words(text)).cast("long").alias("size"),
+            F.monotonically_increasing_id().alias("tie"),
+        )
     )
-    light = durable(df.select("s", "s_null", "id", "o", "size"))
-    sources = durable(light.groupBy("s", "s_null").agg(F.sum("size").alias("source_size")))
-    upto = quotas(sources, share, repeat, block, shards).groupBy("s", "s_null").agg(
-        F.max("upto").alias("blocks"), F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("each")
-    )  # as many as shards
-    plan = targets(sources, share, repeat).join(upto, ["s", "s_null"], "left")
-    tiny = F.lit(repeat) * F.col("source_size") < block
-    plan = plan.withColumn("taken", F.when(tiny, F.floor("target")).otherwise(F.coalesce("blocks", F.lit(0).cast("long")) * block))
-    shard = F.expr(f"cast((pos - 1) % {shards} + 1 AS int)")
-    each = F.transform("each", lambda x: F.struct(x["shard"].alias("shard"), (x["upto"] * block).alias("end")))
-    one = F.array(F.struct(shard.alias("shard"), F.col("taken").alias("end")))
+    sources = durable(full.groupBy("s", "s_null").agg(F.sum("size").alias("source_size")))
+    voted = durable(targets(sources, share, repeat))
+    # as many as shards
+    upto = quotas(voted, block, shards).groupBy("s", "s_null").agg(F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("each"))
+    none = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda j: F.struct(j.alias("shard"), F.lit(0).cast("long").alias("upto")))
+    plan = voted.join(upto, ["s", "s_null"], "left").withColumn("each", F.coalesce("each", none)).withColumn("taken", F.floor("target"))
+    # the partial block's shard, and the words up to the end of each shard
+    own = F.expr(f"(pos - 1) % {shards} + 1")
+    rest = F.expr(f"taken % {block}")
+    ends = F.transform("each", lambda x: F.struct(x["shard"].alias("shard"), (x["upto"] * block + F.when(x["shard"] >= own, rest).otherwise(0)).alias("end")))
     plan = plan.select(
         "s", "s_null", "source_size", "target",
         F.expr("coalesce(taken div nullif(source_size, 0), 0L)").alias("whole"),
         F.expr("coalesce(taken % nullif(source_size, 0), 0L)").alias("rest"),
-        F.when(tiny, one).otherwise(each).alias("ends"),
+        ends.alias("ends"),
     )
     plan = small(durable(plan))
 
-    # the order's leading bits are the bucket, so buckets follow one another
-    bits = max(0, min(16, (light.count() // bucket_rows).bit_length()))
-    bucket = F.shiftright("o", 60 - bits)
-    sums = light.withColumn("bucket", bucket).groupBy("s", "s_null", "bucket").agg(F.sum("size").alias("held"))
-    earlier = F.sum("held").over(W.partitionBy("s", "s_null").orderBy("bucket")) - F.col("held")
-    sums = sums.select("s", "s_null", "bucket", earlier.alias("earlier"))
-    inside = W.partitionBy("s", "s_null", "bucket").orderBy("o", "id", "size").rowsBetween(W.unboundedPreceding, 0)
-    df = df.withColumn("bucket", bucket).withColumn("inside", F.sum("size").over(inside) - F.col("size"))
-    df = df.join(sums, ["s", "s_null", "bucket"]).join(plan, ["s", "s_null"])
-    at = F.col("earlier") + F.col("inside")
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - at))
-    zero = F.lit(0).cast("long")
+    light = numbered(full.select("s", "s_null", "o", "size", "tie"), ["s_null", "s"], ["o", "tie"], "at", value="size")
+    df = light.join(plan, ["s", "s_null"])
+    at, zero = F.col("at"), F.lit(0).cast("long")
+    part = F.greatest(zero, F.least(F.col("size"), F.col("rest") - at))
     # the words of the document on the first x words of the way round
     on = lambda x: F.coalesce(
         F.call_function("div", x, F.nullif("source_size", zero)) * F.col("size") + F.greatest(zero, F.least(F.col("size"), F.pmod(x, F.nullif("source_size", zero)) - at)), zero
     )
-    owned = F.transform("ends", lambda e, i: F.struct(e["shard"].alias("shard"), (on(e["end"]) - on(F.when(i > 0, F.get("ends", i - 1)["end"]).otherwise(zero))).alias("words")))
+    owned = F.transform("ends", lambda e, i: F.struct(e["shard"].cast("int").alias("shard"), (on(e["end"]) - on(F.when(i > 0, F.get("ends", i - 1)["end"]).otherwise(zero))).alias("words")))
     owned = F.coalesce(F.filter(owned, lambda x: x["words"] > 0), F.array().cast("array<struct<shard:int,words:bigint>>"))
-    return df.select("row", "size", "source_size", "target", "whole", part.alias("part"), owned.alias("shards"))
+    df = df.select("tie", "source_size", "target", "whole", part.alias("part"), owned.alias("shards"))
+    return full.select("row", "size", "tie").join(df, "tie").select("row", "size", "source_size", "target", "whole", "part", "shards")
 
 
 def mixed_corpus(docs: DataFrame, **settings) -> DataFrame:

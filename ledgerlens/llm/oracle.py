@@ -198,7 +198,7 @@ FROM s JOIN placed p ON s.h = p.h AND coalesce(s.doc_id, -9223372036854775808) =
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS o
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS o
   FROM documents
 ), s AS (
   SELECT source, source_size, pos, [5, 2, 1][(pos - 1) % 3 + 1] AS weight
@@ -212,16 +212,10 @@ WITH d AS (
   SELECT level FROM l WHERE level <= reach ORDER BY reach, pos LIMIT 1
 ), t AS (
   SELECT source, source_size, pos, total, least(weight * coalesce((SELECT level FROM chosen), 0), cap::DOUBLE) AS target FROM l
-), seats AS (
-  SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, pos) <= floor(total / 64) AS won
-  FROM (SELECT source, pos, target, total, unnest(range(0, (2 * source_size // 64 + 3)::BIGINT)) AS k FROM t WHERE target > 0)
-), q AS (
-  SELECT source, count(*) FILTER (won) AS blocks FROM seats GROUP BY source
 ), plan AS (
-  SELECT t.source, source_size, target, least(coalesce(blocks, 0), 2 * source_size // 64) * 64 AS words
-  FROM t LEFT JOIN q ON t.source IS NOT DISTINCT FROM q.source
+  SELECT source, source_size, target, floor(target)::BIGINT AS words FROM t
 ), ring AS (
-  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS place FROM d
+  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY o ROWS UNBOUNDED PRECEDING) - size AS place FROM d
 )
 SELECT doc_id, size, source_size, target,
        (size * coalesce(words // nullif(source_size, 0), 0)

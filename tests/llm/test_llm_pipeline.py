@@ -1,10 +1,9 @@
 """The whole pipeline against a brute-force version of its stages."""
 
-import hashlib
 from collections import Counter
 
 import numpy as np
-from test_llm_documents import counts, groups, spans, words
+from test_llm_documents import counts, groups, ring_key, spans, words
 
 import corpus_pipeline
 from ledgerlens.llm import mixing, quality_rules, secret_scan, sentencepiece_codec
@@ -38,13 +37,10 @@ def mixed(rows):
             target |= {s: weight[s] * level for s in rest}
             break
         target |= {s: 2.0 * size[s] for s in over}
-    seats = int(total // mixing.BLOCK)
-    quotients = sorted((-target[s] / (2 * k + 1), i, s) for i, s in enumerate(order) for k in range(2 * size[s] // mixing.BLOCK + 3))
-    quota = Counter(s for _, _, s in quotients[:seats])
     out = []
     for s in order:
-        taken = min(quota[s], 2 * size[s] // mixing.BLOCK) * mixing.BLOCK
-        ring = sorted((int(hashlib.md5(f"{mixing.SEED}:{d}".encode()).hexdigest()[:15], 16), d, t) for d, source, t in rows if source == s)
+        taken = int(target[s])
+        ring = sorted((ring_key(d, t), d, t) for d, source, t in rows if source == s)
         at = 0
         for _, d, t in ring:
             n = len(words(t))
