@@ -18,8 +18,10 @@ strings are merged by a partial aggregate to the smallest doc_id that holds
 them.  A string in any other document goes as a whole, without a look into it.
 In that first document it can only meet other strings of its minimiser, and
 only if one of them has another first document: these strings alone are packed
-and shuffled, once each, however many copies the corpus has.  The documents
-are shuffled once by id; packing and the final removal both read that exchange.
+and shuffled, once each, however many copies the corpus has and however often
+the document itself repeats them; what a string loses is then joined back to all
+its places in that document.  The documents are shuffled once by id; packing and
+the final removal both read that exchange.
 
 Buckets are bounded.  A minimiser with more than ``HOT`` different strings (a
 passage in a large share of all documents, each time among other words) is
@@ -142,17 +144,17 @@ def _digest_rows(window: int):
             out = []
             for d, h, w, spans in _spans(batch):
                 for s, n, _ in spans:
-                    out += [(xxhash.xxh3_128_digest(b" ".join(w[i : i + window])), d, h, i) for i in range(s, s + n)]
+                    out += [(xxhash.xxh3_128_digest(b" ".join(w[i : i + window])), d, h, s, i - s) for i in range(s, s + n)]
                 if len(out) > 1 << 14:
-                    yield pd.DataFrame(out, columns=["digest", "doc_id", "th", "start"])
+                    yield pd.DataFrame(out, columns=["digest", "doc_id", "th", "start", "a"])
                     out = []
-            yield pd.DataFrame(out, columns=["digest", "doc_id", "th", "start"])
+            yield pd.DataFrame(out, columns=["digest", "doc_id", "th", "start", "a"])
 
     return rows
 
 
-def _bucket(rows: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """Of the packed strings of one minimiser: the word spans to remove."""
+def _bucket(rows: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """Of the packed strings of one minimiser: the strings and the word spans in them to remove."""
     if min(r[0] for r in rows) == max(r[0] for r in rows):
         return
     windows = []
@@ -176,10 +178,10 @@ def _bucket(rows: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tu
         a = b = found[0]
         for i in found[1:]:
             if i > b + 1:
-                yield doc, th, start + a, start + b + window
+                yield doc, th, start, a, b + window
                 a = i
             b = i
-        yield doc, th, start + a, start + b + window
+        yield doc, th, start, a, b + window
 
 
 def _bucket_rows(window: int):
@@ -195,9 +197,9 @@ def _bucket_rows(window: int):
                         out += _bucket(held, window)
                     key, held = mh, []
                 held.append(tuple(row))
-            yield pd.DataFrame(out, columns=["doc_id", "th", "start", "end"])
+            yield pd.DataFrame(out, columns=["doc_id", "th", "start", "a", "b"])
         if held:
-            yield pd.DataFrame(list(_bucket(held, window)), columns=["doc_id", "th", "start", "end"])
+            yield pd.DataFrame(list(_bucket(held, window)), columns=["doc_id", "th", "start", "a", "b"])
 
     return rows
 
@@ -216,22 +218,28 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot: i
     first = first.join(shared.where("a < b").select("mh", "strings"), "mh", "left")
     met = found.join(first, string).where("doc_id > lo OR strings IS NOT NULL")
     start, n = F.expr("cast(shiftright(at, 8) AS int)").alias("start"), F.expr("cast(at & 255 AS int)").alias("n")
-    met = durable_table(met.select("mh", "doc_id", "th", start, n, "lo", "strings"))
+    met = durable_table(met.select(*string, "doc_id", "th", start, n, "lo", "strings"))
     whole = met.where("doc_id > lo").select("doc_id", "th", "start", (F.col("start") + F.col("n") + (window - 1)).alias("end"))
-    spans = met.where("doc_id = lo").groupBy("doc_id", "th", (F.col("strings") > hot).alias("hot"))
-    spans = durable_table(spans.agg(F.collect_set(F.struct("start", "n", "mh")).alias("spans")))
+    # one place of each string in its first document stands for all
+    places = met.where("doc_id = lo")
+    one = places.groupBy(*string).agg(F.min(F.struct("th", "start", "n")).alias("one"), F.min("doc_id").alias("doc_id"), F.max("strings").alias("strings"))
+    one = durable_table(one.select(*string, "doc_id", "one.th", "one.start", "one.n", "strings"))
+    spans = one.groupBy("doc_id", "th", (F.col("strings") > hot).alias("hot"))
+    spans = durable_table(spans.agg(F.collect_list(F.struct("start", "n", "mh")).alias("spans")))
     usual = docs.join(spans.where("NOT hot"), ["doc_id", "th"])
     packed = usual.mapInPandas(_packed_rows(window), "mh long, doc_id long, th long, start int, packed binary")
-    out = packed.repartition("mh").sortWithinPartitions("mh").mapInPandas(_bucket_rows(window), "doc_id long, th long, start int, end int")
-    out = out.union(whole)
+    lost = packed.repartition("mh").sortWithinPartitions("mh").mapInPandas(_bucket_rows(window), "doc_id long, th long, start int, a int, b int")
     if not spans.where("hot").isEmpty():
         crowded = docs.join(spans.where("hot"), ["doc_id", "th"])
         # not cut off from the plan, so that it reads the same exchange of the texts
-        each = crowded.mapInPandas(_digest_rows(window), "digest binary, doc_id long, th long, start int")
+        each = crowded.mapInPandas(_digest_rows(window), "digest binary, doc_id long, th long, start int, a int")
         least = each.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("digest", "lo")
-        more = each.join(least, "digest").where("doc_id > lo").select("doc_id", "th", "start", (F.col("start") + window).alias("end"))
-        out = out.union(more)
-    return out
+        more = each.join(least, "digest").where("doc_id > lo").select("doc_id", "th", "start", "a", (F.col("a") + window).alias("b"))
+        lost = lost.union(more)
+    back = one.select(*string, F.col("doc_id").alias("d"), F.col("th").alias("h"), F.col("start").alias("at"))
+    lost = lost.join(back, (F.col("doc_id") == F.col("d")) & (F.col("th") == F.col("h")) & (F.col("start") == F.col("at"))).select(*string, "a", "b")
+    out = places.join(lost, string).select("doc_id", "th", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end"))
+    return out.union(whole)
 
 
 def _removed_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -136,6 +136,19 @@ def dedup(rows, k):
     return sorted(out, key=lambda r: tuple((v is None, v) for v in r))
 
 
+def test_one_place_of_a_string_goes_to_its_bucket(spark, monkeypatch):
+    """A document repeats one passage thousands of times, another one holds it once more."""
+    rnd = random.Random(9)
+    passage = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(70))
+    more = lambda n: " ".join(f"x{rnd.randrange(10**6)}" for _ in range(n))
+    rows = [(5, f"{passage} " * 3000), (2, f"{more(30)} {passage[:-3]} {more(30)}"), (9, f"{more(9)} {passage} {more(9)}"), (5, f"{more(3)} {passage}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [tuple(r) for r in substring_dedup.substring_dedup(df).collect()]
+    assert sorted(got) == dedup(rows, 50)
+    rows = [(d, i, i, p) for i, (d, p) in enumerate([(1, b"a b c"), (2, b"z a b c"), (2, b"b c d")])]
+    assert sorted(substring_dedup._bucket(rows, 2)) == [(2, 1, 1, 1, 4), (2, 2, 2, 0, 2)]
+
+
 @pytest.mark.parametrize("hot", [substring_dedup.HOT, 0])
 def test_substring_dedup(docs, hot):
     want = dedup([(r[0], r[1]) for r in awkward()], 50)
