@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,13 +68,45 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def write_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, and its path."""
+    path = f"{_shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``write_table``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def durable_table(df: DataFrame) -> DataFrame:
     """As ``durable``, written as a Parquet table, which is a fraction of a
     checkpoint's size.  The table stays in the shared folder, as other files
-    of the job there do, until the folder is cleared."""
-    path = f"{_shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    of the job there do, until the folder is cleared or the block of
+    ``dropping`` ends in which it was made."""
+    table, path = write_table(df)
+    if _made.get() is not None:
+        _made.get().append(path)
+    return table
+
+
+@contextmanager
+def dropping(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that operators write in this block when it ends; what
+    is needed of them must have been written elsewhere by then."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get()
+        _made.reset(token)
+        for path in made:
+            drop_table(spark, path)
 
 
 def small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:

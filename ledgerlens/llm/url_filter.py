@@ -13,15 +13,16 @@ literal counts as a rule's token only where the rule itself delimits it on
 both sides, so a match always contains it as a whole token.
 
 All work is on the distinct urls: a url on a third of all pages is one row.
-The rules are a small table; Spark broadcasts it if its size allows and joins
-by token otherwise.  The verdicts go back to the pages by a join on the url,
+The rules are a table of their own, given as one for long lists; Spark broadcasts
+it if its size allows and joins by token otherwise.  Only rules without a token
+(``MAX_TOKENLESS`` at most) become literals of the plan.  The verdicts go back to the pages by a join on the url,
 whose hot keys AQE splits.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path; nothing matches it and it is allowed, as is every url that no rule
 matches.  Repeated rows and null page ids each keep their row; an empty table
 gives an empty result; with no rules every url is allowed.  Other columns are
-ignored.
+ignored; a very long url is matched whole.
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import text_of
 
 TOKEN = "[a-z0-9]+"
+MAX_TOKENLESS = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -107,16 +109,30 @@ def rule_array(rules: tuple[Rule, ...]) -> Column:
     return rows.cast(schema)
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = HOST_RULES + PATTERNS, url: str = "url", id_col: str = "page_id") -> DataFrame:
+def rule_table(spark: SparkSession, rules: tuple[Rule, ...] | DataFrame) -> tuple[DataFrame, Column]:
+    """The rules with a token as a table, one row per rule and token, and the
+    others as a literal array."""
+    columns = ("name", "action", "regex", "is_host")
+    if not isinstance(rules, DataFrame):
+        table = spark.range(1).select(F.inline(rule_array(tuple(r for r in rules if r.tokens))))
+        return table.select(*columns, F.explode("tokens").alias("token")), rule_array(tuple(r for r in rules if not r.tokens))
+    free = rules.where("tokens IS NULL OR size(tokens) = 0").select(*columns).limit(MAX_TOKENLESS + 1).collect()
+    if len(free) > MAX_TOKENLESS:
+        raise ValueError(f"more than {MAX_TOKENLESS} rules without a literal token would each meet every url")
+    return rules.select(*columns, F.explode("tokens").alias("token")), rule_array(tuple(Rule(r.name, r.action, r.regex, (), r.is_host) for r in free))
+
+
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = HOST_RULES + PATTERNS, url: str = "url", id_col: str = "page_id") -> DataFrame:
     """One row per row of ``pages``: the id, host, path, rule (of a host rule,
-    else null), verdict, and pattern (the name of the pattern that decided)."""
+    else null), verdict, and pattern (the name of the pattern that decided).
+    ``rules`` may be a DataFrame of a rule's fields (name, action, regex, tokens
+    array, is_host)."""
     urls = pages.where(F.col(url).isNotNull()).select(F.col(url).alias("url")).distinct()
     urls = urls.select("url", F.concat(host(F.col("url")), path(F.col("url"))).alias("subject"))
     tokens = F.array_distinct(F.regexp_extract_all(F.translate("subject", UPPER, LOWER), F.lit(TOKEN), 0))
     held = urls.select("url", "subject", F.explode(tokens).alias("token"))
 
-    literal = pages.sparkSession.range(1).select(F.inline(rule_array(tuple(r for r in rules if r.tokens))))
-    literal = literal.select("name", "action", "regex", "is_host", F.explode("tokens").alias("token"))
+    literal, free = rule_table(pages.sparkSession, rules)
     wanted = literal.select("token").distinct()
     counts = held.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
     # A token that no url holds is the rarest of all.
@@ -124,7 +140,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = HOST_RULES + PATTERNS
     index = literal.join(counts, "token", "left").groupBy("name", "action", "regex", "is_host").agg(rarest.alias("token"))
 
     fetched = held.join(index, "token").select("url", "subject", "name", "action", "regex", "is_host")
-    always = urls.select("url", "subject", F.inline(rule_array(tuple(r for r in rules if not r.tokens)))).drop("tokens")
+    always = urls.select("url", "subject", F.inline(free)).drop("tokens")
     candidates = fetched.union(always)
     matched = candidates.where(F.expr("rlike(subject, regex)"))
     best = F.max(F.struct("is_host", F.length("name").alias("length"), "name", "action"))

@@ -37,6 +37,30 @@ def test_urls(spark):
     assert sorted(got, key=key) == sorted(((i, *verdict(u, rules)) for i, u, _ in rows), key=key)
 
 
+def test_rules_from_a_table(spark):
+    """50,000 host rules; the plan holds none of them as a literal."""
+    many = spark.range(50_000).select(
+        F.concat(F.lit("site"), "id", F.lit(".org/")).alias("name"), F.when(F.col("id") % 2 == 0, "block").otherwise("allow").alias("action"),
+        F.concat(F.lit(r"^(?:[^/]*\.)?site"), "id", F.lit(r"\.org/")).alias("regex"),
+        F.array(F.concat(F.lit("site"), "id"), F.lit("org")).alias("tokens"), F.lit(True).alias("is_host"),
+    )
+    free = url_filter.pattern_rule("block", "a rule without a token", r"^second\.")
+    rules = many.union(spark.range(1).select(F.inline(url_filter.rule_array((free, url_filter.PATTERNS[0])))))
+    urls = [f"http://{'www.' if i % 3 else ''}site{i}.org/{'x' * (i % 5)}" for i in range(0, 60_000, 500)] + ["http://second.org/", "http://ads.x.org/", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_filter.judge_urls(df, rules)
+    got = {r.page_id: (r.rule, r.verdict, r.pattern) for r in out.collect()}
+    n = len(urls) - 3
+    for i in range(n):
+        k = i * 500
+        want = (f"site{k}.org/", "block", None) if k < 50_000 else (None, "allow", None)
+        assert got[i] == want
+    assert [got[n + j] for j in range(3)] == [(None, "block", "a rule without a token"), (None, "block", "ad host"), (None, "allow", None)]
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    with pytest.raises(ValueError):
+        url_filter.judge_urls(df, many.withColumn("tokens", F.array().cast("array<string>")))
+
+
 def test_urls_without_rules(spark):
     df = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     assert [r.verdict for r in url_filter.judge_urls(df, url_filter.PATTERNS[:1]).collect()] == ["allow"]
