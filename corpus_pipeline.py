@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import mixing, quality_rules, secret_scan, sentencepiece_codec, simhash
-from ledgerlens.llm.common import durable_table, read
+from ledgerlens.llm.common import drop_table, dropping, read, write_table
 from ledgerlens.llm.vocabulary import load_pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -54,10 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the table documents."""
-    docs = read(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = durable_table(docs)
-    return docs
+    """All stages in order over the table documents.  Each stage's tables go
+    when its rows are written, and those when the next stage's are; what the last
+    stage's rows are read from stays."""
+    docs, path = read(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        with dropping(spark):
+            kept, written = write_table(stage(spark, docs, sf_dir))
+        if path is not None:
+            drop_table(spark, path)
+        docs, path = kept, written
+    return STAGES[-1][1](spark, docs, sf_dir)
