@@ -180,19 +180,17 @@ WITH tab AS (
     xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
         lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) AS text_crc32
   FROM d, tab
-), keys AS (
-  SELECT h, coalesce(doc_id, -9223372036854775808) AS d, sum(size)::BIGINT AS size FROM s GROUP BY 1, 2
 ), cum AS (
-  SELECT h, d, (sum(size) OVER (ORDER BY h, d) - size)::BIGINT AS before, (sum(size) OVER ())::BIGINT AS total FROM keys
+  SELECT *, (sum(size) OVER (ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before, (sum(size) OVER ())::BIGINT AS total FROM s
 ), edges AS (
   SELECT k, arg_min(p, (abs(16 * p - total * k), p)) AS edge
   FROM (SELECT before AS p, total FROM cum UNION ALL SELECT DISTINCT total, total FROM cum), (SELECT unnest(range(1, 16)) AS k) GROUP BY k
 ), placed AS (
-  SELECT h, d, (SELECT count(*) FROM edges WHERE edge <= before)::INTEGER AS shard FROM cum
+  SELECT *, (SELECT count(*) FROM edges WHERE edge <= before)::INTEGER AS shard FROM cum
 )
 SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY s.h, d) - 1 AS slot, NULL::INTEGER AS grown_shard
-FROM s JOIN placed p ON s.h = p.h AND coalesce(s.doc_id, -9223372036854775808) = p.d
+       row_number() OVER (PARTITION BY shard ORDER BY before) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM placed
 """
 
 OP8 = r"""

@@ -6,9 +6,10 @@ of that order are found without sorting: each round counts, in one aggregate
 over all partitions, the exact bytes and rows in the cells of a grid of probes
 inside the intervals still open, and narrows every splitter's interval to the
 cell that holds its target, until the boundary is within the tolerance or the
-cell is a single document.  An interval that has shrunk to one h, a text with
-very many copies, goes on by doc_id.  Only the histogram (at most ``PROBES``
-rows a round) comes to the driver.
+cell is a single row.  An interval that has shrunk to one h, a text with very
+many copies, goes on by doc_id, and one of rows that repeat both by the row
+number that was written with them.  Only the histogram (at most ``PROBES`` rows
+a round) comes to the driver.
 
 Besides the shards' own splitters the search finds others by rows instead of
 bytes, at most ``PART_ROWS`` rows apart on average, so that very many tiny texts
@@ -18,9 +19,9 @@ each part, so slots run through the shard without a gap.
 
 Defined results: a null text counts as empty (size 1, checksum 0); null
 doc_ids come first among equal texts; rows that repeat both text and doc_id
-stay in one shard; an empty table gives an empty result, and with fewer
-documents than shards some shards are empty.  Other columns are carried along
-if asked for.
+are split like any others; a very long text is one row, so its shard may be
+larger by it; an empty table gives an empty result, and with fewer documents than
+shards some shards are empty.  Other columns are carried along if asked for.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlens.llm.common import durable, text_of
+from ledgerlens.llm.common import durable_table, text_of
 
 SHARDS = 16
 PROBES = 4096
@@ -43,25 +44,28 @@ LOWEST = -(1 << 63)
 
 
 class Splitter(NamedTuple):
-    """Rows from (h, d) on lie to its right; rows: how many lie to its left."""
+    """Rows from (h, d, t) on lie to its right; rows: how many lie to its left."""
 
     h: int
     d: int
+    t: int
     rows: int
 
 
 class _Cell(NamedTuple):
-    level: int  # 0: a range of h; 1: a range of d at one h
-    h: int
+    """A range of one part of the key, the parts before it being fixed."""
+
+    level: int  # 0: h; 1: d at one h; 2: t at one h and d
     lo: int
     hi: int  # exclusive
     below: int  # bytes left of lo
     below_rows: int
-    d_lo: int = 0  # the range of d in the cell
-    d_hi: int = 0
+    h: int = 0
+    d: int = 0
 
     def edge(self, at: int, rows: int) -> Splitter:
-        return Splitter(at, LOWEST, rows) if self.level == 0 else Splitter(self.h, at, rows)
+        key = (at, LOWEST, LOWEST) if self.level == 0 else (self.h, at, LOWEST) if self.level == 1 else (self.h, self.d, at)
+        return Splitter(*key, rows)
 
 
 def size_of(text: Column) -> Column:
@@ -77,18 +81,21 @@ def _count(keys: DataFrame, cells: list[_Cell], probes: int) -> dict[int, list]:
     which, grid = F.lit(None).cast("int"), F.lit(None).cast("long")
     for j, c in enumerate(cells):
         step = -(-(c.hi - c.lo) // probes)
-        if c.level == 0:
-            inside = (F.col("h") >= c.lo) & (F.col("h") < c.hi)
-            at = F.expr(f"(h - {c.lo}L) div {step}L")
+        key = "hdt"[c.level]
+        wide = F.col(key).cast("decimal(20,0)")  # differences of longs may not fit a long
+        inside = (wide >= F.lit(c.lo).cast("decimal(20,0)")) & (wide < F.lit(c.hi).cast("decimal(20,0)"))
+        at = F.expr(f"cast((cast({key} AS decimal(20,0)) - ({c.lo})) div {step} AS bigint)")
+        if c.level == 0:  # 60 bits: plain longs do
+            inside, at = (F.col("h") >= c.lo) & (F.col("h") < c.hi), F.expr(f"(h - {c.lo}L) div {step}L")
         else:
-            wide = F.col("d").cast("decimal(20,0)")  # differences of longs may not fit a long
-            inside = (F.col("h") == c.h) & (wide >= F.lit(c.lo).cast("decimal(20,0)")) & (wide < F.lit(c.hi).cast("decimal(20,0)"))
-            at = F.expr(f"cast((cast(d AS decimal(20,0)) - ({c.lo})) div {step} AS bigint)")
+            inside &= F.col("h") == c.h
+        if c.level == 2:
+            inside &= F.col("d") == F.lit(c.d)
         which, grid = F.when(inside, j).otherwise(which), F.when(inside, at).otherwise(grid)
-    rows = keys.select(which.alias("j"), grid.alias("g"), "h", "d", "size").where("j IS NOT NULL")
+    rows = keys.select(which.alias("j"), grid.alias("g"), "h", "d", "t", "size").where("j IS NOT NULL")
     counted = rows.groupBy("j", "g").agg(
         F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"),
-        F.min("h").alias("h0"), F.max("h").alias("h1"), F.min("d").alias("d0"), F.max("d").alias("d1"),
+        *(f(k).alias(f"{k}{i}") for k in "hdt" for i, f in enumerate((F.min, F.max))),
     )
     out: dict[int, list] = {j: [] for j in range(len(cells))}
     for r in sorted(counted.collect(), key=lambda r: (r.j, r.g)):  # at most PROBES rows
@@ -97,7 +104,7 @@ def _count(keys: DataFrame, cells: list[_Cell], probes: int) -> dict[int, list]:
 
 
 def splitters(keys: DataFrame, parts: int, tolerance: int = TOLERANCE, probes: int = PROBES) -> tuple[list[Splitter], int]:
-    """The ``parts - 1`` splitters of rows (h, d, size) into parts of nearly
+    """The ``parts - 1`` splitters of rows (h, d, t, size) into parts of nearly
     equal bytes, each on the boundary nearest its target, and the row count."""
     out, n = [], 0
     for first in range(1, max(2, parts), AT_ONCE):
@@ -107,10 +114,10 @@ def splitters(keys: DataFrame, parts: int, tolerance: int = TOLERANCE, probes: i
 
 
 def _splitters(keys: DataFrame, parts: int, which: range, tolerance: int, probes: int) -> tuple[list[Splitter], int]:
-    total, n, d0, d1 = keys.agg(F.sum("size"), F.count(F.lit(1)), F.min("d"), F.max("d")).first()
+    total, n = keys.agg(F.sum("size"), F.count(F.lit(1))).first()
     if not n:
         return [], 0
-    whole = _Cell(0, 0, 0, 1 << BITS, 0, 0, d0, d1)
+    whole = _Cell(0, 0, 1 << BITS, 0, 0)
     found: dict[int, Splitter] = {}
     waiting = dict.fromkeys(which, whole)
     while waiting:
@@ -121,23 +128,23 @@ def _splitters(keys: DataFrame, parts: int, which: range, tolerance: int, probes
             # all compared times `parts`, so that targets are whole numbers
             target, below, rows = total * i, cell.below, cell.below_rows
             for r in counted[cells.index(cell)]:
-                lo, hi = (r.h0, r.h1) if cell.level == 0 else (r.d0, r.d1)
+                ranges = ((r.h0, r.h1), (r.d0, r.d1), (r.t0, r.t1))[cell.level :]
+                lo, hi = ranges[0]
                 if below * parts >= target - tolerance * parts:
                     found[i] = cell.edge(lo, rows)
                     break
                 after = below + r.bytes
                 if after * parts >= target:
-                    if lo == hi and (cell.level == 1 or r.d0 == r.d1):  # a single document
+                    if all(x == y for x, y in ranges):  # a single row
                         first = target - below * parts <= after * parts - target
-                        one = cell if cell.level == 1 else _Cell(1, lo, r.d0, r.d0 + 1, below, rows)
-                        found[i] = one.edge(r.d0, rows) if first else one.edge(r.d0 + 1, rows + r.rows)
+                        found[i] = Splitter(r.h0, r.d0, r.t0, rows) if first else Splitter(r.h0, r.d0, r.t0 + 1, rows + r.rows)
                     elif (after * parts - target) <= tolerance * parts:
                         below, rows = after, rows + r.rows
                         continue
-                    elif lo == hi:
-                        new[i] = _Cell(1, lo, r.d0, r.d1 + 1, below, rows)
+                    elif lo == hi:  # on by the next part of the key
+                        new[i] = _Cell(cell.level + 1, ranges[1][0], ranges[1][1] + 1, below, rows, r.h0, r.d0)
                     else:
-                        new[i] = _Cell(cell.level, cell.h, lo, hi + 1, below, rows, r.d0, r.d1)
+                        new[i] = _Cell(cell.level, lo, hi + 1, below, rows, cell.h, cell.d)
                     break
                 below, rows = after, rows + r.rows
             else:
@@ -151,7 +158,8 @@ def _part(cuts: list[Splitter], first: int = 0) -> Column:
     if not cuts:
         return F.lit(first)
     mid = len(cuts) // 2
-    left = (F.col("h") < cuts[mid].h) | ((F.col("h") == cuts[mid].h) & (F.col("d") < cuts[mid].d))
+    h, d, t, _ = cuts[mid]
+    left = (F.col("h") < h) | ((F.col("h") == h) & ((F.col("d") < F.lit(d)) | ((F.col("d") == F.lit(d)) & (F.col("t") < F.lit(t)))))
     return F.when(left, _part(cuts[:mid], first)).otherwise(_part(cuts[mid + 1 :], first + mid + 1))
 
 
@@ -159,12 +167,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: list[str] | None = None,
     """One row per row of ``docs``: the struct ``row`` of the columns ``carry``
     (default: all), size, text_crc32, shard and slot."""
     d = F.coalesce("doc_id", F.lit(LOWEST))
-    keyed = docs.select(
+    full = docs.select(
         F.struct(*(docs.columns if carry is None else carry)).alias("row"),
         text_key(F.col("text")).alias("h"), d.alias("d"), size_of(F.col("text")).alias("size"),
-        F.crc32(text_of("text")).alias("text_crc32"),
+        F.crc32(text_of("text")).alias("text_crc32"), F.monotonically_increasing_id().alias("t"),
     )
-    keys = durable(keyed.select("h", "d", "size"))
+    keyed = durable_table(full)
+    keys = keyed.select("h", "d", "t", "size")
     own, n = splitters(keys, shards, tolerance)
     many = max(4 * shards, -(-n // PART_ROWS))
     rows, _ = splitters(keys.withColumn("size", F.lit(1).cast("long")), many, n // (4 * many))
@@ -177,7 +186,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: list[str] | None = None,
         part_before.append(c.rows - start)
     lookup = lambda values, kind: F.get(F.array(*(F.lit(v).cast(kind) for v in values)), F.col("part"))
     placed = keyed.withColumn("part", _part([c for c, _ in cuts]))
-    number = F.row_number().over(W.partitionBy("part").orderBy("h", "d"))
+    number = F.row_number().over(W.partitionBy("part").orderBy("h", "d", "t"))
     return placed.select(
         "row", "size", "text_crc32",
         lookup(part_shard, "int").alias("shard"),

@@ -374,17 +374,13 @@ def test_running_combinations(spark):
 def shards(rows, n):
     """Shard sizes by sorting everything."""
     keys = sorted((int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16), -(1 << 63) if d is None else d, len((t or "").encode()) + 1) for d, t in rows)
-    edges, total = [0], sum(k[2] for k in keys)
-    for i, k in enumerate(keys):
-        if i + 1 == len(keys) or keys[i + 1][:2] != k[:2]:
-            edges.append(sum(x[2] for x in keys[: i + 1]))
+    total, edges = sum(k[2] for k in keys), [0]
+    for k in keys:
+        edges.append(edges[-1] + k[2])
     cuts = [min(edges, key=lambda p: (abs(p * n - total * i), p)) for i in range(1, n)]
-    out, at = Counter(), 0
-    for i, k in enumerate(keys):
-        if i == 0 or keys[i - 1][:2] != k[:2]:
-            before = at
+    out = Counter()
+    for before, k in zip(edges, keys):
         out[sum(c <= before for c in cuts)] += k[2]
-        at += k[2]
     return out
 
 
@@ -408,6 +404,17 @@ def test_shards_split_a_hot_text(spark):
     check_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows, 16)
 
 
+def test_repeated_rows_are_split(spark):
+    """Half of the rows repeat both text and doc_id, some without an id."""
+    rows = [(7, "x" * 100)] * 1600 + [(i, f"{i:0100}") for i in range(1599)] + [(None, None)] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_shards(df, rows, 16)
+    sizes = Counter()
+    for r in sharding.shard(df, 16, carry=["doc_id"]).collect():
+        sizes[r.shard] += r.size
+    assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) <= 2 * 101
+
+
 def test_many_tiny_texts_are_many_parts(spark, monkeypatch):
     """A third of the rows are empty: few bytes, but many rows."""
     monkeypatch.setattr(sharding, "PART_ROWS", 20)
