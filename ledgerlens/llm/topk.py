@@ -19,9 +19,13 @@ score to beat; then all that can still hold that score, within them only the
 distances the inequality leaves open.  A query stops at the rings whose bound
 is below its k-th best score, so no result is lost; scores are exact integers.
 
-Queries meet chunks by a shuffled key, at most ``QUERY_BLOCK`` queries and one
-chunk in a task's memory at a time.  In high dimension few rings can be ruled
-out and the work is that of comparing each query with each vector, in blocks.
+Chunks and blocks of queries travel as packed rows, in the narrowest integers
+that hold all components.  A block holds queries of like pivot and distance; a
+chunk it visits gets one row of those of its queries that need the chunk, so
+vectors are never copied to a block that does not visit them, and a chunk's own
+vectors move once.  A task holds one chunk and one such row at a time, and
+scores them in slices.  In high dimension few rings can be ruled out and the
+work is that of comparing each query with each vector, in blocks.
 
 Defined results: rows with a null vec_id and vectors that are null or hold
 null or non-finite components take no part; vectors of unequal length are
@@ -29,7 +33,8 @@ padded with zeros; rows that repeat both id and vector are merged before the
 index and come out as often as they are there; a query never meets rows of its
 own vec_id; equal scores are ranked by vec_id; one query id with several
 vectors is answered for each; fewer candidates than k give fewer rows; an
-empty table gives an empty result.  Other columns are ignored.
+empty table gives an empty result; vectors whose squared norm passes 2^62 raise
+an error, as scores could pass a long.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,14 +47,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerlens.llm.common import durable, ship
+from ledgerlens.llm.common import durable, durable_table, ship
 
 SCALE = 64
 PIVOTS = 16
 RINGS = 4
-CHUNK = 8192
-QUERY_BLOCK = 4096
+CHUNK = 16_384
+QUERY_BLOCK = 16_384
+SLICE = 256  # queries scored at a time
 SEEDS = 2  # rings visited first
+SPREAD = 256  # chunks that one task sends a block's queries to
 
 
 def integer_vectors(df: DataFrame, vec: str, id_col: str, scale: int) -> DataFrame:
@@ -60,8 +67,8 @@ def integer_vectors(df: DataFrame, vec: str, id_col: str, scale: int) -> DataFra
     return df.groupBy("vec_id", "x").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def _matrix(packed: pd.Series, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), "<i8").reshape(len(packed), dims)
+def _matrix(packed: bytes, index: Index) -> np.ndarray:
+    return np.frombuffer(packed, index.kind).reshape(-1, index.dims).astype(np.int64)
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,8 +82,9 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Index:
     """The pivots and the rings' directory: what every task knows."""
 
-    def __init__(self, pivots: np.ndarray, m2: int) -> None:
+    def __init__(self, pivots: np.ndarray, m2: int, top: int) -> None:
         self.pivots, self.m2, self.dims = pivots, m2, pivots.shape[1]
+        self.kind = next(k for k in ("<i2", "<i4", "<i8") if top <= np.iinfo(k).max)  # holds all components
         self.lift = np.sqrt(np.maximum(0, m2 - (pivots**2).sum(axis=1)))
         self.rings = pd.DataFrame()
 
@@ -105,59 +113,85 @@ def _key_rows(index: Index):
                 x = np.array(b.x.tolist(), np.int64).reshape(len(b), index.dims)
                 t = index.distances(x)
                 nearest = t.argmin(axis=1)
-                yield pd.DataFrame({"vec_id": b.vec_id, "v": [r.tobytes() for r in x.astype("<i8")], "copies": b.copies, "pivot": nearest, "dist": t[np.arange(len(b)), nearest]})
+                yield pd.DataFrame({"vec_id": b.vec_id, "v": [r.tobytes() for r in x.astype(index.kind)], "copies": b.copies, "pivot": nearest, "dist": t[np.arange(len(b)), nearest]})
 
     return rows
 
 
-def _visits(index: Index, first: bool):
-    """For each query the rings and chunks to visit."""
+def _pack_chunk(keys: tuple, data: pd.DataFrame) -> pd.DataFrame:
+    """One chunk as one row, sorted by the distance to its pivot."""
+    data = data.sort_values(["dist", "vec_id"])
+    whole = {c: [data[c].to_numpy().tobytes()] for c in ("vec_id", "copies", "dist")}
+    return pd.DataFrame({"pivot": keys[:1], "ring": keys[1:2], "chunk": keys[2:], **whole, "v": [b"".join(data.v)]})
+
+
+def _pack_block(keys: tuple, asked: pd.DataFrame) -> pd.DataFrame:
+    """One block of queries as one row."""
+    whole = {c: [asked[c].to_numpy().tobytes()] for c in ("q", "query_id", "least")}
+    return pd.DataFrame({"block": keys, **whole, "qv": [b"".join(asked.v)]})
+
+
+def _visits(index: Index, first: bool, spread: int):
+    """For each block and chunk to visit, one row of the queries that visit it."""
+
+    def wanted(block: tuple) -> np.ndarray:
+        q, least = _matrix(block.qv, index), np.frombuffer(block.least)
+        out = np.zeros((len(q), len(index.rings)), bool)
+        for at in range(0, len(q), SLICE):
+            bound = index.bounds(q[at : at + SLICE])
+            if first:
+                np.put_along_axis(out[at : at + SLICE], np.argsort(-bound, axis=1)[:, :SEEDS], True, axis=1)
+            else:
+                out[at : at + SLICE] = bound >= least[at : at + SLICE, None]
+        return out
 
     def rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r = index.rings
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at : at + 256]
-                bound = index.bounds(_matrix(part.v, index.dims))
-                if first:
-                    want = np.zeros(bound.shape, bool)
-                    np.put_along_axis(want, np.argsort(-bound, axis=1)[:, :SEEDS], True, axis=1)
-                else:
-                    want = bound >= part.least.to_numpy(np.float64)[:, None]
-                i, ring = np.nonzero(want)
-                chunks = np.ones(len(i), int) if first else r.chunks.to_numpy()[ring]
-                i, ring = np.repeat(i, chunks), np.repeat(ring, chunks)
-                chunk = np.concatenate([np.arange(n) for n in chunks]) if len(chunks) else chunks
-                yield pd.DataFrame({
-                    "query_id": part.query_id.to_numpy()[i], "v": part.v.to_numpy()[i], "least": part.least.to_numpy(np.float64)[i],
-                    "pivot": r["pivot"].to_numpy()[ring], "ring": r.ring.to_numpy()[ring], "chunk": chunk,
-                })
+            for block in b.itertuples():
+                want = wanted(block)
+                number = 0
+                for r, ring in enumerate(index.rings.itertuples()):
+                    need = np.flatnonzero(want[:, r])
+                    part = {c: np.frombuffer(getattr(block, c), "i8")[need].tobytes() for c in ("q", "query_id", "least")}
+                    part["qv"] = np.frombuffer(block.qv, index.kind).reshape(-1, index.dims)[need].tobytes()
+                    for chunk in range(1 if first else ring.chunks):
+                        if len(need) and number // spread == block.share:
+                            yield pd.DataFrame([{"pivot": ring.pivot, "ring": ring.ring, "chunk": chunk, **part}])
+                        number += 1
 
     return rows
 
 
 def _score(index: Index, k: int):
-    """The best k of one chunk for the queries that visit it."""
-
-    def hits(key: tuple, queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(data):
-            data = data.sort_values(["dist", "vec_id"])
-            q, dist, ids, copies = _matrix(queries.v, index.dims), data.dist.to_numpy(), data.vec_id.to_numpy(), data.copies.to_numpy()
+    """The best k of a chunk for the queries that visit it."""
+
+    def best(pair: tuple) -> Iterator[pd.DataFrame]:
+        x, dist = _matrix(pair.v, index), np.frombuffer(pair.dist)
+        ids, copies = np.frombuffer(pair.vec_id, "i8"), np.frombuffer(pair.copies, "i8")
+        queries, number, query_ids, least = _matrix(pair.qv, index), np.frombuffer(pair.q, "i8"), np.frombuffer(pair.query_id, "i8"), np.frombuffer(pair.least)
+        t = index.query_distances(queries)[:, pair.pivot]
+        reach = np.sqrt(np.maximum(0, (queries**2).sum(axis=1) + index.m2 - 2 * least)) * (1 + 1e-9) + 1e-6
+        near = np.argsort(t, kind="stable")  # so that a slice needs one stretch
+        for at in range(0, len(near), SLICE):
+            some = near[at : at + SLICE]
             # of the sorted annulus, the stretch any of the queries can need
-            t = index.query_distances(q)[:, int(key[0])]
-            reach = np.sqrt(np.maximum(0, (q**2).sum(axis=1) + index.m2 - 2 * queries.least.to_numpy(np.float64))) * (1 + 1e-9) + 1e-6
-            a, b = np.searchsorted(dist, (t - reach).min()), np.searchsorted(dist, (t + reach).max(), "right")
-            scores = _products(q, _matrix(data.v.iloc[a:b], index.dims)) if b > a else np.zeros((len(q), 0), np.int64)
-            ids, copies = ids[a:b], copies[a:b]
-            for qid, v, least, s in zip(queries.query_id, queries.v, queries.least, scores):
-                may = np.flatnonzero((s >= least) & (ids != qid))
+            a, b = np.searchsorted(dist, (t - reach)[some].min()), np.searchsorted(dist, (t + reach)[some].max(), "right")
+            if b <= a:
+                continue
+            out = []
+            for i, s in zip(some, _products(queries[some], x[a:b])):
+                may = np.flatnonzero((s >= least[i]) & (ids[a:b] != query_ids[i]))
                 if len(may) > k:  # keep the k-th best score's ties, then rank
                     kth = np.partition(s[may], len(may) - k)[len(may) - k]
                     may = may[s[may] >= kth]
-                best = may[np.lexsort((ids[may], -s[may]))[:k]]
-                out += [(qid, v, int(ids[j]), int(s[j]), int(copies[j])) for j in best]
-        return pd.DataFrame(out, columns=["query_id", "v", "vec_id", "score", "copies"])
+                j = may[np.lexsort((ids[a:b][may], -s[may]))[:k]]
+                out.append((np.full(len(j), number[i]), np.full(len(j), query_ids[i]), ids[a:b][j], s[j], copies[a:b][j]))
+            yield pd.DataFrame(dict(zip(("q", "query_id", "vec_id", "score", "copies"), map(np.concatenate, zip(*out)))))
+
+    def hits(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for pair in b.itertuples():
+                yield from best(pair)
 
     return hits
 
@@ -168,14 +202,18 @@ def top_k(df: DataFrame, queries, k: int = 20, vec: str = "embedding", id_col: s
     ship(df.sparkSession)
     merged = durable(integer_vectors(df, vec, id_col, scale))
     spark, result = df.sparkSession, "query_id long, rank int, vec_id long, score long"
-    norm = F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v * v)
-    m2, dims = merged.agg(F.max(norm), F.max(F.size("x"))).first()
-    if m2 is None:
+    rough = F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
+    top, dims, rough = merged.agg(F.max(F.array_max(F.transform("x", F.abs))), F.max(F.size("x")), F.max(rough)).first()
+    if rough is None:
         return spark.createDataFrame([], result)
+    if rough > 2.0**62:
+        raise ValueError("scores of these vectors can pass a long")
+    norm = F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v * v)
+    m2 = merged.agg(F.max(norm)).first()[0]
     dims = max(1, dims)  # without components all scores are 0
     merged = merged.withColumn("x", F.concat("x", F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("x"))))
     sample = merged.orderBy(F.xxhash64("vec_id"), "vec_id").select("x").limit(PIVOTS).collect()
-    index = Index(np.array([r.x for r in sample], np.int64).reshape(len(sample), dims), m2)
+    index = Index(np.array([r.x for r in sample], np.int64).reshape(len(sample), dims), m2, top or 0)
 
     keyed = durable(merged.mapInPandas(_key_rows(index), "vec_id long, v binary, copies long, pivot int, dist double"))
     cuts = [i / RINGS for i in range(1, RINGS)]
@@ -188,22 +226,39 @@ def top_k(df: DataFrame, queries, k: int = 20, vec: str = "embedding", id_col: s
     pieces = F.create_map(*(c for r in index.rings.itertuples() for c in (F.lit(r.pivot * RINGS + r.ring), F.lit(r.chunks))))
     keyed = keyed.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(pieces, F.col("pivot") * RINGS + F.col("ring"))).cast("int"))
 
-    asked = keyed.where(queries).select(F.col("vec_id").alias("query_id"), "v").distinct()
-    blocks = max(1, -(-asked.count() // query_block))
-    block = F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)).cast("int").alias("block")
-    visit = "query_id long, v binary, least double, pivot int, ring int, chunk int"
-    keys = ["pivot", "ring", "chunk", "block"]
+    keys = ["pivot", "ring", "chunk"]
+    chunks = keyed.groupBy(*keys).applyInPandas(_pack_chunk, "pivot int, ring int, chunk int, vec_id binary, copies binary, dist binary, v binary")
+    chunks = durable_table(chunks)
+
+    # blocks of queries: by pivot and ring, about query_block in each
+    asked = keyed.where(queries).select("pivot", "ring", F.col("vec_id").alias("query_id"), "v").distinct()
+    counts = {(r.pivot, r.ring): r.n for r in asked.groupBy("pivot", "ring").agg(F.count(F.lit(1)).alias("n")).collect()}  # PIVOTS * RINGS rows
+    if not counts:
+        return spark.createDataFrame([], result)
+    before = np.cumsum([0, *(n for _, n in sorted(counts.items()))])
+    cell = F.col("pivot") * RINGS + F.col("ring")
+    start = F.element_at(F.create_map(*(c for (key, _), at in zip(sorted(counts.items()), before) for c in (F.lit(key[0] * RINGS + key[1]), F.lit(int(at))))), cell)
+    held = F.element_at(F.create_map(*(c for key, n in counts.items() for c in (F.lit(key[0] * RINGS + key[1]), F.lit(n)))), cell)
+    place = start + F.pmod(F.xxhash64("query_id", "v"), held)
+    asked = durable(asked.select(F.monotonically_increasing_id().alias("q"), "query_id", "v", F.floor(place / query_block).cast("int").alias("block")))
+
+    total = int(index.rings.chunks.sum())
+    tasks = min(total, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 4))
+    packed = "q binary, query_id binary, least binary, qv binary"
 
     def search(asked: DataFrame, first: bool) -> DataFrame:
-        data = (keyed.where("chunk = 0") if first else keyed).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        plan = asked.mapInPandas(_visits(index, first), visit).withColumn("block", block)
-        return plan.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInPandas(_score(index, k), "query_id long, v binary, vec_id long, score long, copies long")
+        number = len(index.rings) if first else total
+        blocks = asked.groupBy("block").applyInPandas(_pack_block, f"block int, {packed}")
+        shares = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit((number - 1) // SPREAD)))).repartition("block", "share")
+        visits = shares.mapInPandas(_visits(index, first, SPREAD), f"pivot int, ring int, chunk int, {packed}")
+        pairs = visits.repartition(tasks, *keys).join(chunks, keys)
+        return pairs.mapInPandas(_score(index, k), "q long, query_id long, vec_id long, score long, copies long")
 
     seen = search(asked.withColumn("least", F.lit(float("-inf"))), True)
     kth = F.get(F.sort_array(F.collect_list("score"), asc=False), F.lit(k - 1)).cast("double")  # SEEDS * k scores
-    least = seen.groupBy("query_id", "v").agg(kth.alias("kth"))
-    asked = durable(asked.join(least, ["query_id", "v"], "left").select("query_id", "v", F.coalesce("kth", F.lit(float("-inf"))).alias("least")))
+    least = seen.groupBy("q").agg(kth.alias("kth"))
+    asked = durable(asked.join(least, "q", "left").select("q", "query_id", "v", "block", F.coalesce("kth", F.lit(float("-inf"))).alias("least")))
     found = search(asked, False)
-    found = found.select("query_id", "v", "vec_id", "score", F.explode(F.array_repeat(F.lit(0), F.least("copies", F.lit(k)).cast("int"))))
-    rank = F.row_number().over(W.partitionBy("query_id", "v").orderBy(F.desc("score"), "vec_id"))
+    found = found.select("q", "query_id", "vec_id", "score", F.explode(F.array_repeat(F.lit(0), F.least("copies", F.lit(k)).cast("int"))))
+    rank = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

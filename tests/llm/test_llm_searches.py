@@ -91,6 +91,35 @@ def test_top_k(spark, chunk, block):
     assert sorted(map(tuple, got.collect())) == best(f32, 20)
 
 
+@pytest.mark.parametrize("size", [10.0, 1e6, 1e12 / 64])
+def test_top_k_wide_components(spark, size, monkeypatch):
+    """Components of two, four and eight bytes; a block's visits in several tasks."""
+    monkeypatch.setattr(topk, "SPREAD", 3)
+    monkeypatch.setattr(topk, "SLICE", 4)
+    rnd = random.Random(5)
+    rows = [(i, [rnd.uniform(-size, size) if i % 7 else size / (1 + i % 3)] * (1 + i % 2) + [rnd.uniform(-1, 1)]) for i in range(400)]
+    rows = [(i, [x if size < 1e9 else x / 1e3 for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, chunk=7, query_block=6)
+    assert sorted(map(tuple, got.collect())) == best(padded(rows), 20)
+
+
+def padded(rows):
+    width = max(len(v) for _, v in rows)
+    return [(i, v + [0.0] * (width - len(v))) for i, v in rows]
+
+
+def test_top_k_scores_beyond_a_long(spark):
+    df = spark.createDataFrame([(0, [1e12, 1e9]), (1, [1e8, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        topk.top_k(df, F.col("vec_id") % 20 == 0)
+
+
+def test_top_k_no_queries(spark):
+    df = spark.createDataFrame([(1, [1.0]), (3, [0.5])], "vec_id long, embedding array<double>")
+    assert topk.top_k(df, F.col("vec_id") % 20 == 0).collect() == []
+
+
 def test_top_k_few_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, [0.0, 0.0]), (20, [0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
