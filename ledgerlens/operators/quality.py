@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions import money
 from ledgerlens.functions.columns import BEFORE_AFTER_LABELS
 
 
@@ -542,10 +543,8 @@ def report_completeness(report: DataFrame) -> DataFrame:
 
 def amount_totals(df: DataFrame, amount: str = "AMOUNT") -> DataFrame:
     """A5: global ``row_count`` and exact ``total_amount`` (as DOUBLE)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(amount).cast("double").alias("total_amount"),
-    )
+    out = df.agg(F.count(F.lit(1)).alias("row_count"), *money.partial_sums(df, amount))
+    return out.select("row_count", money.total(out.columns, "row_count").cast("double").alias("total_amount"))
 
 
 # ---- counts and stage metrics (A6, Q14, Q17) ---------------------------------

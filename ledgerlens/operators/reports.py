@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import after, date_text, money_to_double, when_active, zero_if_null
+from ledgerlens.functions.money import merged_sums, partial_sums, total
 from ledgerlens.operators.dedupe import latest_per_key
 from ledgerlens.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -70,12 +71,12 @@ def aml_customer_transactions(
     return joined.select(*AML_COLUMNS)
 
 
-def _finish_summary(df: DataFrame, count_col: str, amount_col: str) -> DataFrame:
+def _finish_summary(df: DataFrame, count_col: str, rows_col: str) -> DataFrame:
     return df.select(
         F.col("BRANCH_ID").cast("bigint").alias("BRANCH_ID"),
         "BRANCH_NAME",
         F.col(count_col).cast("bigint").alias("TOTAL_TRANSACTIONS"),
-        money_to_double(F.col(amount_col)).alias("TOTAL_AMOUNT"),
+        money_to_double(total(df.columns, rows_col)).alias("TOTAL_AMOUNT"),
     )
 
 
@@ -92,7 +93,7 @@ def branch_summary(
     """Per branch, ``count(*)`` and ``sum(AMOUNT)`` of
     TRANSACTION ⋈ ACCOUNT ⋈ BRANCH (inner), grouped by BRANCH_ID, BRANCH_NAME.
 
-    Amounts are summed as DECIMAL and cast to DOUBLE last.  ``eager=False``
+    Amounts are summed exactly (``functions.money``) and cast to DOUBLE last.  ``eager=False``
     gives the literal join-then-aggregate plan (same result).  With
     ``broadcast_branch`` the branch side is broadcast only if it has at most
     ``max_broadcast_rows`` rows.  ``account_keys`` as in
@@ -107,15 +108,15 @@ def branch_summary(
     if not eager:
         joined = t.join(a, keys).join(b, "BRANCH_ID")
         out = joined.groupBy("BRANCH_ID", "BRANCH_NAME").agg(
-            F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("_amount")
+            F.count(F.lit(1)).alias("_n"), *partial_sums(joined)
         )
-        return _finish_summary(out, "_n", "_amount")
+        return _finish_summary(out, "_n", "_n")
     return summary_of_totals(account_totals(t, keys), a, b, keys)
 
 
 def account_totals(transaction: DataFrame, account_keys: Sequence[str] = ("ACCOUNT_ID",)) -> DataFrame:
-    """Per account the partial totals ``_n`` and ``_amount`` of its transactions."""
-    return transaction.groupBy(*account_keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("AMOUNT").alias("_amount"))
+    """Per account the count ``_n`` and the partial sums of its transactions."""
+    return transaction.groupBy(*account_keys).agg(F.count(F.lit(1)).alias("_n"), *partial_sums(transaction))
 
 
 def summary_of_totals(
@@ -126,14 +127,14 @@ def summary_of_totals(
     per_branch = (
         totals.join(a, list(account_keys))
         .groupBy("BRANCH_ID")
-        .agg(F.sum("_n").alias("_n"), F.sum("_amount").alias("_amount"))
+        .agg(F.sum("_n").alias("_n"), *merged_sums(totals.columns))
     )
     out = (
         per_branch.join(b, "BRANCH_ID")
         .groupBy("BRANCH_ID", "BRANCH_NAME")
-        .agg(F.sum("_n").alias("_n"), F.sum("_amount").alias("_amount"))
+        .agg(F.sum("_n").alias("_n"), *merged_sums(totals.columns))
     )
-    return _finish_summary(out, "_n", "_amount")
+    return _finish_summary(out, "_n", "_n")
 
 
 def branch_summary_flat(transaction: DataFrame, branch: DataFrame) -> DataFrame:
@@ -143,10 +144,10 @@ def branch_summary_flat(transaction: DataFrame, branch: DataFrame) -> DataFrame:
     counted), then joins BRANCH (inner) for the name.
     """
     per_branch = transaction.groupBy("BRANCH_ID").agg(
-        F.count("TRANSACTION_ID").alias("_n"), F.sum("AMOUNT").alias("_amount")
+        F.count("TRANSACTION_ID").alias("_n"), F.count(F.lit(1)).alias("_rows"), *partial_sums(transaction)
     )
     out = per_branch.join(branch.select("BRANCH_ID", "BRANCH_NAME"), "BRANCH_ID")
-    return _finish_summary(out, "_n", "_amount")
+    return _finish_summary(out, "_n", "_rows")
 
 
 def prepare_details(
