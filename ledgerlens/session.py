@@ -14,6 +14,15 @@ from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
+# Salts come from a row's place in its task.  A source that gives its rows in
+# another order when a lost task runs again (a database, a shuffle) would send some
+# rows twice and others never; with these, Spark sees that a map task's output
+# changed and runs the whole reading stage again, or fails the job.
+RETRY_CONF = {
+    "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
+}
+
 # Settings a reporting job wants on any cluster.  Skew join and partition
 # coalescing are AQE's runtime answers to hot keys and tiny partitions.
 DEFAULT_CONF = {
@@ -22,6 +31,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    **RETRY_CONF,
 }
 
 
@@ -118,4 +128,5 @@ def scale_conf(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        **RETRY_CONF,
     }

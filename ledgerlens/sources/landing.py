@@ -82,7 +82,9 @@ def plan_layout(transaction: DataFrame, name: str, *, bucket_bytes: int = BUCKET
 
 def spread(transaction: DataFrame, salts: DataFrame) -> DataFrame:
     """``transaction`` with ACCOUNT_SALT, from a row's position in its file split:
-    rows equal in every column spread, and a retried task gives the same salts.
+    rows equal in every column spread, and a retried task gives the same salts
+    if it reads its rows in the same order, as from files; for other sources the
+    session needs ``session.RETRY_CONF``.
     Rows without an account meet nothing and go round all buckets."""
     many = F.coalesce("_salts", F.lit(1))
     salt = F.pmod("_place", F.when(F.col(KEY).isNull(), F.lit(1 << 20)).otherwise(many).cast("bigint")).cast("int")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import reports as R
+from ledgerlens.session import DEFAULT_CONF, RETRY_CONF, scale_conf
 from ledgerlens.sources import landing
 from ledgerlens.sources import tables as T
 from tests.fixtures import sorted_rows
@@ -60,6 +61,22 @@ def test_hot_account_is_spread(spark, scratch_db):
     assert sorted_rows(R.branch_summary(transaction, account, b, **keys)) == sorted_rows(R.branch_summary(t, a, b))
 
 
+def test_lands_with_checked_retries(spark, scratch_db):
+    """The settings exist in this Spark, and rows that come out of a shuffle land whole."""
+    conf = scale_conf(1 << 30, 8)
+    assert RETRY_CONF.items() <= conf.items() and RETRY_CONF.items() <= DEFAULT_CONF.items()
+    t, a, c, b = frames(spark, 2000, 300)
+    for key, value in RETRY_CONF.items():
+        assert spark.conf.get(key) == "false"  # known, and off unless asked for
+        spark.conf.set(key, value)
+    try:
+        transaction, account, _ = landing.land(t.repartition(5), a, f"{scratch_db}.r", bucket_bytes=12_000)
+        assert sorted_rows(R.branch_summary(transaction, account, b, account_keys=landing.LANDED_KEYS)) == sorted_rows(R.branch_summary(t, a, b))
+    finally:
+        for key in RETRY_CONF:
+            spark.conf.unset(key)
+
+
 def test_fact_side_is_not_shuffled(spark, scratch_db):
     t, a, c, b = frames(spark, 300, 60)
     transaction, account, plan = landing.land(t, a, f"{scratch_db}.n", bucket_bytes=3_000)
