@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.session import checkpoint_dir
+
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -31,6 +33,12 @@ def counted_size(df: DataFrame) -> tuple[int, int]:
     return rows, size
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder, so that counting it and each use
+    in a plan read what one job wrote; as it is where the session names none."""
+    return df if checkpoint_dir(df.sparkSession) is None else df.checkpoint()
+
+
 def size_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes."""
     rows, size = counted_size(df)
@@ -97,8 +105,7 @@ def salted_join(
     fact side that comes out of a shuffle with ``checkpoint()`` or a written
     table first.
     """
-    salts = key_salts(fact, keys, rows_per_salt)
-    salts = broadcast_if_bounded(salts)
+    salts = broadcast_if_bounded(computed_once(key_salts(fact, keys, rows_per_salt)))
     none = F.coalesce("_salts", F.lit(1))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     spread = fact.withColumn("_place", place).join(salts, keys, "left")

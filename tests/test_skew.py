@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import quality as Q
 from ledgerlens.operators import reports as R
-from ledgerlens.operators.joins import key_salts
+from ledgerlens.operators.joins import key_salts, salted_join
 from ledgerlens.sources.testdata import load_entities
 
 SF = "/root/testdata/sf0.01"
@@ -55,3 +55,13 @@ def test_checks_agree_under_skew(skewed):
     assert dups.row_count == txn.where(F.col("ACCOUNT_ID") == hot).count() > txn.count() // 4
     # Every transaction's account exists.
     assert Q.missing_parent_keys(txn, e.account, ["ACCOUNT_ID"]).count() == 0
+
+
+def test_salts_are_counted_once(spark):
+    """The counts of the fact side are one job's; the join's plan does not repeat them."""
+    fact = spark.range(400).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(3).withColumnRenamed("id", "k")
+    out = salted_join(fact, dim, ["k"], rows_per_salt=10)
+    assert out.count() == 400
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Range (0, 400") == 1
